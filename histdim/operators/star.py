@@ -95,7 +95,10 @@ def stage_fact_rows(sales: DataFrame, dim_products: DataFrame,
             F.col("sls_due_dt").alias("due_date"), F.col("sls_sales").alias("sales_amount"),
             F.col("sls_quantity").alias("quantity"), F.col("sls_price").alias("price")]
     if keep_business:
-        cols += ["sls_prd_key", "sls_cust_id"]
+        # a sale whose key did not resolve is stored with a NULL key, so it
+        # is compared as "unknown" rather than by its business id
+        cols += [F.when(F.col("product_key").isNotNull(), F.col("sls_prd_key")).alias("sls_prd_key"),
+                 F.when(F.col("customer_key").isNotNull(), F.col("sls_cust_id")).alias("sls_cust_id")]
     return j.select(*cols).distinct()
 
 

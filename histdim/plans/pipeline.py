@@ -5,9 +5,10 @@ Every step takes the load id and ``load_ts`` as arguments (never the wall
 clock), reads the last *committed* state, writes only its own ``load=<id>``
 directories (see :mod:`histdim.sources.store`) and commits at the end, so a
 failed or repeated load can simply be run again.  ``safe=True`` applies the
-settled semantics (NULL-safe exact matching, current-version joins, business
-key fact matching, NULL keys dropped everywhere); ``safe=False`` follows the
-rules as originally written.
+settled semantics (NULL-safe exact matching of sales rows, current-version
+joins, business-key fact matching, NULL keys dropped everywhere);
+``safe=False`` follows the rules as originally written.  Change detection
+uses the sentinel rule (NULL equals the type's default) in both modes.
 """
 
 from __future__ import annotations
@@ -70,26 +71,30 @@ def _stage_sources(wh: Warehouse, load: int, load_ts, safe: bool) -> dict[str, D
 
 
 def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
-               records: list | None = None) -> None:
+               records: list | None = None, parallel: int = 3) -> None:
     """Merge every cleaned source into its stage history table; append new
     sales rows.  Each merge reads only the active slice of the previous
     state."""
     records = records if records is not None else []
     sources = _stage_sources(wh, load, load_ts, safe)
-    for table, keys in STAGE_KEYS.items():
-        schema = STAGE[table]
+
+    def one(table):
+        keys, schema = STAGE_KEYS[table], STAGE[table]
         if keys is None:
             target = wh.read_append(STAGE_LAYER, table, schema, prev)
             new = load_sales_stage(sources[table], target, load_ts, null_safe=safe)
             _timed(records, table, "stage",
                    lambda: wh.write_append(STAGE_LAYER, table, new, load))
-            continue
+            return
         active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
-        merged = scd2_merge(active, sources[table], keys, load_ts,
-                            mode="null_safe" if safe else "sentinel", with_action=True)
+        merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True)
         out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
         _timed(records, table, "stage", lambda: wh.write_history(STAGE_LAYER, table, out, load))
 
+    # the six tables are independent: submit their jobs concurrently
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        list(ex.map(one, STAGE_KEYS))
+
 
 def _customer_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
     st = {t: wh.read_history(STAGE_LAYER, t, STAGE[t], load)
@@ -123,15 +128,20 @@ def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool
     """Type-2 load of both dimensions (surrogate keys continue after the
     current maximum), then the fact against the dimensions just written."""
     records = records if records is not None else []
-    for table, key, surrogate, compare, source in (
-            ("dim_customers", "customer_id", "customer_key", CUSTOMER_COMPARE,
-             _customer_source(wh, load, safe)),
-            ("dim_products", "product_id", "product_key", PRODUCT_COMPARE,
-             _product_source(wh, load, safe))):
+
+    def dimension(spec):
+        table, key, surrogate, compare, source = spec
         dim = wh.read_history(REPORT_LAYER, table, REPORT[table], prev)
-        merged = scd2_dim_load(dim, source, key, surrogate, load_ts, compare, with_action=True)
+        merged = scd2_dim_load(dim, source(wh, load, safe), key, surrogate, load_ts, compare,
+                               with_action=True)
         out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
         _timed(records, table, "report", lambda: wh.write_history(REPORT_LAYER, table, out, load))
+
+    # both dimensions must be written before the fact reads their keys
+    with ThreadPoolExecutor(max_workers=2) as ex:
+        list(ex.map(dimension, (
+            ("dim_customers", "customer_id", "customer_key", CUSTOMER_COMPARE, _customer_source),
+            ("dim_products", "product_id", "product_key", PRODUCT_COMPARE, _product_source))))
     sales = wh.read_append(STAGE_LAYER, "crm_sales_details", STAGE["crm_sales_details"], load)
     dp = wh.read_history(REPORT_LAYER, "dim_products", REPORT["dim_products"], load)
     dc = wh.read_history(REPORT_LAYER, "dim_customers", REPORT["dim_customers"], load)
@@ -146,7 +156,7 @@ def run_batch(spark: SparkSession, root: str, batch_root: str, batch: str, load:
               load_ts, safe: bool = True) -> DataFrame:
     """One complete load of one batch folder; returns the load audit
     (``table, step, rows, seconds``; rows filled by ``table_counts``)."""
-    wh = Warehouse(spark, root)
+    wh = Warehouse(spark, root).init()
     prev = wh.latest()
     if prev is not None and prev >= load:
         raise ValueError(f"load {load} is not after the last committed load {prev}")
