@@ -7,6 +7,7 @@ built-in functions only, so they stay inside whole-stage codegen.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -25,7 +26,6 @@ LEGACY_ID_PREFIX = "NAS"
 ID_SEPARATOR = "-"
 CATEGORY_ID_LENGTH = 5          # first 5 characters of a product key
 PRODUCT_KEY_START = 7           # the product number starts at character 7
-PACKED_DATE_FORMAT = "yyyyMMdd"
 MIXED_DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy")
 # ---------------------------------------------------------------------------
 
@@ -93,20 +93,45 @@ def remove_chars(c, chars: str = ID_SEPARATOR) -> Column:
     return F.replace(_c(c), F.lit(chars), F.lit(""))
 
 
-def parse_packed_date(c, fmt: str = PACKED_DATE_FORMAT) -> Column:
+def parse_packed_date(c) -> Column:
     """Integer ``yyyymmdd`` to DATE.  0, anything that is not 8 characters
-    long and anything that is not a calendar date become NULL (the last case
-    never fails the job)."""
-    n = _c(c)
-    s = n.cast("string")
-    return (F.when((n == 0) | (F.length(s) != 8), F.lit(None).cast("date"))
-            .otherwise(F.try_to_date(s, fmt)))
+    long (incl. negatives) and anything that is not a calendar date become
+    NULL; the last case never fails the job.  Pure integer arithmetic: no
+    string formatting or parsing per row."""
+    n = _c(c).cast("long")
+    y, m, d = F.floor(n / 10000), F.floor(n / 100) % 100, n % 100
+    first = F.when((n >= 10000101) & (n <= 99991231) & m.between(1, 12),
+                   F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
+    ok = (d >= 1) & (d <= F.dayofmonth(F.last_day(first)))
+    return F.when(ok, F.date_add(first, (d - 1).cast("int")))
+
+
+_TOKEN = re.compile(r"(y+|M+|d+)")
+
+
+def _format_regex(fmt: str) -> str:
+    """Shape check for a date pattern: ``yyyy`` -> 4 digits, ``MM``/``dd``
+    -> 2, ``M``/``d`` -> 1-2; every other character literal."""
+    out = []
+    for part in _TOKEN.split(fmt):
+        if not part:
+            continue
+        if part[0] == "y":
+            out.append(r"\d{%d}" % max(len(part), 4))
+        elif part[0] in "Md":
+            out.append(r"\d{2}" if len(part) == 2 else r"\d{1,2}")
+        else:
+            out.append(re.escape(part))
+    return "^" + "".join(out) + "$"
 
 
 def parse_mixed_date(c, formats: Sequence[str] = MIXED_DATE_FORMATS) -> Column:
-    """Parse a text date that may come in any of ``formats`` (first match wins)."""
+    """Parse a text date that may come in any of ``formats`` (first match
+    wins).  A format is only tried on text of its shape, so a row costs one
+    parse, not one failed parse per other format."""
     s = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    return F.coalesce(*[F.when(s.rlike(_format_regex(f)), F.try_to_date(s, f))
+                        for f in formats])
 
 
 def null_future_dates(c, load_ts) -> Column:

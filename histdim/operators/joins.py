@@ -1,13 +1,14 @@
 """Lookups and set differences by key.
 
-NULL join keys never match under ``=``, but a shuffle still hashes every NULL
-key to the same task.  When a third of the rows carry a NULL key that one task
-would receive them all, so every operator here routes NULL-key rows around the
-join: they are unioned back with the answer the join would have given them.
-Non-NULL hot keys in left/anti joins are split by AQE's skew-join handling
-(``spark.sql.adaptive.skewJoin.enabled``); broadcast is left to AQE's runtime
-size check (``spark.sql.adaptive.autoBroadcastJoinThreshold``) because the
-looked-up tables grow with the data.
+Hot keys -- including a flood of NULL keys, which all hash to one shuffle
+partition -- are left to AQE's skew-join handling
+(``spark.sql.adaptive.skewJoin.enabled``): an oversized partition on the
+preserved side of a left outer or left anti join is split into several tasks
+and the matching partition of the other side is replicated to each.  Routing
+NULL keys around the join by hand would scan and compute the input twice.
+Broadcast is left to AQE's runtime size check
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``) because the looked-up
+tables grow with the data.
 """
 
 from __future__ import annotations
@@ -28,40 +29,27 @@ def _all(conds: Sequence[Column]) -> Column:
     return functools.reduce(operator.and_, conds) if conds else F.lit(True)
 
 
-def _any_null(cols: Sequence[str]) -> Column:
-    return functools.reduce(operator.or_, [F.col(c).isNull() for c in cols])
-
-
 def lookup(left: DataFrame, right: DataFrame, left_on, right_on=None,
            select=None) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` on equal keys (plain ``=``).
-
-    ``select`` names the right-side columns to bring (default: all but the
-    right keys).  Left rows with a NULL key bypass the join and get NULLs.
-    """
+    """``left`` LEFT JOIN ``right`` on equal keys (plain ``=``; a NULL key
+    finds nothing).  ``select`` names the right-side columns to bring
+    (default: all but the right keys)."""
     lk = _names(left_on)
     rk = _names(right_on) if right_on is not None else lk
     bring = _names(select) if select is not None else [c for c in right.columns if c not in rk]
     tag = "__lk_"
     r = right.select(*[F.col(k).alias(f"{tag}{i}") for i, k in enumerate(rk)], *bring)
     cond = _all([F.col(l) == F.col(f"{tag}{i}") for i, l in enumerate(lk)])
-    nn = left.filter(~_any_null(lk))
-    matched = nn.join(r, cond, "left").drop(*[f"{tag}{i}" for i in range(len(rk))])
-    nulls = left.filter(_any_null(lk))
-    rtypes = {f.name: f.dataType for f in right.schema.fields}
-    nulls = nulls.select("*", *[F.lit(None).cast(rtypes[c]).alias(c) for c in bring])
-    return matched.unionByName(nulls)
+    return left.join(r, cond, "left").drop(*[f"{tag}{i}" for i in range(len(rk))])
 
 
 def anti_by(src: DataFrame, tgt: DataFrame, on: Sequence, null_safe: bool = False,
             src_exprs: Sequence[Column] | None = None,
             tgt_exprs: Sequence[Column] | None = None) -> DataFrame:
     """Rows of ``src`` with no row in ``tgt`` equal on every ``on`` column
-    (``NOT EXISTS``).  With plain ``=`` a NULL on either side never matches,
-    so src rows with a NULL key are kept without entering the join.
-    ``src_exprs`` / ``tgt_exprs`` replace the columns by expressions (e.g.
-    ``coalesce(key, 0)``); they must stay NULL-free where ``on`` may be NULL.
-    """
+    (``NOT EXISTS``).  With plain ``=`` a NULL on either side never matches;
+    ``null_safe`` uses ``<=>``.  ``src_exprs`` / ``tgt_exprs`` replace the
+    columns by expressions (e.g. ``coalesce(key, 0)``)."""
     on = list(on)
     s_ex = list(src_exprs) if src_exprs is not None else [F.col(c) for c in on]
     t_ex = list(tgt_exprs) if tgt_exprs is not None else [F.col(c) for c in on]
@@ -69,12 +57,9 @@ def anti_by(src: DataFrame, tgt: DataFrame, on: Sequence, null_safe: bool = Fals
     t = tgt.select(*[e.alias(n) for e, n in zip(t_ex, names)])
     if null_safe:
         cond = _all([e.eqNullSafe(F.col(n)) for e, n in zip(s_ex, names)])
-        return src.join(t, cond, "left_anti")
-    t = t.filter(~_any_null(names))
-    null_key = functools.reduce(operator.or_, [e.isNull() for e in s_ex])
-    cond = _all([e == F.col(n) for e, n in zip(s_ex, names)])
-    kept = src.filter(~null_key).join(t, cond, "left_anti")
-    return kept.unionByName(src.filter(null_key))
+    else:
+        cond = _all([e == F.col(n) for e, n in zip(s_ex, names)])
+    return src.join(t, cond, "left_anti")
 
 
 def append_new_exact(src: DataFrame, tgt: DataFrame, cols: Sequence[str] | None = None,
