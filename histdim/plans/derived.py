@@ -375,14 +375,18 @@ SELECT 'AW-' || CAST(c_custkey AS STRING) AS cid,
             WHEN c_custkey % 8 = 4 THEN NULL WHEN c_custkey % 8 = 5 THEN 'de'
             ELSE 'NATION_' || CAST(c_nationkey AS STRING) END AS cntry
 FROM customer WHERE c_custkey % 4 <> 3"""
+    # products: parts 2k and 2k+1 are two versions of raw product key k (the
+    # later start wins); the category prefix is a function of k, so every
+    # product number has exactly one open version
+    k = "CAST(floor(p_partkey / 2) AS BIGINT)"
     if table == "crm_prod_info":
         start = "DATE '2010-01-01' + CAST(p_partkey % 3000 AS INT)"
         text = us_text(start) if two else iso_text(start)
-        bump = " + CASE WHEN p_partkey % 40 = 0 THEN 2 ELSE 0 END" if two else ""
+        bump = " + CASE WHEN p_partkey % 40 = 1 THEN 2 ELSE 0 END" if two else ""
         return f"""
 SELECT CAST(p_partkey AS INT) AS prd_id,
-       upper(substr(p_type, 1, 2)) || '-' || lpad(substr(p_brand, 7, 2), 2, '0') || '-K'
-       || CAST(p_partkey % 1000 AS STRING) AS prd_key,
+       'C' || CAST({k} % 5 AS STRING) || '-' || lpad(CAST({k} % 30 AS STRING), 2, '0') || '-K'
+       || CAST({k} AS STRING) AS prd_key,
        p_name AS prd_nm,
        CASE WHEN p_partkey % 25 = 0 THEN NULL ELSE p_size{bump} END AS prd_cost,
        CASE p_partkey % 5 WHEN 0 THEN 'M ' WHEN 1 THEN 'R ' WHEN 2 THEN 'S ' WHEN 3 THEN 'T '
@@ -391,17 +395,17 @@ SELECT CAST(p_partkey AS INT) AS prd_id,
        CAST(NULL AS STRING) AS prd_end_dt
 FROM part"""
     if table == "erp_px_cat_g1v2":
-        cat = ("CASE WHEN min(p_brand) = 'Brand#3' THEN 'Renamed' ELSE min(p_type) END"
-               if two else "min(p_type)")
+        cat = ("CASE WHEN m30 = 3 THEN 'Renamed' ELSE 'CAT' || CAST(m5 AS STRING) END"
+               if two else "'CAT' || CAST(m5 AS STRING)")
         return f"""
-SELECT upper(substr(p_type, 1, 2)) || '_' || lpad(substr(p_brand, 7, 2), 2, '0') AS id,
-       {cat} AS cat, min(p_brand) AS subcat,
-       CASE WHEN min(p_size) % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
-FROM part GROUP BY upper(substr(p_type, 1, 2)) || '_' || lpad(substr(p_brand, 7, 2), 2, '0')"""
+SELECT 'C' || CAST(m5 AS STRING) || '_' || lpad(CAST(m30 AS STRING), 2, '0') AS id,
+       {cat} AS cat, 'SUB' || CAST(m30 AS STRING) AS subcat,
+       CASE WHEN m30 % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
+FROM (SELECT DISTINCT {k} % 5 AS m5, {k} % 30 AS m30 FROM part) c"""
     if table == "crm_sales_details":
         sql = f"""
 SELECT 'SO' || CAST(l.l_orderkey AS STRING) AS sls_ord_num,
-       'K' || CAST(l.l_partkey % 1000 AS STRING) AS sls_prd_key,
+       'K' || CAST(CAST(floor(l.l_partkey / 2) AS BIGINT) AS STRING) AS sls_prd_key,
        CAST(o.o_custkey AS INT) AS sls_cust_id,
        CASE WHEN l.l_orderkey % 29 = 0 THEN 0 ELSE {packed('o.o_orderdate')} END AS sls_order_dt,
        {packed('l.l_shipdate')} AS sls_ship_dt,

@@ -45,7 +45,7 @@ def _timed(records: list, table: str, step: str, fn):
 
 
 def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
-              records: list | None = None, parallel: int = 3) -> None:
+              records: list | None = None, parallel: int = 6) -> None:
     """Full reload of the six raw tables from one batch folder.  The six
     loads are independent Spark jobs submitted from a small thread pool."""
     records = records if records is not None else []
@@ -71,7 +71,7 @@ def _stage_sources(wh: Warehouse, load: int, load_ts, safe: bool) -> dict[str, D
 
 
 def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
-               records: list | None = None, parallel: int = 3) -> None:
+               records: list | None = None, parallel: int = 6) -> None:
     """Merge every cleaned source into its stage history table; append new
     sales rows.  Each merge reads only the active slice of the previous
     state."""

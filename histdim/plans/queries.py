@@ -8,6 +8,7 @@ so the work grows with the tables.  Timestamps are returned as dates.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -331,10 +332,11 @@ def q_pipeline_two_batches(spark, sf):
     from histdim.plans.pipeline import read_table, run_batch
     register_tables(spark, sf)
     batches = scratch_path(spark, "raw-batches")
-    for b in (1, 2):
-        for table in RAW:
-            files.write_delimited(spark.sql(derived.batch_sql(table, b)),
-                                  files.batch_path(batches, f"batch{b}", table))
+    jobs = [(b, table) for b in (1, 2) for table in RAW]
+    with ThreadPoolExecutor(max_workers=6) as ex:   # independent small writes
+        list(ex.map(lambda j: files.write_delimited(
+            spark.sql(derived.batch_sql(j[1], j[0])),
+            files.batch_path(batches, f"batch{j[0]}", j[1])), jobs))
     root = scratch_path(spark, "warehouse")
     run_batch(spark, root, batches, "batch1", 1, LOAD_TS)
     run_batch(spark, root, batches, "batch2", 2, LOAD_TS_2)
