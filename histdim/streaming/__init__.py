@@ -1,0 +1,9 @@
+"""Streaming: nothing to build.
+
+The warehouse load being re-expressed has no streaming, watermark, window,
+session or late-data construct: every load is a whole batch folder, run by
+hand one after another.  Batches are loaded with
+:func:`histdim.plans.pipeline.run_batch`; a scheduler or file-arrival
+trigger can call it per folder.  No streaming operator is added here so as
+not to invent behaviour the original load does not have.
+"""
