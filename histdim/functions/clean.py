@@ -34,6 +34,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def load_time(value) -> Column:
+    """A load time as a zone-less ``timestamp_ntz`` literal.  Built from text
+    so neither the Python process's nor the session's time zone can shift
+    it (``F.lit(datetime)`` would be a zoned timestamp)."""
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def decode_codes(c, mapping: Mapping[str, str], default: str | None = MISSING) -> Column:
     """Trim + upper-case a code and map it to its label; unknown codes,
     blanks and NULL become ``default``."""
@@ -137,7 +150,7 @@ def parse_mixed_date(c, formats: Sequence[str] = MIXED_DATE_FORMATS) -> Column:
 def null_future_dates(c, load_ts) -> Column:
     """Dates later than the load time are impossible: NULL them."""
     d = _c(c)
-    return F.when(d > F.lit(load_ts), F.lit(None)).otherwise(d)
+    return F.when(d > load_time(load_ts), F.lit(None)).otherwise(d)
 
 
 def int_div(a, b) -> Column:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histdim.functions.clean import load_time
 from histdim.functions.compare import changed as _changed
 from histdim.sources.schemas import ACTIVE, INACTIVE
 
@@ -42,7 +43,7 @@ def _any_null(cols) -> Column:
 
 
 def _ts(load_ts) -> Column:
-    return F.lit(load_ts).cast(T.TimestampNTZType())
+    return load_time(load_ts)
 
 
 def with_load_defaults(df: DataFrame, load_ts, flag: str = ACTIVE) -> DataFrame:
@@ -80,7 +81,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys, load_ts,
     biz = _business_cols(target)
     compare = list(compare) if compare is not None else [c for c in biz if c not in keys]
     types = {f.name: f.dataType for f in target.schema.fields}
-    load_day = F.lit(load_ts).cast(T.DateType())
+    load_day = load_time(load_ts).cast(T.DateType())
 
     hist = target.filter(F.col("is_current") != F.lit(ACTIVE))
     act = target.filter(F.col("is_current") == F.lit(ACTIVE))
@@ -178,7 +179,7 @@ def scd2_dim_load(dim: DataFrame, source: DataFrame, key: str, surrogate: str, l
     types = {f.name: f.dataType for f in dim.schema.fields}
     biz = [c for c in _business_cols(dim) if c != surrogate]
     src = source.select(*[F.col(c).cast(types[c]).alias(c) for c in biz])
-    load_day = F.lit(load_ts).cast(T.DateType())
+    load_day = load_time(load_ts).cast(T.DateType())
 
     hist = dim.filter(F.col("is_current") != F.lit(ACTIVE))
     act = dim.filter(F.col("is_current") == F.lit(ACTIVE))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histdim.functions.clean import parse_packed_date, reconcile, repair_amounts
+from histdim.functions.clean import load_time, parse_packed_date, reconcile, repair_amounts
 from histdim.operators.dedupe import current_rows, exact_dedupe, open_rows
 from histdim.operators.joins import anti_by, append_new_exact, lookup
 
@@ -75,7 +75,7 @@ def load_sales_stage(raw: DataFrame, target: DataFrame, load_ts,
     ``null_safe=True`` makes the load idempotent."""
     clean = exact_dedupe(clean_sales(raw))
     new = append_new_exact(clean, target.select(*SALES_COLS), SALES_COLS, null_safe=null_safe)
-    return new.withColumn("dwh_create_date", F.lit(load_ts).cast(T.TimestampNTZType()))
+    return new.withColumn("dwh_create_date", load_time(load_ts))
 
 
 FACT_COLS = ["order_number", "product_key", "customer_key", "order_date", "shipping_date",
@@ -143,4 +143,4 @@ def load_fact(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFram
     else:
         raise ValueError(f"unknown match {match!r}")
     return new.select(*FACT_COLS).withColumn("dwh_create_date",
-                                             F.lit(load_ts).cast(T.TimestampNTZType()))
+                                             load_time(load_ts))
