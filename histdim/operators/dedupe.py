@@ -116,7 +116,13 @@ def _range_runs(df: DataFrame, keys: list[str], ordering: list[Column],
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_sort = [F.col(k).asc_nulls_first() for k in keys]
-    r = df.repartitionByRange(n, *key_sort, *ordering).withColumn("__p", F.spark_partition_id())
+    # a random last sort key lets the range partitioner split even a flood
+    # of rows that are identical in every ordering column (such rows are
+    # interchangeable, so which one comes first does not change the result)
+    ordering = list(ordering) + [F.col("__rnd").asc()]
+    r = (df.withColumn("__rnd", F.rand(20240101))
+           .repartitionByRange(n, *key_sort, *ordering)
+           .withColumn("__p", F.spark_partition_id()))
     w = Window.partitionBy("__p", *keys).orderBy(*ordering)
     runs = (r.withColumn("__rn", F.row_number().over(w))
              .withColumn("__last", F.lead(F.lit(1)).over(w).isNull()))
