@@ -9,11 +9,20 @@ from histdim.llm.frames import table
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text of ``documents``."""
-    from histdim.llm.secrets import BASE_RULES, digest_spans, scan_secrets
+    from histdim.llm.spans import digest_spans
+    from histdim.llm.secrets import BASE_RULES, scan_secrets
 
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return digest_spans(found, "doc_id", [r.kind for r in BASE_RULES])
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan,)}
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``, also disguised."""
+    from histdim.llm.pii import KINDS, find_personal_data
+    from histdim.llm.spans import digest_spans
+
+    return digest_spans(find_personal_data(table(spark, sf_dir, "documents")), "doc_id", KINDS)
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op8_pii)}
 ORACLES: dict[str, str] = {}

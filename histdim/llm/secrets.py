@@ -24,10 +24,9 @@ from re import _parser as parser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from histdim.llm.frames import id_text
+from histdim.llm.spans import ARROW_SPANS, span_schema
 from histdim.llm.words import ascii_lower, blocks, utf8
 
 #: A set of strings that grows beyond this is given up for a weaker query.
@@ -237,16 +236,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rules' order; code points, end exclusive.  Matches of one rule are leftmost
     and don't overlap; one whose checked group is too short is dropped."""
     df = id_text(docs, id_col, text_col)
-    schema = T.StructType([
-        T.StructField("id", df.schema["id"].dataType),
-        T.StructField("spans", T.ArrayType(T.StructType([
-            T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
-            T.StructField("end", T.LongType())])))])
     rules = tuple(rules)
 
     def scan(batches):
         index, patterns = TrigramIndex(rules), [r.compiled() for r in rules]
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             data, offs = utf8(batch.column(1))
             spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
@@ -263,21 +256,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 for d, found_in in hits.items():
                     text = part[po[d]:po[d + 1]]
                     lead = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-                    spans[lo + d] = [{"kind": rules[r].kind, "start": int(lead[a]), "end": int(lead[b])}
+                    spans[lo + d] = [{"kind": rules[r].kind, "start": int(lead[a]), "end": int(lead[b]),
+                                      "base": rules[r] in BASE_RULES}
                                      for a, r, b in sorted(found_in)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["id", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, ARROW_SPANS)], ["id", "spans"])
 
-    return df.mapInArrow(scan, schema).withColumnRenamed("id", id_col)
-
-
-def digest_spans(found: DataFrame, id_col: str, base: Sequence[str]) -> DataFrame:
-    """Counts of the ``base`` kinds, the digest of their spans, and all spans as text."""
-    def text(arr):
-        return F.array_join(F.transform(arr, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-    def of(*kinds):
-        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
-
-    return found.select(
-        id_col, *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
-        F.sha2(text(of(*base)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    return df.mapInArrow(scan, span_schema(df.schema["id"].dataType)).withColumnRenamed("id", id_col)

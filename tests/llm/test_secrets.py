@@ -3,7 +3,8 @@ import random
 import re
 
 from histdim.llm.registry import op1_secret_scan
-from histdim.llm.secrets import RULES, Rule, TrigramIndex, digest_spans, scan_secrets, trigram_query
+from histdim.llm.secrets import RULES, Rule, TrigramIndex, scan_secrets, trigram_query
+from histdim.llm.spans import digest_spans
 from tests.llm.helpers import ODD_TEXTS, as_dicts, by_id, docs
 
 BASE = ["assign", "access", "hex"]
