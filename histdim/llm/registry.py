@@ -16,6 +16,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(found, "doc_id", [r.kind for r in BASE_RULES])
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics and the verdict on every document."""
+    from histdim.llm.quality import judge_documents
+
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``, also disguised."""
     from histdim.llm.pii import KINDS, find_personal_data
@@ -24,5 +32,5 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(find_personal_data(table(spark, sf_dir, "documents")), "doc_id", KINDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op8_pii)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_quality, op8_pii)}
 ORACLES: dict[str, str] = {}
