@@ -24,6 +24,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-copy component of every document."""
+    from histdim.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``, also disguised."""
     from histdim.llm.pii import KINDS, find_personal_data
@@ -32,5 +39,5 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(find_personal_data(table(spark, sf_dir, "documents")), "doc_id", KINDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_quality, op8_pii)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_quality, op6_simhash, op8_pii)}
 ORACLES: dict[str, str] = {}
