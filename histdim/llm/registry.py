@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histdim.llm.frames import table
 
@@ -16,6 +17,34 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(found, "doc_id", [r.kind for r in BASE_RULES])
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document once repeated 13-word passages are removed."""
+    from histdim.llm.substrings import DedupParams, kept_texts
+
+    kept = kept_texts(table(spark, sf_dir, "documents"), params=DedupParams(window=13))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s
+  FROM w, unnest(range(1, greatest(len(ws) - 11, 1))) AS t(i)),
+f AS (SELECT s, min(doc_id) AS m FROM g GROUP BY s),
+r AS (
+  SELECT DISTINCT g.doc_id, g.i + j AS p
+  FROM g JOIN f USING (s), unnest(range(13)) AS u(j) WHERE f.m < g.doc_id),
+p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+k AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p.p) AS kept
+  FROM p ANTI JOIN r ON p.doc_id = r.doc_id AND p.p = r.p GROUP BY p.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics and the verdict on every document."""
     from histdim.llm.quality import judge_documents
@@ -39,5 +68,5 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(find_personal_data(table(spark, sf_dir, "documents")), "doc_id", KINDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_quality, op6_simhash, op8_pii)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_quality, op6_simhash, op8_pii)}
+ORACLES = {"op2_substring_dedup": OP2_SQL}

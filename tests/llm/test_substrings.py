@@ -1,0 +1,91 @@
+import random
+
+import numpy as np
+import pytest
+
+from histdim.llm.registry import OP2_SQL, op2_substring_dedup
+from histdim.llm.substrings import DedupParams, by_shard, kept_texts, spread, squeeze
+from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs, prose
+from tests.llm.oracle import same_rows
+
+SMALL = DedupParams(chunk_bytes=2000, shard_windows=100, least_shards=3)
+
+
+def brute(rows, k=13):
+    words = [WORD.findall(t or "") for _, t in rows]
+    least = {}
+    for (i, _), w in zip(rows, words):
+        for a in range(len(w) - k + 1) if i is not None else ():
+            g = tuple(w[a:a + k])
+            least[g] = min(least.get(g, i), i)
+    out = []
+    for (i, _), w in zip(rows, words):
+        gone = set()
+        for a in range(len(w) - k + 1) if i is not None else ():
+            if least[tuple(w[a:a + k])] < i:
+                gone.update(range(a, a + k))
+        out.append((i, len(w), len(gone), " ".join(x for n, x in enumerate(w) if n not in gone)))
+    return out
+
+
+def repeated_texts():
+    rnd = random.Random(12)
+    shared = [prose(rnd, n) for n in (12, 13, 14, 30, 60)]
+    texts = [*ODD_TEXTS, shared[3], shared[3]]
+    for _ in range(120):
+        parts = [prose(rnd, rnd.randrange(40)) for _ in range(4)]
+        for _ in range(rnd.randrange(3)):
+            parts.insert(rnd.randrange(4), rnd.choice(shared))
+        texts.append(rnd.choice([" ", "\n", " \t "]).join(parts))
+    texts += [texts[20]] * 30 + [prose(rnd, 50) + " q" * 80 for _ in range(3)]
+    return texts
+
+
+@pytest.mark.parametrize("params", [SMALL, DedupParams()])
+def test_matches_brute_force(spark, params):
+    texts = repeated_texts()
+    rnd = random.Random(0)
+    ids = rnd.sample(range(100_000), len(texts))
+    ids[50], ids[60] = None, ids[61]
+    rows = list(zip(ids, texts))
+    got = kept_texts(docs(spark, texts, ids).repartition(5), params=params)
+    key = lambda r: (r[0] is None, r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(brute(rows), key=key)
+
+
+def test_only_repeated_windows_reach_the_second_pass(spark):
+    from histdim.llm import substrings as m
+
+    texts = [prose(random.Random(i), 400, 100_000) for i in range(60)]
+    texts[40] = texts[3]
+    params = DedupParams(chunk_bytes=20_000, shard_windows=2000, least_shards=4)
+    held = m.chunks(docs(spark, texts), "doc_id", "text", params)
+    total = sum(r.windows for r in held.collect())
+    assert total == 60 * 388
+    sketch = m.Sketch(12, params)
+    first = m.merged(m.sketched(held, sketch, params), sketch)
+    second = m.asked(m.answered(held, first), sketch, params).filter("shard >= 0")
+    sent = sum(len(spread(r.body, np.uint64, np.uint32, np.int64)[0]) for r in second.collect())
+    assert 2 * 388 - 400 <= sent < 0.5 * total
+    found = [r for r in by_id(kept_texts(docs(spark, texts), params=params)).values() if r["n_removed"]]
+    assert [(r["doc_id"], r["kept"]) for r in found] == [(40, "")]
+
+
+def test_messages_round_trip():
+    a, b = np.array([1, 2**63, 5], np.uint64), np.array([3, 0, 2**31], np.uint32)
+    for x, y in ((a, b), (a[:0], b[:0])):
+        p, q = spread(squeeze(x, y), np.uint64, np.uint32)
+        assert (p == x).all() and (q == y).all()
+    assert [(s, x.start, x.stop) for s, x in by_shard(np.array([0, 0, 2, 5, 5]))] == [(0, 0, 2), (2, 2, 3), (5, 3, 5)]
+    assert list(by_shard(np.zeros(0, int))) == []
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert kept_texts(docs(spark, [])).collect() == []
+    d = spark.createDataFrame([(2, "a b", 1, "x"), (2, "a b", 1, "x"), (None, None, None, None)],
+                              "doc_id long, text string, n_words int, kept string")
+    assert sorted(r["kept"] for r in as_dicts(kept_texts(d))) == ["", "a b", "a b"]
+
+
+def test_query_equals_its_sql(spark):
+    same_rows(spark, op2_substring_dedup, OP2_SQL, "/root/testdata/sf0.001")
