@@ -68,5 +68,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(find_personal_data(table(spark, sf_dir, "documents")), "doc_id", KINDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_quality, op6_simhash, op8_pii)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents into which a benchmark item leaked, with the item."""
+    from histdim.llm.tiling import TilingParams, find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), params=TilingParams())
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_quality, op6_simhash, op8_pii,
+                                  op9_decontamination)}
 ORACLES = {"op2_substring_dedup": OP2_SQL}
