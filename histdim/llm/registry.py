@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histdim.llm.frames import table
@@ -45,6 +45,19 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
 
 
+def label_domain() -> Column:
+    """The domain that a row of ``labels`` stands for."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior, rate and copies of every document for the target domain weights."""
+    from histdim.llm.mixing import document_rates
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", label_domain().alias("domain"))
+    return document_rates(table(spark, sf_dir, "documents"), labels, {"good": 0.85, "poor": 0.1, "toxic": 0.05})
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics and the verdict on every document."""
     from histdim.llm.quality import judge_documents
@@ -75,6 +88,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), params=TilingParams())
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op4_quality, op6_simhash, op8_pii,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op6_simhash, op8_pii,
                                   op9_decontamination)}
 ORACLES = {"op2_substring_dedup": OP2_SQL}
