@@ -66,6 +66,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, packed into rows of 2048."""
+    from histdim.llm.packing import PackParams, pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), params=PackParams(length=2048))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     from histdim.llm.simhash import near_duplicates
@@ -88,6 +95,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), params=TilingParams())
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op6_simhash, op8_pii,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op5_packing, op6_simhash, op8_pii,
                                   op9_decontamination)}
 ORACLES = {"op2_substring_dedup": OP2_SQL}

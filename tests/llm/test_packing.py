@@ -1,0 +1,120 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from histdim.llm.packing import PackParams, Room, best_fit_decreasing, matrix, pack_documents, tokenizer, write_packed
+from histdim.llm.registry import op5_packing
+from tests.llm.helpers import ODD_TEXTS, docs, prose
+
+SMALL = PackParams(length=64, pool_ids=700)
+
+
+def restored(rows, params):
+    """Each document's ids, from the pieces."""
+    found = {}
+    for r in rows:
+        ids = matrix([r], "input_ids", params.length)[0]
+        for doc, at, lo, hi in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens, r.cu_seqlens[1:]):
+            found.setdefault(doc, []).append((at, ids[lo:hi].tolist()))
+    out = {}
+    for doc, pieces in found.items():
+        pieces.sort()
+        assert all(a + len(x) == b for (a, x), (b, _) in zip(pieces, pieces[1:])) and pieces[0][0] == 0
+        out[doc] = [i for _, x in pieces for i in x]
+    return out
+
+
+def check_rows(rows, params):
+    for r in rows:
+        ids, at = (matrix([r], c, params.length)[0] for c in ("input_ids", "position_ids"))
+        assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= params.length
+        assert (ids[r.n_tokens:] == params.pad_id).all()
+        edges = [*r.cu_seqlens, params.length]
+        assert at.tolist() == [x for a, b in zip(edges, edges[1:]) for x in range(b - a)]
+        assert all(a < b for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]))
+    assert len({r.row_id for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("params", [SMALL, PackParams()])
+def test_round_trip(spark, params):
+    rnd = random.Random(3)
+    texts = [*(t for t in ODD_TEXTS), *(prose(rnd, rnd.randrange(120)) for _ in range(100)), "a  b \n c ", " x", "é　ü y\n z"]
+    rows = pack_documents(docs(spark, texts).repartition(3), params=params).collect()
+    check_rows(rows, params)
+    encoding = tokenizer(params).encoding
+    got = restored(rows, params)
+    assert sorted(got) == list(range(len(texts)))
+    for i, t in enumerate(texts):
+        assert got[i][-1] == params.end_id and encoding.decode(got[i][:-1]) == (t or "")
+        assert got[i][:-1] == encoding.encode_ordinary(t or "")
+
+
+def brute_best_fit(sizes, length):
+    rows = []
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        fits = [r for r in rows if r[0] >= sizes[k]]
+        if fits:
+            row = min(fits, key=lambda r: r[0])
+        else:
+            row = [length, []]
+            rows.append(row)
+        row[0] -= sizes[k]
+        row[1].append(k)
+    return sorted(r[0] for r in rows)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=80))
+def test_packing_is_best_fit_decreasing(sizes):
+    rows = best_fit_decreasing(sizes, 50)
+    assert sorted(k for r in rows for k in r) == list(range(len(sizes)))
+    assert sorted(50 - sum(sizes[k] for k in r) for r in rows) == brute_best_fit(sizes, 50)
+
+
+def test_room_finds_the_least_that_fits():
+    rnd = random.Random(1)
+    room, held = Room(100), []
+    for n in range(2000):
+        if held and rnd.random() < 0.5:
+            need = rnd.randrange(1, 101)
+            want = min((h for h in held if h >= need), default=None)
+            assert room.least(need) == want
+            if want is not None:
+                room.take(want)
+                held.remove(want)
+        else:
+            held.append(rnd.randrange(1, 101))
+            room.put(held[-1], n)
+
+
+def test_rows_do_not_change_when_a_task_runs_again(spark):
+    rnd = random.Random(3)
+    d = pack_documents(docs(spark, [prose(rnd, 50) for _ in range(60)]).repartition(4), params=SMALL)
+    assert sorted(d.collect()) == sorted(d.collect())
+
+
+def test_files(spark, tmp_path):
+    packed = pack_documents(docs(spark, ["a b c", None]), params=SMALL)
+    write_packed(packed, str(tmp_path / "p"))
+    assert sorted(spark.read.parquet(str(tmp_path / "p")).collect()) == sorted(packed.collect())
+
+
+def test_query_over_the_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    source = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    rows = op5_packing(spark, sf).collect()
+    check_rows(rows, PackParams())
+    got, encoding = restored(rows, PackParams()), tokenizer(PackParams()).encoding
+    assert {i: encoding.decode(x[:-1]) for i, x in got.items()} == {r.doc_id: r.text for r in source}
+    assert sum(r.n_tokens for r in rows) > 0.9 * 2048 * len(rows)
+
+
+def test_odd_rows(spark):
+    assert pack_documents(docs(spark, []), params=SMALL).collect() == []
+    d = spark.createDataFrame([("k", "a", 1, "x"), ("k", "a", 1, "x"), (None, None, None, None)],
+                              "doc_id string, text string, row_id int, part string")
+    rows = pack_documents(d.coalesce(1), params=SMALL).collect()
+    assert sorted(map(str, rows[0].doc_ids)) == ["None", "k", "k"] and np.sum([r.n_tokens for r in rows]) == 5
