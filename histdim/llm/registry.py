@@ -80,6 +80,28 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and back, by way of the merged index."""
+    from histdim.llm.warc import archived_index
+    from histdim.session import scratch_path
+
+    index = archived_index(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> m THEN m END AS refers_to
+FROM d
+"""
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``, also disguised."""
     from histdim.llm.pii import KINDS, find_personal_data
@@ -95,6 +117,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), params=TilingParams())
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op5_packing, op6_simhash, op8_pii,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op5_packing, op6_simhash, op7_warc, op8_pii,
                                   op9_decontamination)}
-ORACLES = {"op2_substring_dedup": OP2_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL}
