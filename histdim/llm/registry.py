@@ -117,6 +117,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), params=TilingParams())
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from histdim.llm.html import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op5_packing, op6_simhash, op7_warc, op8_pii,
-                                  op9_decontamination)}
+                                  op9_decontamination, op10_main_text)}
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL}
