@@ -1,0 +1,98 @@
+import pytest
+
+import corpus_pipeline as cp
+from histdim.llm.mixing import document_rates
+from histdim.llm.packing import PackParams, tokenizer
+from histdim.llm.quality import judge_documents
+from tests.llm.helpers import as_dicts, by_id, docs
+from tests.llm.test_packing import check_rows, restored
+from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_tiling import tokens
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """What goes into each stage, and what the last returns."""
+    held = [spark.read.parquet(f"{SF}/documents.parquet")]
+    for _, f in cp.STAGES:
+        out = f(spark, held[-1], SF)
+        held.append(spark.createDataFrame(out.collect(), out.schema))
+    return held
+
+
+def rows(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_stages_keep_the_columns(steps):
+    assert [s for s, _ in cp.STAGES] == ["quality rules", "SimHash near-dedup", "benchmark decontamination",
+                                         "mixing sources to target weights", "token-ID / binary output"]
+    assert all(s.schema.names == steps[0].schema.names for s in steps[:5])
+
+
+def test_quality_stage(spark, steps):
+    verdict = by_id(judge_documents(steps[0], spark.read.parquet(f"{SF}/labels.parquet")))
+    assert rows(steps[1]) == sorted((r for r in steps[0].collect() if verdict[r.doc_id]["kept"]), key=str)
+    assert 0 < len(rows(steps[1])) < len(rows(steps[0]))
+
+
+def test_simhash_stage(steps):
+    source = steps[1].collect()
+    ids = [r.doc_id for r in source]
+    roots = brute_components([brute_print(r.text) for r in source], ids)
+    assert rows(steps[2]) == sorted((r for r, c in zip(source, roots) if r.doc_id == c), key=str)
+    assert len(rows(steps[2])) < len(source)
+
+
+def test_decontamination_stage(spark, steps):
+    items = [f" {' '.join(tokens(r.text))} " for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    left = {r.doc_id for r in steps[3].collect()}
+    for r in steps[2].collect():
+        mine = set(tokens(r.text))
+        whole = any(i in f" {' '.join(tokens(r.text))} " for i in items)
+        if whole:
+            assert r.doc_id not in left
+        elif all(len(mine & set(i.split())) < 0.5 * len(set(i.split())) for i in items):
+            assert r.doc_id in left
+    assert len(left) < len(steps[2].collect())
+
+
+def test_mixing_stage(spark, steps):
+    from pyspark.sql import functions as F
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select(
+        "doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("domain"))
+    rates = as_dicts(document_rates(steps[3], labels, cp.TARGETS, whole=("clean",), headroom=cp.HEADROOM))
+    copies = {r["doc_id"]: r["n_copies"] for r in rates}
+    assert rows(steps[4]) == sorted((r for r in steps[3].collect() for _ in range(copies[r.doc_id])), key=str)
+    assert all(r["n_copies"] >= 1 for r in rates if r["p_clean"] > 0.99)
+
+
+def test_token_stage(steps):
+    packed = steps[5].collect()
+    check_rows(packed, PackParams())
+    encoding, texts = tokenizer(PackParams()).encoding, {r.doc_id: r.text for r in steps[4].collect()}
+    many = [r.doc_id for r in steps[4].collect()]
+    once = [p for p in packed if all(many.count(d) == 1 for d in p.doc_ids)]
+    got = restored([p for p in packed], PackParams()) if len(set(many)) == len(many) else {}
+    assert all(encoding.decode(x[:-1]) == texts[i] for i, x in got.items())
+    assert once and sum(p.n_tokens for p in packed) == sum(len(encoding.encode_ordinary(r.text)) + 1 for r in steps[4].collect())
+
+
+def test_run_is_the_stages_one_after_the_other(spark, steps):
+    got = cp.run(spark, SF)
+    assert got.columns == steps[5].columns
+    assert sum(r.n_tokens for r in got.collect()) == sum(r.n_tokens for r in steps[5].collect())
+    assert sorted(d for r in got.collect() for d in r.doc_ids) == sorted(d for r in steps[5].collect() for d in r.doc_ids)
+
+
+def test_empty_and_odd_documents(spark):
+    odd = [docs(spark, []), docs(spark, [None, "", "a", "a"], [1, 2, 2, None])]
+    for d in odd:
+        for _, f in cp.STAGES:
+            f(spark, d, SF).collect()
+        for _, f in cp.STAGES:
+            d = f(spark, d, SF)
+        d.collect()
