@@ -4,7 +4,7 @@ A window is ``k`` consecutive words.  A word goes if a window over it also start
 in a document with a smaller id.  Two passes find those windows.
 
 1.  Documents are packed into chunks of a few MB (one compressed row each, stored
-    once in the shared folder).  Every chunk makes a sparse count-min sketch of its
+    once in the shared folder, bucketed by chunk so that text is never shuffled).  Every chunk makes a sparse count-min sketch of its
     windows, counted once per document: for each of two rows the cells and
     their counts.  The cells of a row are divided among shards by their high bits; each
     shard's sketches are merged in a task of its own and every chunk is told which of
@@ -33,12 +33,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from histdim.llm.frames import id_text, shuffle_partitions, stored
-from histdim.llm.words import Words, blocks, constants, mix, utf8, windows
+from histdim.llm.frames import id_text, shuffle_partitions
+from histdim.llm.words import Words, blocks, constants, mix, windows
+from histdim.session import scratch_path
 
 _U = np.uint64
 
@@ -127,7 +127,12 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, params: DedupParams) ->
         if ids:
             yield row()
 
-    return stored(df.mapInArrow(gather, "chunk long, packed binary, windows long"), "chunks")
+    # Bucketed by chunk: the joins with messages to the chunks move the messages alone.
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "chunks")
+    name = f"chunks_{path.rpartition('-')[2]}"
+    (df.mapInArrow(gather, "chunk long, packed binary, windows long").write.option("path", path)
+     .bucketBy(2 * shuffle_partitions(spark), "chunk").saveAsTable(name))
+    return spark.table(name)
 
 
 # --- messages ---------------------------------------------------------------------
@@ -237,15 +242,15 @@ def estimated(chunk: Chunk, sketch: Sketch, answers: list[dict]) -> np.ndarray:
 
 def exact_rows(chunk: Chunk, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(h, g, least id, place among them of each window that is ``often``): the
-    distinct windows by (h, g) with the chunk's least document."""
+    distinct windows in order of h, with the chunk's least document."""
     h, g, ids = chunk.h[often], chunk.g[often], chunk.ids[chunk.row[often]]
-    order = np.lexsort((ids, g, h))
-    new = np.ones(len(order), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    if not len(h):
+        return h, g, ids, np.zeros(0, np.int64)
+    order, new = _runs(h, g)
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(new) - 1
     first = order[new]
-    return h[first], g[first], ids[first], place
+    return h[first], g[first], np.minimum.reduceat(ids[order], np.flatnonzero(new)), place
 
 
 def _exact_shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -253,15 +258,16 @@ def _exact_shard(h: np.ndarray, shards: int) -> np.ndarray:
 
 
 def asked(with_answers: DataFrame, sketch: Sketch, params: DedupParams) -> DataFrame:
-    """(chunk, packed, often) and in separate rows the messages of the second pass;
-    a chunk's rows are told apart by ``shard`` (-1: the chunk itself)."""
+    """(shard, part, chunk, body): part 0 holds the windows estimated repeated, by
+    shards of the hash; part 1 tells the chunk itself later which they were."""
     def make(batches):
         for batch in batches:
             for chunk, packed, answers in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 c = Chunk(packed, params.window)
                 often = estimated(c, sketch, answers or [])
                 h, g, ids, _ = exact_rows(c, often)
-                rows = [(-1, 0, chunk, zstandard.ZstdCompressor(level=1).compress(np.packbits(often).tobytes()))]
+                marks = zstandard.ZstdCompressor(level=1).compress(np.packbits(often).tobytes())
+                rows = [(-1 - chunk % sketch.shards, 1, chunk, marks)]
                 for s, own in by_shard(_exact_shard(h, sketch.shards)):
                     rows.append((s, 0, chunk, squeeze(h[own], g[own], ids[own])))
                 yield _messages(rows)
@@ -271,15 +277,18 @@ def asked(with_answers: DataFrame, sketch: Sketch, params: DedupParams) -> DataF
 
 def grouped(messages: DataFrame) -> DataFrame:
     """The exact groups of a shard: to each chunk the places of its windows that a
-    smaller document has, and that document."""
+    smaller document has, and that document.  Part 1 passes."""
     def least(table: pa.Table) -> pa.Table:
+        if table["shard"][0].as_py() < 0:
+            return table
         parts = [spread(b.as_py(), _U, np.uint32, np.int64) for b in table["body"]]
         h, g, ids = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((ids, g, h))
-        new = np.ones(len(order), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+        order, new = _runs(h, g)
+        if (h[order][1:] == h[order][:-1])[new[1:]].any():      # one h with several g: only the full order groups them
+            order = np.lexsort((g, h))
+            new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
         low = np.empty(len(order), np.int64)
-        low[order] = ids[order][new][np.cumsum(new) - 1]
+        low[order] = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         bodies, at = [], 0
         for _, _, own in parts:
             low_own = low[at:at + len(own)]
@@ -291,11 +300,22 @@ def grouped(messages: DataFrame) -> DataFrame:
     return messages.groupBy("shard").applyInArrow(least, _MESSAGE)
 
 
-def removed_words(chunk: Chunk, often: np.ndarray, shards: int, answers: list[dict], k: int) -> np.ndarray:
+def _runs(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by h, and in it where a run of equal (h, g) begins."""
+    order = np.argsort(h)
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    return order, new
+
+
+def removed_words(chunk: Chunk, shards: int, answers: list[dict], k: int) -> np.ndarray:
     """A flag for each word of the chunk."""
+    marks = next(a["body"] for a in answers if a["part"] == 1)
+    bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(marks), np.uint8)
+    often = np.unpackbits(bits, count=len(chunk.h)).astype(bool)
     h, _, least, place = exact_rows(chunk, often)
     own = dict(by_shard(_exact_shard(h, shards)))
-    for a in answers:
+    for a in (a for a in answers if a["part"] == 0):
         gap, low = spread(a["body"], np.uint32, np.int64)
         least[own[a["shard"]].start + np.cumsum(gap, dtype=np.int64)] = low
     at, row = chunk.at[often], chunk.row[often]
@@ -314,19 +334,14 @@ def kept_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = held.agg(F.sum("windows")).first()[0] or 0
     sketch = Sketch(max(params.least_shards, -(-total // params.shard_windows)), params)
     first = merged(sketched(held, sketch, params), sketch)
-    second = stored(asked(answered(held, first), sketch, params), "repeated")
-    exact = grouped(second.filter("shard >= 0"))
-    often = second.filter("shard < 0").select("chunk", F.col("body").alias("often"))
-    ready = answered(held, exact).join(often, "chunk")
+    ready = answered(held, grouped(asked(answered(held, first), sketch, params)))
     k = params.window
 
     def rest(batches):
         for batch in batches:
-            for packed, answers, marks in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                                for c in ("packed", "answers", "often"))):
+            for packed, answers in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 c = Chunk(packed, k)
-                bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(marks), np.uint8)
-                gone = removed_words(c, np.unpackbits(bits, count=len(c.h)).astype(bool), sketch.shards, answers or [], k)
+                gone = removed_words(c, sketch.shards, answers, k)
                 raw, bounds, out = c.data.tobytes(), c.bounds, []
                 n_gone = np.concatenate([[0], np.cumsum(gone)])[bounds]
                 for i in range(len(c.ids)):
