@@ -179,6 +179,3 @@ def reconcile(primary, fallback, missing: str = MISSING) -> Column:
     ``fallback``; then ``missing``."""
     p = _c(primary)
     return F.when(p != F.lit(missing), p).otherwise(F.coalesce(_c(fallback), F.lit(missing)))
-
-
-SENTINEL_DATE = _dt.date(1900, 1, 1)

@@ -64,14 +64,3 @@ def changed(pairs: Iterable[tuple[Column, Column, T.DataType]], mode: str = "sen
     if not terms:
         return F.lit(False)
     return functools.reduce(operator.or_, terms)
-
-
-def column_pairs(left_schema: T.StructType, cols: Iterable[str], left_prefix: str = "",
-                 right_prefix: str = "", right_cols: Iterable[str] | None = None):
-    """Build ``(left col, right col, type)`` triples; the type comes from the
-    left schema (sentinels are chosen per column type)."""
-    cols = list(cols)
-    right_cols = list(right_cols) if right_cols is not None else cols
-    types = {f.name: f.dataType for f in left_schema.fields}
-    return [(F.col(left_prefix + lc), F.col(right_prefix + rc), types[lc])
-            for lc, rc in zip(cols, right_cols)]

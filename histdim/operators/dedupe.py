@@ -4,18 +4,18 @@ Skew: any key may hold a large share of all rows.  ``latest_per_key`` relies
 on Catalyst's ``WindowGroupLimit``, which keeps only the top row per key in
 every map task *before* the shuffle, so a hot key sends at most one row per
 map task.  The operators that must keep every row (``flag_latest``,
-``derive_end_date``, ``flag_open``) first range-partition on
-``(key, order)``: a hot key is then spread over many contiguous partitions,
-each task works on a bounded slice, and one tiny table with one row per
-partition (bounded by the partition count, so safe to broadcast) stitches the
-slices together.
+``derive_end_date``, ``flag_open``) cut the rows into ranges of
+``(key, order)``: a hot key is then spread over many ranges, each task works on
+a bounded slice, and one tiny table with one row per range (bounded by the
+partition count, so safe to broadcast) stitches the slices together.  Only rows
+that no ordering column tells apart stay in one range (see ``exact_dedupe``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,28 +101,90 @@ def latest_per_key(df: DataFrame, keys, order, tie_break: bool = True) -> DataFr
               .filter(F.col("__rn") == 1).drop("__rn"))
 
 
-# --- range-partitioned runs (skew-safe ordered windows) ---------------------
+# --- runs of ordered rows (skew-safe ordered windows) -----------------------
+
+#: Sampled rows per bound.
+_PER_BOUND = 32
+
+
+def _direction(c: Column) -> tuple[Column, bool, bool]:
+    """(expression, descending, NULLs last) of a sort column."""
+    from pyspark.sql.classic.column import Column as Classic
+
+    node = c._jc.node()
+    if not node.getClass().getSimpleName() == "SortOrder":
+        return c, False, False
+    jvm = SparkSession.active()._jvm
+    text = (node.sortDirection().toString() + node.nullOrdering().toString()).lower()
+    return Classic(jvm.org.apache.spark.sql.Column(node.child())), "desc" in text, "last" in text
+
+
+def _ascending(c: Column, dtype: T.DataType, descending: bool) -> Column | None:
+    """A value that ascends as ``c`` is ordered, or None if there is no such one."""
+    if not descending:
+        return c if _orderable(dtype) else None
+    if isinstance(dtype, T.IntegralType):
+        return F.bitwise_not(c)
+    if isinstance(dtype, T.DateType):
+        return F.bitwise_not(F.unix_date(c))
+    if isinstance(dtype, T.TimestampType):
+        return F.bitwise_not(F.unix_micros(c))
+    if isinstance(dtype, T.BooleanType):
+        return ~c
+    return -c if isinstance(dtype, T.DecimalType) else None
+
+
+def _sort_key(df: DataFrame, keys: list[str], ordering: list[Column]) -> Column:
+    """One value that ascends with (keys, ordering), as far as the columns allow;
+    rows that it does not tell apart stay together."""
+    parts = [F.col(k) for k in keys]
+    for c in ordering:
+        e, desc, nulls_last = _direction(c)
+        dtype = df.select(e.alias("x")).schema["x"].dataType
+        up = _ascending(e, dtype, desc)
+        if up is None:
+            break
+        parts += [e.isNull(), up] if nulls_last else [up]
+    return F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
+
+
+def _literal(value, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+    return F.lit(value).cast(dtype)
+
 
 def _range_runs(df: DataFrame, keys: list[str], ordering: list[Column],
                 value: str | None = None, num_partitions: int | None = None):
-    """Range-partition on (keys, ordering) and compute, per row:
+    """Cut the rows, as ordered by (keys, ordering), into about
+    ``num_partitions`` ranges and compute, per row:
 
-    ``__p``     partition id; ``__rn`` row number inside its (partition, key)
+    ``__p``     its range; ``__rn`` row number inside its (range, key)
     run; ``__last`` whether it ends that run; ``__next`` the local next
-    ``value`` (if given).  Also returns a per-partition boundary table with the
-    previous partition's last key and the next partition's first key / first
-    ``value``, one row per non-empty partition.
+    ``value`` (if given).  The range follows from the row alone (bounds are sampled
+    once and become literals), so every evaluation and every retried task agrees on
+    it, and the one shuffle of rows is that on (range, key).  Joins a table of
+    neighbours with one row per range: the previous range's last key and the next
+    range's first key / first ``value``.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_sort = [F.col(k).asc_nulls_first() for k in keys]
-    # a random last sort key lets the range partitioner split even a flood
-    # of rows that are identical in every ordering column (such rows are
-    # interchangeable, so which one comes first does not change the result)
-    ordering = list(ordering) + [F.col("__rnd").asc()]
-    r = (df.withColumn("__rnd", F.rand(20240101))
-           .repartitionByRange(n, *key_sort, *ordering)
-           .withColumn("__p", F.spark_partition_id()))
+    sort_key = _sort_key(df, keys, ordering)
+    sample = (df.select(sort_key.alias("k")).orderBy(F.rand(7)).limit(n * _PER_BOUND)
+              .orderBy("k"))
+    rows = [r["k"] for r in sample.collect()]       # bounded: some rows per range
+    bounds = list(dict.fromkeys(rows[_PER_BOUND // 2::max(1, len(rows) // n)]))
+    kind = sample.schema["k"].dataType
+    if bounds:
+        cuts = F.array(*[_literal(b, kind) for b in bounds])
+        steps = F.array(*[F.lit(1 << b) for b in range(len(bounds).bit_length() - 1, -1, -1)])
+        # binary search: the number of bounds that are not above the row
+        place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+            (at + step <= len(bounds)) & (F.try_element_at(cuts, at + step) <= F.col("__k")),
+            at + step).otherwise(at))
+        r = df.withColumn("__k", sort_key).withColumn("__p", place).drop("__k")
+    else:
+        r = df.withColumn("__p", F.lit(0))
     w = Window.partitionBy("__p", *keys).orderBy(*ordering)
     runs = (r.withColumn("__rn", F.row_number().over(w))
              .withColumn("__last", F.lead(F.lit(1)).over(w).isNull()))
@@ -133,14 +195,13 @@ def _range_runs(df: DataFrame, keys: list[str], ordering: list[Column],
     aggs = [F.min(heads).alias("__head_key"), F.max(kstruct).alias("__tail_key")]
     if value is not None:
         aggs.append(F.min_by(F.col(value), heads).alias("__head_val"))
-    bounds = runs.groupBy("__p").agg(*aggs)
-    wp = Window.orderBy("__p")      # one row per partition: bounded, tiny
+    bounds_table = runs.groupBy("__p").agg(*aggs)
+    wp = Window.orderBy("__p")      # one row per range: bounded, tiny
     nb = [F.col("__p"), F.lag("__tail_key").over(wp).alias("__prev_tail"),
           F.lead("__head_key").over(wp).alias("__next_head")]
     if value is not None:
         nb.append(F.lead("__head_val").over(wp).alias("__next_head_val"))
-    bounds = bounds.select(*nb)
-    joined = runs.join(F.broadcast(bounds), "__p", "left")
+    joined = runs.join(F.broadcast(bounds_table.select(*nb)), "__p", "left")
     return joined, kstruct
 
 

@@ -71,6 +71,18 @@ def append_new_exact(src: DataFrame, tgt: DataFrame, cols: Sequence[str] | None
     return anti_by(src, tgt, cols, null_safe=null_safe)
 
 
+def append_new_hashed(src: DataFrame, tgt: DataFrame, cols: Sequence[str],
+                      null_safe: bool = False) -> DataFrame:
+    """As ``append_new_exact``; rows meet on one hash of ``cols`` and are compared
+    column by column there, so many columns make no wide join key."""
+    t = tgt.select(*[F.col(c).cast(src.schema[c].dataType).alias(f"__ah_{c}") for c in cols])
+    t = t.withColumn("__ah", F.xxhash64(*t.columns))
+    equal = [F.col(c).eqNullSafe(F.col(f"__ah_{c}")) if null_safe else F.col(c) == F.col(f"__ah_{c}")
+             for c in cols]
+    return (src.withColumn("__h", F.xxhash64(*cols))
+            .join(t, _all([F.col("__h") == F.col("__ah"), *equal]), "left_anti").drop("__h"))
+
+
 def new_keys_only(src: DataFrame, tgt: DataFrame, keys, tgt_keys=None) -> DataFrame:
     """Source rows whose key appears in no target row (any version)."""
     keys = _names(keys)

@@ -1,20 +1,20 @@
 """Star-schema building blocks: conformed sources, sales staging, fact load.
 
-All lookups go through :func:`histdim.operators.joins.lookup` (NULL keys
-bypass the shuffle; AQE decides broadcast from measured sizes and splits hot
-keys).  The tables joined here (customers, products) grow with the data, so
-nothing is broadcast by hint.
+All lookups go through :func:`histdim.operators.joins.lookup` (AQE decides
+broadcast from measured sizes and splits hot keys, NULL keys among them).  The
+tables joined here (customers, products) grow with the data, so nothing is
+broadcast by hint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from histdim.functions.clean import load_time, parse_packed_date, reconcile, repair_amounts
 from histdim.operators.dedupe import current_rows, exact_dedupe, open_rows
-from histdim.operators.joins import anti_by, append_new_exact, lookup
+from histdim.operators.joins import anti_by, append_new_hashed, lookup
+from histdim.session import frozen
 
 
 def conform_customers(ci: DataFrame, az12: DataFrame, loc: DataFrame,
@@ -67,14 +67,24 @@ def clean_sales(raw: DataFrame) -> DataFrame:
         price.cast("int").alias("sls_price"))
 
 
+def month_of(day: str):
+    """The partition that a dated row belongs to: yyyymm, 0 without a date."""
+    return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0))
+
+
 def load_sales_stage(raw: DataFrame, target: DataFrame, load_ts,
                      null_safe: bool = False) -> DataFrame:
     """Rows to append to the insert-only sales stage table: cleaned, exact
     duplicates removed, rows already present (all nine columns equal) left
     out.  Plain ``=`` matching re-admits rows with any NULL on every load;
-    ``null_safe=True`` makes the load idempotent."""
-    clean = exact_dedupe(clean_sales(raw))
-    new = append_new_exact(clean, target.select(*SALES_COLS), SALES_COLS, null_safe=null_safe)
+    ``null_safe=True`` makes the load idempotent.
+
+    The cleaned, de-duplicated rows are frozen first, so the anti join stays
+    above the de-duplication and compares columns, not cleaning expressions; rows meet on
+    one hash and are then compared in full.
+    """
+    clean = frozen(exact_dedupe(clean_sales(raw)), "sales")
+    new = append_new_hashed(clean, target.select(*SALES_COLS), SALES_COLS, null_safe=null_safe)
     return new.withColumn("dwh_create_date", load_time(load_ts))
 
 
@@ -144,3 +154,46 @@ def load_fact(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFram
         raise ValueError(f"unknown match {match!r}")
     return new.select(*FACT_COLS).withColumn("dwh_create_date",
                                              load_time(load_ts))
+
+
+FACT_STORED = ["product_number", "customer_id", *FACT_COLS, "dwh_create_date"]
+
+
+def is_pending():
+    """A fact row that waits for a dimension row: a business id without a key."""
+    return ((F.col("product_key").isNull() & F.col("product_number").isNotNull())
+            | (F.col("customer_key").isNull() & F.col("customer_id").isNotNull()))
+
+
+def sales_as_fact(sales: DataFrame) -> DataFrame:
+    """Staged sales under the fact's names, with business ids for keys."""
+    names = dict(zip(SALES_COLS, ["order_number", "product_number", "customer_id", "order_date",
+                                  "shipping_date", "due_date", "sales_amount", "quantity", "price"]))
+    return sales.select(*[F.col(c).alias(n) for c, n in names.items()])
+
+
+def load_fact_incremental(sales: DataFrame, pending: DataFrame, fact: DataFrame,
+                          dim_products: DataFrame, dim_customers: DataFrame, load_ts) -> DataFrame:
+    """The fact rows that a load settles (columns ``FACT_STORED``).
+
+    ``sales``: the sales staged by this load.  ``pending``: the fact rows that were
+    still without a key after the last load.  ``fact``: the settled rows that
+    may hold the same sales (their business ids are stored with them, so no dimension
+    is needed to compare; pass the batch's order months only).  A sale is
+    new if neither has its order number, business ids and order date (NULL equals NULL).
+    A key that is missing is looked up among the current dimension versions; a pending
+    row keeps the key that it has and its ``dwh_create_date``.  What ``is_pending`` selects of
+    the result replaces ``pending``; the rest is appended.
+    """
+    on = ["order_number", "product_number", "customer_id", "order_date"]
+    new = sales_as_fact(sales).distinct()
+    new = anti_by(new, fact.select(*on).unionByName(pending.select(*on)), on, null_safe=True)
+    rows = (new.withColumn("dwh_create_date", load_time(load_ts))
+            .unionByName(pending, allowMissingColumns=True)
+            .withColumns({"__p": F.when(F.col("product_key").isNull(), F.col("product_number")),
+                          "__c": F.when(F.col("customer_key").isNull(), F.col("customer_id"))}))
+    p = current_rows(dim_products).select(F.col("product_number").alias("__pn"), F.col("product_key").alias("__pk"))
+    c = current_rows(dim_customers).select(F.col("customer_id").alias("__cid"), F.col("customer_key").alias("__ck"))
+    keyed = lookup(lookup(rows, p, "__p", "__pn"), c, "__c", "__cid").withColumns({
+        "product_key": F.coalesce("product_key", "__pk"), "customer_key": F.coalesce("customer_key", "__ck")})
+    return keyed.select(*FACT_STORED)

@@ -37,6 +37,16 @@ SELECT o_orderkey,
             ELSE {us_text('o_orderdate')} END AS raw_date
 FROM orders"""
 
+# lines of a delimited file: id, name, day, at
+SQL["customer_lines"] = f"""
+SELECT c_custkey,
+       CASE WHEN c_custkey % 11 = 1 THEN 'X' ELSE '' END || CAST(c_custkey AS STRING) || ',' || c_name || ','
+       || CASE WHEN c_custkey % 13 = 2 THEN '2020-13-45' WHEN c_custkey % 2 = 0 THEN {iso_text('DATE ' + chr(39) + '2020-03-04' + chr(39))}
+               ELSE '3/4/2020 10:30:00' END
+       || CASE WHEN c_custkey % 17 = 3 THEN '' WHEN c_custkey % 19 = 4 THEN ',,extra'
+               WHEN c_custkey % 3 = 0 THEN ',2021-05-06 07:08:09' ELSE ',' END AS line
+FROM customer"""
+
 SQL["orders_null_keys"] = """
 SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
        o_custkey, o_orderstatus
@@ -220,6 +230,15 @@ SELECT CAST(c_custkey + 1000000 AS INT), 'AW' || CAST(c_custkey + 1000000 AS STR
        c_mktsegment, c_nationkey
 FROM customer WHERE c_custkey % 50 = 0"""
 
+# a dirty target: some keys have two active rows, one of them as the source has it
+SQL["merge_target_dirty"] = SQL["merge_target"] + """
+UNION ALL
+SELECT CAST(c_custkey AS INT), 'AW' || CAST(c_custkey AS STRING), c_name,
+       CASE WHEN c_custkey % 2 = 0 THEN 'SECOND' WHEN c_custkey % 5 = 0 THEN 'MACHINERY'
+            ELSE c_mktsegment END, c_nationkey, CAST('2023-03-01' AS TIMESTAMP), 'A',
+       CAST(NULL AS DATE)
+FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 10 <> 0"""
+
 # --- report dimension load: products ---------------------------------------
 SQL["dim_parts"] = """
 SELECT CAST(2 * p_partkey + 1 AS INT) AS product_key, CAST(p_partkey AS INT) AS product_id,
@@ -232,6 +251,14 @@ SELECT CAST(2 * p_partkey + 2 AS INT), CAST(p_partkey AS INT), p_name, 'OLD', p_
        CAST('2023-01-01' AS TIMESTAMP), 'I', DATE '2023-06-01'
 FROM part WHERE p_partkey % 4 = 0"""
 
+# some products have two active versions, one of them as the source has it
+SQL["dim_parts_dirty"] = SQL["dim_parts"] + """
+UNION ALL
+SELECT CAST(10000000 + p_partkey AS INT), CAST(p_partkey AS INT), p_name,
+       CASE WHEN p_partkey % 2 = 0 THEN 'Brand#X' ELSE 'SECOND' END, p_size,
+       CAST('2023-03-01' AS TIMESTAMP), 'A', CAST(NULL AS DATE)
+FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 10 <> 0"""
+
 SQL["src_parts"] = """
 SELECT CAST(p_partkey AS INT) AS product_id, p_name AS product_name,
        CASE WHEN p_partkey % 6 = 0 THEN 'Brand#X' ELSE p_brand END AS brand, p_size AS size

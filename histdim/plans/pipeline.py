@@ -2,13 +2,17 @@
 report star schema, composed from the operators.
 
 Every step takes the load id and ``load_ts`` as arguments (never the wall
-clock), reads the last *committed* state, writes only its own ``load=<id>``
-directories (see :mod:`histdim.sources.store`) and commits at the end, so a
-failed or repeated load can simply be run again.  ``safe=True`` applies the
-settled semantics (NULL-safe exact matching of sales rows, current-version
-joins, business-key fact matching, NULL keys dropped everywhere);
+clock), reads committed state and what this very load has written, writes only its
+own ``load=<id>`` directories (see :mod:`histdim.sources.store`) and commits at
+the end, so a failed or repeated load can simply be run again.  ``safe=True``
+applies the settled semantics (NULL-safe exact matching of sales rows,
+current-version joins, business-key fact matching, NULL keys dropped everywhere);
 ``safe=False`` follows the rules as originally written.  Change detection
 uses the sentinel rule (NULL equals the type's default) in both modes.
+
+A safe load's fact work follows the batch: only the sales staged by this load
+and the fact rows that still wait for a dimension row are resolved, and of the
+settled fact only the batch's order months are compared.
 """
 
 from __future__ import annotations
@@ -18,17 +22,20 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from histdim.operators.audit import audit_rows
+from histdim.functions.clean import load_time, parse_packed_date
+from histdim.operators.audit import audit_rows, dq_checks, dq_star, history_counts
 from histdim.operators.history import ACTION, HISTORY, scd2_dim_load, scd2_merge
-from histdim.operators.star import (conform_customers, enrich_products, load_fact,
-                                    load_sales_stage)
+from histdim.operators.star import (clean_sales, conform_customers, enrich_products, is_pending,
+                                    load_fact, load_fact_incremental, load_sales_stage, month_of)
 from histdim.plans import cleaning
-from histdim.sources.files import read_batch
-from histdim.sources.schemas import RAW, REPORT, STAGE, STAGE_KEYS
+from histdim.sources.files import RejectedRows, batch_path, read_delimited, read_rejects
+from histdim.sources.schemas import FACT_STORED, PRODUCT_LENGTHS, RAW, REPORT, STAGE, STAGE_KEYS, conform
 from histdim.sources.store import Warehouse
 
-RAW_LAYER, STAGE_LAYER, REPORT_LAYER = "stg0", "stage", "report"
+RAW_LAYER, STAGE_LAYER, REPORT_LAYER, REJECT_LAYER = "stg0", "stage", "report", "rejects"
+SALES, FACT = "crm_sales_details", "fact_sales"
 
 # compared columns of the two report dimensions (customer number and create
 # date are deliberately not compared for customers)
@@ -37,22 +44,41 @@ CUSTOMER_COMPARE = ["first_name", "last_name", "country", "marital_status", "gen
 PRODUCT_COMPARE = ["product_number", "product_name", "category_id", "category", "subcategory",
                    "maintenance", "cost", "product_line", "start_date"]
 
+_MONTH = T.StructField("order_month", T.IntegerType())
+_SALES_PARTS = T.StructType([*STAGE[SALES].fields, _MONTH])
+_FACT_PARTS = T.StructType([*FACT_STORED.fields, T.StructField("state", T.StringType()), _MONTH])
 
-def _timed(records: list, table: str, step: str, fn):
-    t0 = time.perf_counter()
-    fn()
-    records.append({"table": table, "step": step, "seconds": time.perf_counter() - t0})
+
+def _record(records: list, table: str, step: str, seconds: float, counts: dict[str, int]) -> None:
+    records += [{"table": table, "step": step, "action": a, "rows": n, "seconds": seconds}
+                for a, n in counts.items()]
+
+
+def _counts(actions: DataFrame, *always: str) -> dict[str, int]:
+    return dict.fromkeys(always, 0) | {r["action"]: r["rows"] for r in actions.collect()}
 
 
 def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
-              records: list | None = None, parallel: int = 6) -> None:
-    """Full reload of the six raw tables from one batch folder.  The six
-    loads are independent Spark jobs submitted from a small thread pool."""
+              records: list | None = None, parallel: int = 6, allow_rejects: bool = False) -> None:
+    """Full reload of the six raw tables from one batch folder.  Lines that do
+    not fit their schema go to a rejects table of the load; unless
+    ``allow_rejects``, their presence fails the load.  The six loads are
+    independent Spark jobs submitted from a small thread pool."""
     records = records if records is not None else []
 
     def one(table):
-        df = read_batch(wh.spark, batch_root, batch, table)
-        _timed(records, table, "raw", lambda: wh.write_snapshot(RAW_LAYER, table, df, load))
+        t0 = time.perf_counter()
+        path = batch_path(batch_root, batch, table)
+        wh.write_append(REJECT_LAYER, table, read_rejects(wh.spark, path, RAW[table]), load)
+        bad = wh.spark.read.schema("reason string, line string").parquet(
+            f"{wh.path(REJECT_LAYER, table)}/load={load}").count()
+        if bad and not allow_rejects:
+            raise RejectedRows(f"{bad} lines of {path} do not fit {table}; "
+                               f"see {wh.path(REJECT_LAYER, table)}/load={load}")
+        good = read_delimited(wh.spark, path, RAW[table], rejects="drop")
+        wh.write_snapshot(RAW_LAYER, table, good, load)
+        n = wh.read_snapshot(RAW_LAYER, table, RAW[table], load).count()
+        _record(records, table, "raw", time.perf_counter() - t0, {"read": n, "rejected": bad})
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         list(ex.map(one, RAW))
@@ -66,30 +92,57 @@ def _stage_sources(wh: Warehouse, load: int, load_ts, safe: bool) -> dict[str, D
         "erp_cust_az12": cleaning.clean_az12(raw["erp_cust_az12"], load_ts, safe),
         "erp_loc_a101": cleaning.clean_locations(raw["erp_loc_a101"], safe),
         "erp_px_cat_g1v2": cleaning.clean_categories(raw["erp_px_cat_g1v2"], safe),
-        "crm_sales_details": raw["crm_sales_details"],
+        SALES: raw[SALES],
     }
 
 
+def _months(rows: DataFrame, day: str) -> list[int]:
+    """The order months that occur (as many as the calendar has, at most)."""
+    return [r["m"] for r in rows.select(month_of(day).alias("m")).distinct().collect()]
+
+
+def read_sales(wh: Warehouse, load: int | None, only: bool = False, months=None) -> DataFrame:
+    df = wh.read_append(STAGE_LAYER, SALES, _SALES_PARTS, load, only)
+    if months is not None:
+        df = df.filter(F.col("order_month").isin(months))
+    return conform(df, STAGE[SALES])
+
+
+def _invalid_dates(raw: DataFrame) -> int:
+    """Packed dates that are there but no dates."""
+    bad = [(F.col(c).isNotNull() & (F.col(c) != 0) & parse_packed_date(c).isNull()).cast("long")
+           for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")]
+    return raw.agg(F.coalesce(F.sum(bad[0] + bad[1] + bad[2]), F.lit(0)).alias("n")).first()["n"]
+
+
 def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
                records: list | None = None, parallel: int = 6) -> None:
     """Merge every cleaned source into its stage history table; append new
     sales rows.  Each merge reads only the active slice of the previous
-    state."""
+    state, and sales only the order months of the batch."""
     records = records if records is not None else []
     sources = _stage_sources(wh, load, load_ts, safe)
 
     def one(table):
+        t0 = time.perf_counter()
         keys, schema = STAGE_KEYS[table], STAGE[table]
         if keys is None:
-            target = wh.read_append(STAGE_LAYER, table, schema, prev)
-            new = load_sales_stage(sources[table], target, load_ts, null_safe=safe)
-            _timed(records, table, "stage",
-                   lambda: wh.write_append(STAGE_LAYER, table, new, load))
-            return
-        active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
-        merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True)
-        out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
-        _timed(records, table, "stage", lambda: wh.write_history(STAGE_LAYER, table, out, load))
+            months = _months(clean_sales(sources[table]), "sls_order_dt")
+            new = load_sales_stage(sources[table], read_sales(wh, prev, months=months), load_ts,
+                                   null_safe=safe)
+            wh.write_append(STAGE_LAYER, table, new.withColumn("order_month", month_of("sls_order_dt")),
+                            load, "order_month")
+            counts = {"inserted": read_sales(wh, load, only=True).count(),
+                      "invalid_dates": _invalid_dates(sources[table])}
+        else:
+            active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
+            merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True,
+                                null_keys=not safe)
+            out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
+            wh.write_history(STAGE_LAYER, table, out, load)
+            counts = _counts(history_counts(wh.read_parts(STAGE_LAYER, table, schema, [load]), load_ts),
+                             "inserted", "unchanged", "expired")
+        _record(records, table, "stage", time.perf_counter() - t0, counts)
 
     # the six tables are independent: submit their jobs concurrently
     with ThreadPoolExecutor(max_workers=parallel) as ex:
@@ -123,6 +176,24 @@ def _product_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
                     F.col("prd_start_dt").alias("start_date"))
 
 
+def write_fact(wh: Warehouse, rows: DataFrame, load: int) -> None:
+    """Rows by state and order month: ``final`` rows are appended, ``pending``
+    ones (still without a dimension row) replace the last load's."""
+    state = F.when(is_pending(), F.lit("pending")).otherwise(F.lit("final"))
+    wh.write_append(REPORT_LAYER, FACT, rows.withColumns({"state": state, "order_month": month_of("order_date")}),
+                    load, "state", "order_month")
+
+
+def read_fact(wh: Warehouse, load: int | None, state: str, months=None) -> DataFrame:
+    """The fact's ``final`` or ``pending`` rows as of a load, with business ids."""
+    loads = wh.visible(load)
+    df = wh.read_parts(REPORT_LAYER, FACT, _FACT_PARTS, loads if state == "final" else loads[-1:],
+                       f"state={state}")
+    if months is not None:
+        df = df.filter(F.col("order_month").isin(months))
+    return conform(df, FACT_STORED)
+
+
 def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
                 records: list | None = None) -> None:
     """Type-2 load of both dimensions (surrogate keys continue after the
@@ -130,52 +201,84 @@ def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool
     records = records if records is not None else []
 
     def dimension(spec):
+        t0 = time.perf_counter()
         table, key, surrogate, compare, source = spec
         dim = wh.read_history(REPORT_LAYER, table, REPORT[table], prev)
         merged = scd2_dim_load(dim, source(wh, load, safe), key, surrogate, load_ts, compare,
-                               with_action=True)
+                               with_action=True, unique_source=safe)
         out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
-        _timed(records, table, "report", lambda: wh.write_history(REPORT_LAYER, table, out, load))
+        wh.write_history(REPORT_LAYER, table, out, load)
+        written = wh.read_parts(REPORT_LAYER, table, REPORT[table], [load])
+        _record(records, table, "report", time.perf_counter() - t0,
+                _counts(history_counts(written, load_ts), "inserted", "unchanged", "expired"))
 
     # both dimensions must be written before the fact reads their keys
     with ThreadPoolExecutor(max_workers=2) as ex:
         list(ex.map(dimension, (
             ("dim_customers", "customer_id", "customer_key", CUSTOMER_COMPARE, _customer_source),
             ("dim_products", "product_id", "product_key", PRODUCT_COMPARE, _product_source))))
-    sales = wh.read_append(STAGE_LAYER, "crm_sales_details", STAGE["crm_sales_details"], load)
+    t0 = time.perf_counter()
     dp = wh.read_history(REPORT_LAYER, "dim_products", REPORT["dim_products"], load)
     dc = wh.read_history(REPORT_LAYER, "dim_customers", REPORT["dim_customers"], load)
-    fact = wh.read_append(REPORT_LAYER, "fact_sales", REPORT["fact_sales"], prev)
-    new = load_fact(sales, dp, dc, fact, load_ts, match="business" if safe else "surrogate",
-                    null_safe=safe)
-    _timed(records, "fact_sales", "report",
-           lambda: wh.write_append(REPORT_LAYER, "fact_sales", new, load))
+    if safe:
+        sales = read_sales(wh, load, only=True)
+        settled = read_fact(wh, prev, "final", _months(sales, "sls_order_dt"))
+        rows = load_fact_incremental(sales, read_fact(wh, prev, "pending"), settled, dp, dc, load_ts)
+    else:
+        rows = load_fact(read_sales(wh, load), dp, dc, read_fact(wh, prev, "final"), load_ts)
+        rows = rows.withColumns({"product_number": F.lit(None).cast("string"),
+                                 "customer_id": F.lit(None).cast("int")})
+    write_fact(wh, rows, load)
+    new = F.col("dwh_create_date") == load_time(load_ts)
+    action = (F.when(F.col("state") == "pending", F.lit("pending")).when(new, F.lit("inserted"))
+              .otherwise(F.lit("resolved")))
+    written = wh.read_parts(REPORT_LAYER, FACT, _FACT_PARTS, [load])
+    counts = _counts(written.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("rows")),
+                     "inserted", "resolved", "pending")
+    _record(records, FACT, "report", time.perf_counter() - t0, counts)
+
+
+def check_load(wh: Warehouse, load: int, records: list) -> None:
+    """The star schema's invariants, as one record per check."""
+    dp, dc = (read_table(wh.spark, wh.root, REPORT_LAYER, t, load, wh) for t in ("dim_products", "dim_customers"))
+    fact = read_table(wh.spark, wh.root, REPORT_LAYER, FACT, load, wh)
+    for table, checks in (("dim_products", dq_checks(dp, "product_id", "product_key", varchar=PRODUCT_LENGTHS)),
+                          ("dim_customers", dq_checks(dc, "customer_id", "customer_key")),
+                          (FACT, dq_star(fact, dp, dc))):
+        t0 = time.perf_counter()
+        found = {r["check_name"]: r["failed"] for r in checks.collect()}
+        _record(records, table, "check", time.perf_counter() - t0, found)
 
 
 def run_batch(spark: SparkSession, root: str, batch_root: str, batch: str, load: int,
-              load_ts, safe: bool = True) -> DataFrame:
+              load_ts, safe: bool = True, allow_rejects: bool = False, commit: bool = True) -> DataFrame:
     """One complete load of one batch folder; returns the load audit
-    (``table, step, rows, seconds``; rows filled by ``table_counts``)."""
-    wh = Warehouse(spark, root).init()
+    (``table_name, step, action, rows, seconds``): rows read and rejected, inserted,
+    unchanged and expired per table, invalid dates, fact rows that wait for a
+    dimension row, and the failures of each check.  ``commit=False`` leaves the load invisible."""
+    wh = Warehouse(spark, root, own=load).init()
     prev = wh.latest()
     if prev is not None and prev >= load:
         raise ValueError(f"load {load} is not after the last committed load {prev}")
     records: list = []
-    load_stg0(wh, batch_root, batch, load, records)
+    load_stg0(wh, batch_root, batch, load, records, allow_rejects=allow_rejects)
     load_stage(wh, load, prev, load_ts, safe, records)
     load_report(wh, load, prev, load_ts, safe, records)
-    wh.commit(load, load_ts)
+    check_load(wh, load, records)
+    if commit:
+        wh.commit(load, load_ts)
     return audit_rows(spark, records)
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str,
-               load: int | None = None) -> DataFrame:
+               load: int | None = None, wh: Warehouse | None = None) -> DataFrame:
     """The state of one warehouse table as of a committed load."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     load = wh.latest() if load is None else load
     if layer == RAW_LAYER:
         return wh.read_snapshot(layer, table, RAW[table], load)
-    schema = STAGE[table] if layer == STAGE_LAYER else REPORT[table]
-    if table in ("crm_sales_details", "fact_sales"):
-        return wh.read_append(layer, table, schema, load)
-    return wh.read_history(layer, table, schema, load)
+    if table == SALES:
+        return read_sales(wh, load)
+    if table == FACT:
+        return conform(read_fact(wh, load, "final").unionByName(read_fact(wh, load, "pending")), REPORT[FACT])
+    return wh.read_history(layer, table, STAGE[table] if layer == STAGE_LAYER else REPORT[table], load)

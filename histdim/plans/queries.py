@@ -12,14 +12,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histdim.functions import clean
 from histdim.operators import audit, dedupe, history, joins, keys, star
 from histdim.plans import derived
 from histdim.plans.derived import SQL
-from histdim.session import scratch_path
+from histdim.session import frozen, scratch_path
 from histdim.sources import files
-from histdim.sources.schemas import RAW
+from histdim.sources.schemas import FACT_STORED, RAW
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 LOAD_TS = dt.datetime(2024, 1, 1)
@@ -60,6 +61,36 @@ def q_read_delimited(spark, sf):
     return spark.read.parquet(pq_dir)
 
 
+def _messy_customers(spark, sf):
+    """A raw file in which some lines have too few or too many fields, a word for
+    a number or an impossible date, and some dates have a time part."""
+    register_tables(spark, sf)
+    path = scratch_path(spark, "messy")
+    lines = spark.sql(derived.SQL["customer_lines"]).select(F.col("line").alias("id,name,day,at"))
+    lines.write.options(header="true", sep="\u0001", quote="", escape="").csv(path)
+    return path, T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                               T.StructField("day", T.DateType()), T.StructField("at", T.TimestampNTZType())])
+
+
+def q_read_delimited_rejects(spark, sf):
+    path, schema = _messy_customers(spark, sf)
+    good = files.read_delimited(spark, path, schema, rejects="drop").select(
+        F.lit("row").alias("kind"), F.concat_ws(
+            "|", F.col("id").cast("string"), "name", F.col("day").cast("string"),
+            F.date_format("at", "yyyy-MM-dd HH:mm:ss")).alias("content"))
+    bad = files.read_rejects(spark, path, schema).select(
+        F.col("reason").alias("kind"), F.col("line").alias("content"))
+    return good.unionByName(bad)
+
+
+def q_append_rows(spark, sf):
+    path = scratch_path(spark, "append")
+    s = t(spark, sf, "supplier").select("s_suppkey", "s_name")
+    files.append_rows(s, path)
+    files.append_rows(s.filter(F.col("s_suppkey") % 2 == 0), path)
+    return spark.read.schema(s.schema).parquet(path)
+
+
 def q_read_batch(spark, sf):
     root = scratch_path(spark, "batches")
     register_tables(spark, sf)
@@ -216,6 +247,11 @@ def q_enrich_products(spark, sf):
     return star.enrich_products(d(spark, sf, "stage_products"), d(spark, sf, "stage_categories"))
 
 
+def q_enrich_products_all_versions(spark, sf):
+    return star.enrich_products(d(spark, sf, "stage_products"), d(spark, sf, "stage_categories"),
+                                current_only=False)
+
+
 # --- change detection and history -------------------------------------------------
 
 PEOPLE_COMPARE = [("first_name", "first_name"), ("last_name", "last_name"),
@@ -241,6 +277,12 @@ def q_scd2_merge(spark, sf):
     return _dates(history.scd2_merge(tgt, src, "cst_id", LOAD_TS), "dwh_create_date")
 
 
+def q_scd2_merge_dirty_target(spark, sf):
+    out = history.scd2_merge(d(spark, sf, "merge_target_dirty"), d(spark, sf, "merge_source"),
+                             "cst_id", LOAD_TS)
+    return _dates(out, "dwh_create_date")
+
+
 def q_expire_changed(spark, sf):
     tgt, src = _merge_inputs(spark, sf)
     return _dates(history.expire_changed(tgt, src, "cst_id", LOAD_TS), "dwh_create_date")
@@ -275,6 +317,13 @@ def q_scd2_dim_load(spark, sf):
     return _dates(out, "dwh_create_date")
 
 
+def q_scd2_dim_load_dirty(spark, sf):
+    out = history.scd2_dim_load(d(spark, sf, "dim_parts_dirty"), d(spark, sf, "src_parts"),
+                                "product_id", "product_key", LOAD_TS,
+                                ["product_name", "brand", "size"])
+    return _dates(out, "dwh_create_date")
+
+
 def q_assign_surrogate_keys(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey",
                                       F.col("o_orderdate").cast("date").alias("order_date"))
@@ -306,7 +355,8 @@ def q_append_new_keyed(spark, sf):
 
 def q_load_sales_stage(spark, sf):
     raw = d(spark, sf, "sales_raw_dup")
-    target = star.clean_sales(d(spark, sf, "sales_raw")).filter(F.col("sls_cust_id") % 5 == 0)
+    target = frozen(star.clean_sales(d(spark, sf, "sales_raw")).filter(F.col("sls_cust_id") % 5 == 0),
+                    "sales-stage")
     return _dates(star.load_sales_stage(raw, target, LOAD_TS), "dwh_create_date")
 
 
@@ -326,10 +376,29 @@ def q_load_fact_business(spark, sf):
     return _dates(star.load_fact(s, p, c, f, LOAD_TS, match="business"), "dwh_create_date")
 
 
+def q_load_fact_late_dimension(spark, sf):
+    """Two loads; a part of the products and customers arrives with the second."""
+    sales, dp, dc = (d(spark, sf, n) for n in ("sales_stage", "fact_dim_products", "fact_dim_customers"))
+    late_p = F.expr("substring(product_number, 2) % 7 = 3")
+    late_c = F.col("customer_id") % 5 == 2
+    none = spark.createDataFrame([], FACT_STORED)
+    first = frozen(star.load_fact_incremental(
+        sales.filter("sls_quantity % 3 <> 0"), none, none, dp.filter(~late_p), dc.filter(~late_c), LOAD_TS), "fact")
+    second = star.load_fact_incremental(sales, first.filter(star.is_pending()), first.filter(~star.is_pending()),
+                                        dp, dc, LOAD_TS_2)
+    return _dates(first.filter(~star.is_pending()).unionByName(second), "dwh_create_date")
+
+
+def q_dq_star(spark, sf):
+    s, p, c, _ = _fact_inputs(spark, sf)
+    fact = star.stage_fact_rows(s, p, c)
+    return audit.dq_star(fact, p.filter(F.col("product_key") % 10 != 0), c)
+
+
 # --- end to end ---------------------------------------------------------------------
 
-def q_pipeline_two_batches(spark, sf):
-    from histdim.plans.pipeline import read_table, run_batch
+def write_batches(spark, sf) -> str:
+    """The raw files of both batches."""
     register_tables(spark, sf)
     batches = scratch_path(spark, "raw-batches")
     jobs = [(b, table) for b in (1, 2) for table in RAW]
@@ -337,12 +406,67 @@ def q_pipeline_two_batches(spark, sf):
         list(ex.map(lambda j: files.write_delimited(
             spark.sql(derived.batch_sql(j[1], j[0])),
             files.batch_path(batches, f"batch{j[0]}", j[1])), jobs))
-    root = scratch_path(spark, "warehouse")
-    run_batch(spark, root, batches, "batch1", 1, LOAD_TS)
-    run_batch(spark, root, batches, "batch2", 2, LOAD_TS_2)
-    dim = read_table(spark, root, "report", "dim_customers")
+    return batches
+
+
+def _two_batches(spark, sf, safe=True, abort=False):
+    """(warehouse, audit of the second batch) after both batches.  ``abort``: the
+    second one is first run as load 2 and given up before its commit, then as load 3."""
+    from histdim.plans.pipeline import run_batch
+    batches, root = write_batches(spark, sf), scratch_path(spark, "warehouse")
+    run_batch(spark, root, batches, "batch1", 1, LOAD_TS, safe=safe)
+    if abort:
+        run_batch(spark, root, batches, "batch2", 2, LOAD_TS_2 - dt.timedelta(hours=12), safe=safe, commit=False)
+    audit_of = run_batch(spark, root, batches, "batch2", 3 if abort else 2, LOAD_TS_2, safe=safe)
+    return root, audit_of
+
+
+_RUNS: dict[tuple, tuple] = {}
+
+
+def _warehouse(spark, sf, layer, table, **options):
+    """A table of a warehouse that the pipeline queries of one session share."""
+    from histdim.plans.pipeline import read_table
+    key = (spark.sparkContext.applicationId, sf, *sorted(options.items()))
+    if key not in _RUNS:
+        _RUNS[key] = _two_batches(spark, sf, **options)
+    return read_table(spark, _RUNS[key][0], layer, table)
+
+
+def q_pipeline_two_batches(spark, sf):
+    from histdim.plans.pipeline import read_table
+    dim = read_table(spark, _two_batches(spark, sf)[0], "report", "dim_customers")
     return _dates(dim, "create_date", "dwh_create_date")
 
 
+def q_pipeline_stage_products(spark, sf):
+    return _dates(_warehouse(spark, sf, "stage", "crm_prod_info"), "dwh_create_date")
+
+
+def q_pipeline_dim_products(spark, sf):
+    return _dates(_warehouse(spark, sf, "report", "dim_products"), "dwh_create_date")
+
+
+def q_pipeline_fact_sales(spark, sf):
+    return _dates(_warehouse(spark, sf, "report", "fact_sales"), "dwh_create_date")
+
+
+def q_pipeline_after_abort(spark, sf):
+    return _dates(_warehouse(spark, sf, "report", "fact_sales", abort=True), "dwh_create_date")
+
+
+def q_pipeline_as_written(spark, sf):
+    return _dates(_warehouse(spark, sf, "stage", "crm_sales_details", safe=False), "dwh_create_date")
+
+
+def q_pipeline_audit(spark, sf):
+    """What the second load did to the sales and product tables."""
+    _warehouse(spark, sf, "report", "fact_sales")
+    key = (spark.sparkContext.applicationId, sf)
+    return (_RUNS[key][1].filter("step <> 'check'")
+            .filter(F.col("table_name").isin("crm_sales_details", "crm_prod_info", "dim_products", "fact_sales"))
+            .select("table_name", "step", "action", "rows"))
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items())
            if name.startswith("q_") and callable(fn)}

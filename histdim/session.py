@@ -12,44 +12,50 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults that matter at scale.  Each is applied only when the builder or the
-# cluster did not already set it.
+# Defaults that matter at scale, each applied only where nothing else set it.
 SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # runtime (post-shuffle) broadcast decision: a side is broadcast only when
-    # its measured size is below this bound, otherwise the join stays shuffled
+    # A side is broadcast only when its size, measured after its shuffle, is
+    # below this bound; file sizes known at planning time decide nothing.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def build_session(master: str | None = None, app: str = "histdim",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
+    """A session with the defaults above for whatever is still unset; values
+    from the cluster's configuration, or of a session that runs, stay."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(SCALE_DEFAULTS)
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(extra or {})
+    for k, v in SCALE_DEFAULTS.items():
+        if k not in given:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when
-    none is configured (local runs and tests)."""
+    """The session's checkpoint folder.  Where none is configured, a local run
+    gets a local one; on a cluster that is an error, because executors do not
+    share a machine's folders."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") \
+                or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="histdim-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -62,3 +68,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/histdim-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def frozen(df, name: str):
+    """``df`` written once to the shared scratch folder and read back: computed
+    once whatever uses it, and the same for every use and every retry."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

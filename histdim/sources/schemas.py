@@ -93,15 +93,14 @@ REPORT = {
                           ("dwh_create_date", TS)),
 }
 
-# declared VARCHAR lengths, checked by ``dq_checks`` (Spark strings are unbounded)
-VARCHAR_LIMITS = {
-    "dim_products": {"category_id": 10},
-}
-DEFAULT_VARCHAR = 50
-
-
-def empty(spark, schema: T.StructType):
-    return spark.createDataFrame([], schema)
+# how the report's fact is stored: with the business ids it is matched on
+FACT_STORED = _schema(("product_number", S), ("customer_id", I), *[
+    (f.name, f.dataType) for f in REPORT["fact_sales"].fields])
+
+# declared VARCHAR lengths of the product dimension, checked by every load
+# (Spark strings are unbounded)
+PRODUCT_LENGTHS = {"category_id": 10, "product_number": 50, "product_name": 50, "category": 50,
+                   "subcategory": 50, "maintenance": 50, "product_line": 50}
 
 
 def conform(df, schema: T.StructType):

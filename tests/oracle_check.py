@@ -68,7 +68,7 @@ def main(argv):
     con = duck(sf_dir)
     qs, os_ = entry.queries(), entry.oracle_sql()
     bad = 0
-    for name in (names or sorted(qs)):
+    for name in (names or sorted(os_)):
         try:
             problems, n, secs = compare(spark, con, name, qs[name], os_[name], sf_dir)
         except Exception as e:  # report and continue
@@ -76,7 +76,7 @@ def main(argv):
         bad += bool(problems)
         print(f"{'OK ' if not problems else 'BAD'} {name:32s} rows={n:7d} {secs:6.1f}s "
               + "; ".join(problems), flush=True)
-    print(f"{len(names or qs) - bad} ok, {bad} bad")
+    print(f"{len(names or os_) - bad} ok, {bad} bad")
     return bad
 
 
