@@ -12,8 +12,8 @@ comments are told by tag, role and class words and left out.
 3.  Every page is read again and yields the blocks below its host's path; a page that
     doesn't have that path yields those below its own best container.
 
-Votes are aggregated before they are shuffled, and the join of pages with their host's
-path is broadcast or split by adaptive execution where a host is hot.
+Votes are aggregated before they are shuffled.  The join of pages with their host's path
+is a broadcast of checked size, or salted, so that a host with very many pages is split.
 
 Cases: a null or empty html has an empty text; pages with a null url or without a host
 vote together; ties go to the path that sorts last; repeated rows count and are returned each; an
@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histdim.llm.frames import shuffle_partitions, stored
+
 #: Containers below this depth belong to the one at it.
 MOST_DEPTH = 64
 #: Votes of a page's best container.
@@ -239,11 +241,25 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return sums.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"), F.max("votes").alias("votes"))
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``id_col``, ``url_col`` and ``text``: the blocks joined by one line feed."""
-    paths = host_paths(pages, url_col, html_col).select(F.col("host").alias("of"), "path")
-    read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    known = read.join(paths, host(F.col("url")) == F.col("of"), "left").select("id", "url", "html", "path")
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                      broadcast_bytes: int = 16 << 20) -> DataFrame:
+    """``id_col``, ``url_col`` and ``text``: the blocks joined by one line feed.
+
+    The hosts' paths are broadcast if they measure at most ``broadcast_bytes``.  Beyond
+    that pages and paths meet by (host, salt), so that no host's pages share a task."""
+    paths = stored(host_paths(pages, url_col, html_col).select(F.col("host").alias("of"), "path"), "paths")
+    size = paths.agg(F.sum(F.octet_length("of") + F.octet_length("path") + 64)).first()[0] or 0
+    read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
+                        host(F.col(url_col)).alias("host"))
+    if size <= broadcast_bytes:
+        known = read.join(F.broadcast(paths), F.col("host") == F.col("of"), "left")
+    else:
+        salts = shuffle_partitions(pages.sparkSession)
+        salted = paths.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64("id", "url"), F.lit(salts)).cast("int")
+        known = read.withColumn("salt", salt).join(
+            salted, (F.col("host") == F.col("of")) & (F.col("salt") == F.col("with")), "left")
+    known = known.select("id", "url", "html", "path")
 
     def extract(batches):
         for batch in batches:

@@ -62,6 +62,8 @@ def test_hosts_agree_on_a_path(spark):
     d = spark.createDataFrame(rows, PAGES).repartition(4)
     got = by_id(extract_main_text(d), "page_id")
     assert {i: got[i]["text"] for i in want} == want
+    salted = by_id(extract_main_text(d, broadcast_bytes=0), "page_id")
+    assert salted == got
     assert got[100]["text"] == "s" and got[101]["text"] == "other template"
     paths = {r["host"]: r["path"] for r in as_dicts(host_paths(d))}
     assert paths["div.example.com"] == "/div.post.post-#"
