@@ -4,28 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from histdim.session import scratch_path
+from histdim.session import frozen as stored  # noqa: F401  (used by the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def typed(df: DataFrame, column: str) -> T.DataType:
-    return df.schema[column].dataType
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again, so that what
-    follows neither computes it twice nor depends on executors that held it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -37,8 +37,8 @@ MOST_DEPTH = 64
 FULL_VOTE = 1000
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -56,10 +56,12 @@ _LEFT_OUT = frozenset("nav footer aside form script style noscript template ifra
                       "object canvas audio video map head title datalist".split())
 _LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 _LEFT_OUT_WORDS = frozenset(
-    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside header masthead footer foot banner ad ads advert adverts "
+    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer foot ad ads advert adverts "
     "advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login share sharing social related recommended pagination pager toolbar widget "
     "comment comments reply replies respond disqus form search copyright".split())
+#: Left out unless they belong to an article, whose heading they hold.
+_HEADER_WORDS = frozenset("header masthead banner".split())
 _NOT_OF_ITSELF = frozenset("has with no without is in".split())
 _ALWAYS_IN = frozenset("html body main".split())
 #: Tags that a page may do without: no part of a path, which then begins below the body.
@@ -74,9 +76,10 @@ class Container:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _marks(rest: str) -> tuple[list[str], bool]:
-    """(class words of an element, whether they or other attributes leave it out)."""
-    classes, out = [], False
+def _marks(rest: str) -> tuple[list[str], bool, bool]:
+    """(class words of an element, whether they or other attributes leave it out,
+    whether they make it a header)."""
+    classes, out, head = [], False, False
     for m in _ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
         if name == "role":
@@ -92,8 +95,10 @@ def _marks(rest: str) -> tuple[list[str], bool]:
                 words = [w.lower() for w in _CLASS_WORD.findall(token)]
                 if name == "class":
                     classes.append(re.sub("[0-9]+", "#", token.lower()))
-                out |= bool(words) and words[0] not in _NOT_OF_ITSELF and not _LEFT_OUT_WORDS.isdisjoint(words)
-    return sorted(set(classes)), out
+                own = bool(words) and words[0] not in _NOT_OF_ITSELF
+                out |= own and not _LEFT_OUT_WORDS.isdisjoint(words)
+                head |= own and not _HEADER_WORDS.isdisjoint(words)
+    return sorted(set(classes)), out, head
 
 
 def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Container]]:
@@ -137,12 +142,15 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
                 return None
         return None
 
-    scan = 0
-    while m := _TOKEN.search(html, scan):
+    scan, last = 0, html.rfind(">") + 1      # behind the last ">" no tag can end
+    while m := _TOKEN.search(html, scan, last):
         say(html[at:m.start()])
         at = scan = m.end()
         tag = m[2] or m[5]
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):      # never closed
+                at = len(html)
+                break
             continue
         tag, closing, rest = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
@@ -156,6 +164,8 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
         if tag in _RAW:
             end = _RAW[tag].search(html, at)
             at = scan = end.start() if end else len(html)
+            if not end:
+                break
         if tag in _VOID:
             if tag == "hr":
                 flush()
@@ -168,15 +178,16 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
             if tag in _CLOSES and (k := last_open(_CLOSES[tag], _HOLDS[tag])) is not None:
                 pop(k)
             flush()
-        classes, left = _marks(rest) if rest else ([], False)
-        left = tag not in _ALWAYS_IN and (left or tag in _LEFT_OUT or tag == "header" and last_open({"article"}) is None)
+        classes, left, head = _marks(rest) if rest else ([], False, False)
+        head = (head or tag == "header") and tag != "article" and last_open({"article"}) is None
+        left = tag not in _ALWAYS_IN and (left or head or tag in _LEFT_OUT)
         stack.append((tag, here, left))
         out += left
         links += tag == "a"
         if tag not in _INLINE and tag not in _BLOCKS and tag not in _OPTIONAL and here.depth < MOST_DEPTH:
             here = Container(tag, f"{here.path}/{'.'.join([tag, *classes])}", here, here.out)
             containers.append(here)
-    say(html[at:])
+    say(html[at:].partition("<!--")[0])
     pop(0)
     flush()
     return blocks, [root, *containers]

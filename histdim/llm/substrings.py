@@ -26,7 +26,6 @@ is smaller, and each is returned; an empty table gives no rows; further columns
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from dataclasses import dataclass
 

@@ -25,6 +25,8 @@ PAGES = "page_id long, url string, html string"
     ("<p title='a>b'>x</p><p title=\"open>y</p>", "x\ny"),
     ("<p>a < b and c<d</p>", "a < b and c"),
     ("</p></div>x</b>y", "x y".replace(" ", "\n", 0).replace(" ", "")),
+    ("<article><div class='entry-header'><h2>T</h2></div><p>x</p></article><div class=page-header>no</div>", "T\nx"),
+    ("<p>x<!-- never closed <b>no</b> no", "x"), ("<p>a" + "<b" * 100_000, "a" + "<b" * 100_000),
     ("<p>unclosed <i>it <p>next</i> on", "unclosed it\nnext on"),
     ("<textarea><p>no</p></textarea><p>yes", "yes"), ("<script>never closed <p>x", ""),
     ("<p>" + "<b>" * 3000 + "deep", "deep"), ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
