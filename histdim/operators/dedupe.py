@@ -13,7 +13,6 @@ that no ordering column tells apart stay in one range (see ``exact_dedupe``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F

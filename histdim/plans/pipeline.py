@@ -242,13 +242,19 @@ def check_load(wh: Warehouse, load: int, records: list) -> None:
     """The star schema's invariants, as one record per check."""
     dp, dc = (read_table(wh.spark, wh.root, REPORT_LAYER, t, load, wh) for t in ("dim_products", "dim_customers"))
     fact = read_table(wh.spark, wh.root, REPORT_LAYER, FACT, load, wh)
-    for table, checks in (("dim_products", dq_checks(dp, "product_id", "product_key", varchar=PRODUCT_LENGTHS)),
-                          ("dim_customers", dq_checks(dc, "customer_id", "customer_key")),
-                          (FACT, dq_star(fact, dp, dc))):
+
+    def one(spec):
         t0 = time.perf_counter()
+        table, checks = spec
         found = {r["check_name"]: r["failed"] for r in checks.collect()}
         _record(records, table, "check", time.perf_counter() - t0, found)
 
+    with ThreadPoolExecutor(max_workers=3) as ex:
+        list(ex.map(one, (
+            ("dim_products", dq_checks(dp, "product_id", "product_key", varchar=PRODUCT_LENGTHS)),
+            ("dim_customers", dq_checks(dc, "customer_id", "customer_key")),
+            (FACT, dq_star(fact, dp, dc)))))
+
 
 def run_batch(spark: SparkSession, root: str, batch_root: str, batch: str, load: int,
               load_ts, safe: bool = True, allow_rejects: bool = False, commit: bool = True) -> DataFrame:
