@@ -7,8 +7,8 @@
     ``r t p[d]`` expected tokens to domain ``d``.  Projected gradient descent on the
     squared misfit of the domain totals finds rates r >= 0: a step is one aggregation to a
     number per domain, ``r <- max(0, r - p . g)`` with ``g`` the residual of the totals
-    scaled by the inverse of sum(t p p').  (This is the gradient in the metric that
-    weighs a document by its tokens.)  A rate depends on the document's posterior and
+    scaled by the inverse of sum(t p p') over the documents with r > 0.  (This is the
+    gradient in the metric that weighs a document by its tokens.)  A rate depends on the document's posterior and
     the gradients so far, so no state is kept and nothing is shuffled.
 3.  A rate is made a number of copies by its whole part and a hash of the document
     held against the rest, so that expected totals stay.
@@ -22,7 +22,7 @@ and are left out of the targets; an empty table gives no rows; further columns a
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -35,13 +35,15 @@ from histdim.llm.frames import stored
 class MixParams:
     """``fit_rows``: the most labelled rows that the classifier is fitted on;
     ``terms``: words per domain; ``least_docs``: a word's documents in the sample, at
-    least; ``steps`` and ``misfit``: when the descent ends (share of all tokens)."""
+    least; the descent ends after ``steps``, at a largest misfit of ``misfit`` (share of all
+    tokens), or when no step shortens the residual by ``gain``."""
 
     fit_rows: int = 10_000
     terms: int = 64
     least_docs: int = 8
     steps: int = 40
     misfit: float = 1e-6
+    gain: float = 0.01
 
 
 def words_of(text: Column) -> Column:
@@ -49,6 +51,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once, however often it is used there."""
+    return F.transform(F.array(value), then)[0]
+
+
 # --- the classifier ---------------------------------------------------------------
 
 
@@ -60,7 +67,8 @@ class DomainModel:
     base: tuple[float, ...]
     weights: Mapping[str, tuple[float, ...]] = field(default_factory=dict)
 
-    def posteriors(self, words: Column) -> list[Column]:
+    def posterior(self, words: Column) -> Column:
+        """The array of the domains' probabilities."""
         base = F.array(*[F.lit(float(x)) for x in self.base])
         if self.weights:
             vocabulary = F.array(*[F.lit(w) for w in self.weights])
@@ -69,8 +77,10 @@ class DomainModel:
                                lambda sums, w: F.zip_with(sums, F.element_at(table, w), lambda a, b: a + b))
         else:
             logs = base
-        raised = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-        return [raised[d] for d in range(len(self.domains))]
+        return let(let(let(logs, lambda x: F.struct(x.alias("logs"), F.array_max(x).alias("most"))),
+                       lambda s: F.transform(s["logs"], lambda x: F.exp(x - s["most"]))),
+                   lambda raised: let(F.aggregate(raised, F.lit(0.0), lambda a, b: a + b),
+                                      lambda total: F.transform(raised, lambda x: x / total)))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col: str = "doc_id",
@@ -140,11 +150,14 @@ class Rates:
     gradients: tuple[tuple[float, ...], ...]
     reached: tuple[float, ...]
 
-    def column(self, posterior: Sequence[Column]) -> Column:
-        rate = F.lit(1.0)
-        for g in self.gradients:
-            rate = F.greatest(F.lit(0.0), rate - sum((p * F.lit(x) for p, x in zip(posterior, g)), F.lit(0.0)))
-        return rate
+    def column(self, posterior: Column) -> Column:
+        """The rate of a document with this array of probabilities, by the gradients
+        one after the other."""
+        if not self.gradients:
+            return F.lit(1.0)
+        steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in self.gradients])
+        return let(posterior, lambda p: F.aggregate(steps, F.lit(1.0), lambda rate, g: F.greatest(
+            F.lit(0.0), rate - sum((p[i] * g[i] for i in range(len(self.domains))), F.lit(0.0)))))
 
 
 def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, float], whole: Sequence[str] = (),
@@ -166,18 +179,34 @@ def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, f
     total = max((have[i] * (1 + headroom) / weight[i] for i, d in enumerate(domains) if d in whole and weight[i]), default=sum(have))
     goals = [w * total for w in weight]
     m = [[first[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)]
-    done = Rates(tuple(domains), tuple(goals), (), tuple(have))
-    for _ in range(params.steps):
-        off = [x - y for x, y in zip(done.reached, goals)]
-        if max(map(abs, off)) <= params.misfit * total:
-            break
-        tried = Rates(done.domains, done.goals, (*done.gradients, tuple(_solve(m, off))), ())
-        rate = tried.column(p)
-        row = shares.agg(*[F.sum(t * p[i] * rate).alias(f"e{i}") for i in range(n)]).first()
+    done, now = Rates(tuple(domains), tuple(goals), (), tuple(have)), m
+
+    def misfit(reached: Sequence[float]) -> float:
+        return max(abs(x - y) for x, y in zip(reached, goals))
+
+    def length(reached: Sequence[float]) -> float:      # of the residual, in the metric that descent shortens
+        off = [x - y for x, y in zip(reached, goals)]
+        return math.sqrt(max(0.0, sum(x * y for x, y in zip(off, _solve(m, off)))))
+
+    def tried(step: Sequence[float]) -> tuple[Rates, list[list[float]]]:
+        gradients = (*done.gradients, tuple(step))
+        rate = Rates(done.domains, done.goals, gradients, ()).column(F.array(*p))
+        rated = shares.withColumn("rate", rate)
+        taken = (F.col("rate") > 0).cast("double")
+        row = rated.agg(*[F.sum(t * p[i] * F.col("rate")).alias(f"e{i}") for i in range(n)],
+                        *[F.sum(t * p[i] * p[j] * taken).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
         reached = tuple(row[f"e{i}"] or 0.0 for i in range(n))
-        stuck = max(abs(a - b) for a, b in zip(reached, done.reached)) <= 1e-3 * params.misfit * total
-        done = Rates(tried.domains, tried.goals, tried.gradients, reached)
-        if stuck:      # no rates come closer
+        return (Rates(done.domains, done.goals, gradients, reached),
+                [[row[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
+
+    while len(done.gradients) < params.steps and misfit(done.reached) > params.misfit * total:
+        off = [x - y for x, y in zip(done.reached, goals)]
+        for metric in (now, m):      # of the documents still taken, or else of all
+            new, then = tried(_solve(metric, off))
+            if length(new.reached) <= (1 - params.gain) * length(done.reached):
+                done, now = new, then
+                break
+        else:      # the targets are out of reach
             break
     return done
 
@@ -190,27 +219,27 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id
     domains = tuple(sorted(targets))
     model = fit_domains(docs, labelled, domains, id_col, text_col, domain_col, params)
 
-    def judged(df: DataFrame) -> DataFrame:
-        raised = model.posteriors(F.col("__words"))
-        return (df.withColumn("__words", words_of(F.col(text_col)))
-                .withColumn("__mix", F.struct(F.size("__words").cast("long").alias("tokens"), F.array(*raised).alias("raised")))
-                .drop("__words"))
-
-    def posterior(of: str) -> Column:
-        return F.transform(f"{of}.raised", lambda x: x / F.aggregate(f"{of}.raised", F.lit(0.0), lambda a, b: a + b))
+    def judged(with_words: Callable[[Column, Column], Column]) -> Column:
+        """``with_words(tokens, posterior)`` of a document."""
+        return let(words_of(F.col(text_col)), lambda words: let(
+            model.posterior(words), lambda p: with_words(F.size(words).cast("long"), p)))
 
-    shares = judged(docs.select(text_col)).select(
-        F.col("__mix.tokens").alias("tokens"), posterior("__mix").alias("p")).select(
-        "tokens", *[F.col("p")[i].alias(f"p{i}") for i in range(len(domains))])
     # Documents alike in posterior count as one row: what is iterated over.
+    shares = docs.select(judged(lambda n, p: F.struct(n.alias("tokens"), p.alias("p"))).alias("d")).select(
+        "d.tokens", *[F.col("d.p")[i].alias(f"p{i}") for i in range(len(domains))])
     shares = stored(shares.groupBy(*shares.columns[1:]).agg(F.sum("tokens").alias("tokens")), "shares")
     rates = fit_rates(shares, domains, targets, whole, headroom, params)
-    with_p = judged(docs).withColumn("__mix", F.struct("__mix.tokens", posterior("__mix").alias("posterior")))
-    rate = rates.column([F.col("__mix.posterior")[i] for i in range(len(domains))])
-    with_rate = with_p.withColumn("__mix", F.struct("__mix.tokens", "__mix.posterior", rate.alias("rate")))
     chance = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = (F.floor("__mix.rate") + (chance < F.col("__mix.rate") - F.floor("__mix.rate")).cast("long")).cast("long")
-    return with_rate.withColumn("__mix", F.struct("__mix.tokens", "__mix.posterior", "__mix.rate", copies.alias("copies")))
+
+    def mix(tokens: Column, p: Column) -> Column:
+        def with_rate(rate: Column) -> Column:
+            copies = F.floor(rate) + F.when(chance < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
+            return F.struct(tokens.alias("tokens"), p.alias("posterior"), rate.alias("rate"),
+                            copies.cast("long").alias("copies"))
+
+        return let(rates.column(p), with_rate)
+
+    return docs.withColumn("__mix", judged(mix))
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",

@@ -3,9 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from histdim.llm.mixing import MixParams, _solve, document_rates, fit_domains, fit_rates, mixed, mixture
+from histdim.llm.mixing import _solve, document_rates, fit_domains, fit_rates, mixed, mixture
 from histdim.llm.registry import op3_mixing
-from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs, prose
+from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs
 
 DOMAINS = ("a", "b", "c")
 TARGETS = {"a": 0.5, "b": 0.3, "c": 0.2}
@@ -55,15 +55,21 @@ def test_descent_matches_brute_force(spark):
     rows = [(int(a), *map(float, b)) for a, b in zip(t, p)]
     shares = spark.createDataFrame(rows, "tokens long, p0 double, p1 double, p2 double")
     for weights in ({"a": 0.98, "b": 0.01, "c": 0.01}, TARGETS, {"a": 1.0, "b": 0.0, "c": 0.0}):
-        params = MixParams(steps=15)
-        got = fit_rates(shares, DOMAINS, weights, params=params)
-        r, m = np.ones(200), (p * t[:, None]).T @ p
-        goals = np.array([weights[x] for x in DOMAINS]) * t.sum()
-        for _ in got.gradients:
-            r = np.maximum(0, r - p @ np.linalg.solve(m, p.T @ (t * r) - goals))
+        got = fit_rates(shares, DOMAINS, weights)
+        goals, r = np.array([weights[x] for x in DOMAINS]) * t.sum(), np.ones(200)
+        for g in got.gradients:
+            r = np.maximum(0, r - p @ np.array(g))
         assert np.allclose(got.reached, p.T @ (t * r), rtol=1e-6)
-        before = np.linalg.norm(p.T @ t - goals)
-        assert np.linalg.norm(np.array(got.reached) - goals) < 0.2 * before
+        least, m = np.ones(200), (p * t[:, None]).T @ p      # plain descent, as many steps
+        for _ in got.gradients:
+            least = np.maximum(0, least - p @ np.linalg.solve(m, p.T @ (t * least) - goals))
+
+        def length(x):
+            off = p.T @ (t * x) - goals
+            return np.sqrt(off @ np.linalg.solve(m, off))
+
+        assert length(r) <= 1.02 * length(least) + 1e-6 * length(np.ones(200))
+        assert length(r) < 0.3 * length(np.ones(200))
     assert np.allclose(_solve([[2.0, 1.0], [1.0, 3.0]], [3.0, 5.0]), [0.8, 1.4])
     assert _solve([[0.0, 0.0], [0.0, 2.0]], [0.0, 4.0]) == [0.0, 2.0]
 
