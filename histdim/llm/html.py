@@ -3,7 +3,9 @@
 A page is read once as a stream of tags into blocks of text, each in a chain of
 containers with generalised paths (tags with class words, digits as ``#``).
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are told by tag, role and class words and left out.
+comments are told by tag, role and class words and left out.  Class and id words are held
+against containers only, and not against one that turns out to be a wrapper of the article
+or of most of the page's unlinked text.
 
 1.  Every page scores its containers: a block counts by its unlinked characters, fully
     for the container that holds it and less for those further out; article and main
@@ -39,7 +41,8 @@ FULL_VOTE = 1000
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
+#: Attributes one after the other, each with its value; a quote that stays open lasts to the end.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]++)))?""")
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 # HTML elements by their role.
@@ -63,9 +66,16 @@ _LEFT_OUT_WORDS = frozenset(
 #: Left out unless they belong to an article, whose heading they hold.
 _HEADER_WORDS = frozenset("header masthead banner".split())
 _NOT_OF_ITSELF = frozenset("has with no without is in".split())
+#: Words of a thread of reader comments, unless what follows only tells its state.
+_TALK_WORDS = frozenset("comment comments reply replies respond disqus".split())
+_STATES = frozenset("open opened closed enabled disabled on off allowed".split())
 _ALWAYS_IN = frozenset("html body main".split())
+_MAIN = frozenset("article main".split())
+#: Elements whose names aren't judged: their ids and classes name what the text is about.
+_SAYING = _INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd pre blockquote caption figcaption summary".split())
 #: Tags that a page may do without: no part of a path, which then begins below the body.
 _OPTIONAL = frozenset("html body".split())
+_JUDGED = frozenset("class id role hidden aria-hidden style".split())
 
 
 class Container:
@@ -76,29 +86,59 @@ class Container:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _marks(rest: str) -> tuple[list[str], bool, bool]:
-    """(class words of an element, whether they or other attributes leave it out,
-    whether they make it a header)."""
-    classes, out, head = [], False, False
+class Region:
+    """An element that its name would leave out.  It stays if it holds an article or most of
+    the page's unlinked text: then it is a wrapper."""
+
+    __slots__ = ("chars", "holds", "holds_talk", "inside", "out", "parent", "talk")
+
+    def __init__(self, parent: Region | None, talk: bool, inside: bool):
+        self.parent, self.talk, self.inside = parent, talk, inside
+        self.chars, self.holds, self.holds_talk, self.out = 0, False, False, True
+
+
+def _named(name: str, value: str) -> tuple[bool, bool, bool]:
+    """(whether a class or id leaves its element out, makes it a header, a comment thread).
+    An id counts as a whole: all its words do."""
+    out = head = talk = False
+    for token in value.split():
+        words = [w.lower() for w in _CLASS_WORD.findall(token)]
+        if name == "id":
+            words = [w for w in words if not w.isdigit()]
+            known = bool(words) and all(w in _LEFT_OUT_WORDS or w in _HEADER_WORDS for w in words)
+        else:
+            k = next((k for k, w in enumerate(words) if w in _NOT_OF_ITSELF), len(words))
+            words, known = words[:k], True
+        if known:
+            out |= not _LEFT_OUT_WORDS.isdisjoint(words)
+            head |= not _HEADER_WORDS.isdisjoint(words)
+            talk |= bool(words) and words[0] in _TALK_WORDS and _STATES.isdisjoint(words)
+    return out, head, talk
+
+
+def _marks(rest: str) -> tuple[list[str], bool, bool, bool, bool]:
+    """(class words of an element, whether role or style or the like leave it out; whether its
+    name does, makes it a header, a comment thread)."""
+    classes, hidden, named, seen = [], False, (False, False, False), set()
     for m in _ATTRIBUTE.finditer(rest):
-        name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
+        name = m[1].lower()
+        if name in seen or name not in _JUDGED:      # the first of a name counts
+            continue
+        seen.add(name)
+        value = unescape(m[2] or m[3] or m[4] or "")
         if name == "role":
-            out |= value.lower() in _LEFT_OUT_ROLES
+            hidden |= value.lower() in _LEFT_OUT_ROLES
         elif name == "hidden":
-            out = True
+            hidden = True
         elif name == "aria-hidden":
-            out |= value.lower() == "true"
+            hidden |= value.lower() == "true"
         elif name == "style":
-            out |= "display:none" in re.sub(r"\s", "", value.lower())
+            hidden |= "display:none" in re.sub(r"\s", "", value.lower())
         else:
-            for token in value.split():
-                words = [w.lower() for w in _CLASS_WORD.findall(token)]
-                if name == "class":
-                    classes.append(re.sub("[0-9]+", "#", token.lower()))
-                own = bool(words) and words[0] not in _NOT_OF_ITSELF
-                out |= own and not _LEFT_OUT_WORDS.isdisjoint(words)
-                head |= own and not _HEADER_WORDS.isdisjoint(words)
-    return sorted(set(classes)), out, head
+            if name == "class":
+                classes = sorted({re.sub("[0-9]+", "#", token.lower()) for token in value.split()})
+            named = tuple(x or y for x, y in zip(named, _named(name, value)))
+    return classes, hidden, *named
 
 
 def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Container]]:
@@ -106,25 +146,28 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
     Text that is left out has no block."""
     root = Container("", "", None, False)
     here, containers, blocks = root, [], []
-    stack: list[tuple[str, Container, bool]] = []      # element, container around it, whether it leaves out what's in it
-    out, links, text, linked, at = 0, 0, [], 0, 0
+    region, regions, of = None, [], []      # innermost one, all, that of each block
+    stack: list[tuple[str, Container, bool, Region | None]] = []      # element, container and region around it, whether it leaves out what's in it
+    out, links, articles, text, linked, at = 0, 0, 0, [], 0, 0
 
     def flush():
         nonlocal linked
         if text:
             if line := " ".join(unescape("".join(text)).split()):
                 blocks.append((here, line, linked))
+                of.append(region)
             text.clear()
         linked = 0
 
     def pop(to: int):
-        nonlocal here, out, links
+        nonlocal here, out, links, articles, region
         while len(stack) > to:
-            tag, around, left = stack.pop()
+            tag, around, left, outer = stack.pop()
             if tag not in _INLINE:
                 flush()
-            here = around
+            here, region = around, outer
             out -= left
+            articles -= tag == "article"
             links -= tag == "a"
 
     def say(part: str):
@@ -178,10 +221,19 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
             if tag in _CLOSES and (k := last_open(_CLOSES[tag], _HOLDS[tag])) is not None:
                 pop(k)
             flush()
-        classes, left, head = _marks(rest) if rest else ([], False, False)
-        head = (head or tag == "header") and tag != "article" and last_open({"article"}) is None
-        left = tag not in _ALWAYS_IN and (left or head or tag in _LEFT_OUT)
-        stack.append((tag, here, left))
+        classes, left, named, head, talk = _marks(rest) if rest else ([], False, False, False, False)
+        # (whatever is in an article may be a header of its own)
+        head = (head or tag == "header") and tag != "article" and not articles
+        left = tag not in _ALWAYS_IN and (left or (head and tag == "header") or (tag in _LEFT_OUT and tag != "form"))
+        stack.append((tag, here, left, region))
+        if tag in _MAIN:
+            if region is not None and not out and not left:
+                region.holds |= not talk or tag == "main"
+                region.holds_talk |= talk
+        elif tag == "form" or ((named or head) and tag not in _SAYING and tag not in _ALWAYS_IN):
+            region = Region(region, talk and tag != "form", articles > 0)
+            regions.append(region)
+        articles += tag == "article"
         out += left
         links += tag == "a"
         if tag not in _INLINE and tag not in _BLOCKS and tag not in _OPTIONAL and here.depth < MOST_DEPTH:
@@ -190,7 +242,28 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
     say(html[at:].partition("<!--")[0])
     pop(0)
     flush()
-    return blocks, [root, *containers]
+    return _without(blocks, of, regions), [root, *containers]
+
+
+def _without(blocks: list[tuple[Container, str, int]], of: list[Region | None], regions: list[Region]):
+    """The blocks outside of regions, or in such that are wrappers of the page's text."""
+    if not regions:
+        return blocks
+    total = 0
+    for (_, line, linked), region in zip(blocks, of):
+        total += max(0, len(line) - linked)
+        if region is not None:
+            region.chars += max(0, len(line) - linked)
+    for r in reversed(regions):      # the inner ones first
+        if r.parent is not None:
+            r.parent.chars += r.chars
+            r.parent.holds |= r.holds
+            r.parent.holds_talk |= r.holds_talk
+    for r in regions:
+        stays = not r.inside and (r.holds or (r.holds_talk and not r.talk))
+        stays |= r.chars == total > 0 if r.talk else 2 * r.chars > total
+        r.out = not stays or (r.parent is not None and r.parent.out)
+    return [b for b, r in zip(blocks, of) if r is None or not r.out]
 
 
 _BARRIERS = frozenset("table td th caption button object applet marquee".split())

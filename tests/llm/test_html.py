@@ -36,6 +36,29 @@ def test_blocks(html, want):
     assert "\n".join(t for _, t, _ in blocks) == want
 
 
+LONG = "Rivers carry sand and stones to the sea, where they build a wide and flat delta over many thousand years."
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<article><h2 id='related-work'>R</h2><p>a</p><h2 id=how-to-search>S</h2><section id='form-and-function'><p>b</p></section></article>", "R\na\nS\nb"),
+    (f"<div class='content-sidebar-wrap'><p>{LONG}</p><div class='sidebar'>s</div></div><div>tail</div>", f"{LONG}\ntail"),
+    (f"<div class='main-with-sidebar'><p>x</p></div><div>{LONG}</div>", f"x\n{LONG}"),
+    ("<article class='post comments-open'><p>x</p></article>", "x"),
+    (f"<div class='sidebar-layout'><article><p>x</p></article></div><div>{LONG}</div>", f"x\n{LONG}"),
+    ("<p>a <a href='/x' title='A hidden gem'>word</a> b <a href='/hidden/valley'>c</a> <span class='share'>d</span></p>", "a word b c d"),
+    ("<div data-hidden='false' data-id='comment-7'>x</div><div data-role='navigation'>y</div><p title=\"it's hidden\">z</p>", "x\ny\nz"),
+    (f"<form id='aspnetForm'><p>{LONG}</p><form class=search>q</form></form><p>tail</p>", f"{LONG}\ntail"),
+    (f"<div class=post><p>short</p></div><div class=comments-area><article class=comment-body><p>{LONG}</p></article></div>", "short"),
+    (f"<article><p>short</p><section class='comments'><p>{LONG}</p></section></article>", "short"),
+    ("<div class=x hidden>h</div><span hidden>i</span><div class=a class=sidebar>y</div>", "y"),
+    ("<p title=\"open hidden>x</p>", "x"),
+    ("<div class='sidebar'>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+])
+def test_wrappers_and_headings_stay(html, want):
+    blocks, _ = read_page(html)
+    assert "\n".join(t for _, t, _ in blocks) == want
+
+
 def filler(rnd, n):
     return " ".join(f"w{rnd.randrange(999)}" for _ in range(n))
 
