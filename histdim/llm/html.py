@@ -12,7 +12,7 @@ or of most of the page's unlinked text.
     elements count more.  The page votes with each path's share of its best score.
 2.  Spark adds up the votes by host and path; the path with most votes wins its host.
 3.  Every page is read again and yields the blocks below its host's path; a page that
-    doesn't have that path yields those below its own best container.
+    doesn't have any there yields those below its own best container.
 
 Votes are aggregated before they are shuffled.  The join of pages with their host's path
 is a broadcast of checked size, or salted, so that a host with very many pages is split.
@@ -296,13 +296,17 @@ def votes(html: str) -> dict[str, int]:
 def main_text(html: str, path: str | None) -> str:
     """The blocks below ``path``, or where there are none below the page's own best container."""
     blocks, containers = read_page(html)
-    if not any(c.path == path for c in containers):
+
+    def below(path: str | None) -> list[str]:
+        within: dict[Container, bool] = {}
+        for c in containers:
+            within[c] = c.path == path or (c.parent is not None and within[c.parent])
+        return [text for c, text, _ in blocks if within[c]]
+
+    if not (texts := below(path)) and blocks:
         score(blocks)
-        path = best(containers).path
-    within: dict[Container, bool] = {}
-    for c in containers:
-        within[c] = c.path == path or (c.parent is not None and within[c.parent])
-    return "\n".join(text for c, text, _ in blocks if within[c])
+        texts = below(best(containers).path)
+    return "\n".join(texts)
 
 
 def host(url: Column) -> Column:

@@ -125,3 +125,17 @@ def test_odd_rows(spark):
     assert sorted(r.text for r in got.collect()) == ["", "", "a", "b", "b"]
     assert extract_main_text(spark.createDataFrame([], PAGES)).collect() == []
     assert main_text("<p>x</p>", "/not/there") == "x"
+
+
+@pytest.mark.parametrize("empty", ["<div></div>", "<div hidden>h</div>", "<nav><div>menu</div></nav>", "<div><script>1</script></div>"])
+def test_a_path_without_blocks_is_no_path(empty):
+    assert main_text(empty + "<article><p>a</p><p>b</p></article>", "/div") == "a\nb"
+    assert main_text(empty, "/div") == ""
+
+
+def test_pages_whose_host_path_is_empty(spark):
+    rnd = random.Random(5)
+    rows = [(i, "https://h.example.com/x", f"<div class=post><p>{filler(rnd, 40)}</p></div>") for i in range(5)]
+    rows += [(9, "https://h.example.com/y", "<div class=post></div><article><p>mine</p></article>")]
+    got = by_id(extract_main_text(spark.createDataFrame(rows, PAGES)), "page_id")
+    assert got[9]["text"] == "mine" and all(got[i]["text"] in rows[i][2] and got[i]["text"] for i in range(5))
