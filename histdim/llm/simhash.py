@@ -21,6 +21,7 @@ Cases: a null or empty text, or one without a word, has fingerprint zero and
 is linked like any other; a null id never names a component unless it stands
 alone (then the id is null); repeated rows are returned each; an empty table
 gives no rows; further columns are ignored or, in ``one_of_each``, kept as they are.
+``one_of_each`` judges rows, not ids, so an id with several texts loses no group.
 """
 
 from __future__ import annotations
@@ -30,12 +31,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from histdim.llm.components import components
-from histdim.llm.frames import id_text, stored
+from histdim.llm.frames import stored
 
 #: Fingerprints that a group has on average, and at most before it is cut into tiles.
 GROUP_MEAN, GROUP_MOST = 512, 4096
@@ -72,16 +73,18 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, print): the fingerprint as a signed 64-bit number."""
-    df = id_text(docs, id_col, text_col)
-    schema = T.StructType([df.schema["id"], T.StructField("print", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                 *further: str) -> DataFrame:
+    """(id, print): the fingerprint as a signed 64-bit number; and ``further`` columns."""
+    df = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *further)
+    schema = T.StructType([df.schema["id"], T.StructField("print", T.LongType()), *(df.schema[c] for c in further)])
 
     def mark(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             marks = np.array([majority(shingle_hashes(t.as_py() or b"", shingle)) for t in texts], _U)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64)),
+                                              *(batch.column(2 + k) for k in range(len(further)))], schema.names)
 
     return df.mapInArrow(mark, schema)
 
@@ -217,29 +220,43 @@ def print_links(prints: DataFrame, radius: int) -> DataFrame:
     return spread.groupBy("choice", "key", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    radius: int = 4) -> DataFrame:
-    """``id_col``, ``fingerprint`` and ``component_id``: the least id that is
-    reachable over links of at most ``radius`` differing bits."""
-    marked = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def by_component(marked: DataFrame, radius: int) -> DataFrame:
+    """(print, component_id) of every distinct fingerprint in ``marked`` (id, print, ...), and
+    ``root``, which names the component also where it has no id."""
     least = stored(marked.groupBy("print").agg(F.min("id").alias("least")), "prints")
     links = components(print_links(least.select("print"), radius))
     rooted = least.join(links, least["print"] == links["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("root"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(of_root, "root").select("print", "component_id")
+    return rooted.join(of_root, "root").select("print", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    radius: int = 4) -> DataFrame:
+    """``id_col``, ``fingerprint`` and ``component_id``: the least id that is
+    reachable over links of at most ``radius`` differing bits."""
+    marked = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
-    return marked.join(by_print, "print").select(F.col("id").alias(id_col), digits, "component_id")
+    return marked.join(by_component(marked, radius), "print").select(F.col("id").alias(id_col), digits, "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                 radius: int = 4) -> DataFrame:
-    """The document with the least id of each group of near copies, and every one
-    without an id; all columns as they are.  Of rows that repeat an id one stays,
-    the one whose text hashes lowest."""
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    first = found.filter(F.col("component_id") == F.col(id_col)).select(F.col(id_col).alias("__first")).distinct()
-    kept = docs.join(first, F.col(id_col) == F.col("__first"), "left_semi")
-    turn = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
-    kept = kept.withColumn("__turn", turn).filter("__turn = 1").drop("__turn")
-    return kept.unionAll(docs.filter(F.col(id_col).isNull()))
+    """A row of each group of near copies, all columns as they are: of the rows with an id the
+    one with the least, then the one whose text hashes lowest; and one of the rows without an id."""
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
+                       F.struct(F.xxhash64(text_col).alias("text"), whole.alias("all")).alias("__order"))
+    marked = stored(fingerprints(rows, "__id", "__text", shingle, "__order"), "fingerprints")
+    # What decides is a row's own fingerprint, so an id with two texts can stay with one of them.
+    first, nameless = F.min(F.struct("id", "__order")), F.col("id").isNull().alias("nameless")
+    of_print = marked.groupBy("print", nameless).agg(first.alias("s")).select("print", "nameless", "s.*")
+    chosen = (of_print.join(by_component(marked, radius).select("print", "root"), "print")
+              .groupBy("root", "nameless").agg(first.alias("s"))
+              .select("root", F.col("s.id").alias("__of"), F.col("s.__order.all").alias("__all")))
+    kept = docs.withColumn("__whole", whole).join(
+        chosen, F.col(id_col).eqNullSafe(F.col("__of")) & (F.col("__whole") == F.col("__all")))
+    # Rows alike in every column are as many as there are: one of them stays.
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    one = kept.groupBy("root", F.col("__of").isNull().alias("__nameless")).agg(F.first(F.struct(*names)).alias("__row"))
+    return one.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

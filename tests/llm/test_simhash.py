@@ -139,6 +139,26 @@ def test_one_of_each_group_stays(spark):
     assert one_of_each(docs(spark, [])).collect() == []
 
 
+def test_every_group_keeps_a_document_though_ids_repeat(spark):
+    rnd = random.Random(12)
+    a, b, c = (prose(rnd, 120) for _ in range(3))
+    for order in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
+        rows = [(5, a), (5, b), (7, a)]
+        d = docs(spark, [rows[k][1] for k in order], [rows[k][0] for k in order])
+        assert sorted((r.doc_id, r.text) for r in one_of_each(d).collect()) == sorted([(5, a), (5, b)])
+    d = docs(spark, [a, b, a, a, b, c, c, c, c], [5, 5, 7, None, None, None, None, None, 5]).repartition(4)
+    kept = [(r.doc_id, r.text) for r in one_of_each(d).collect()]
+    assert {t for _, t in kept} == {a, b, c}
+    assert sorted(t for i, t in kept if i is not None) == sorted([a, b, c])
+    assert sorted(t for i, t in kept if i is None) == sorted([a, b, c])
+
+
+def test_exact_copies_without_ids_are_reduced(spark):
+    a = prose(random.Random(13), 120)
+    assert [(r.doc_id, r.text) for r in one_of_each(docs(spark, [a] * 20, [None] * 20).repartition(5)).collect()] == [(None, a)]
+    assert [(r.doc_id, r.text) for r in one_of_each(docs(spark, [a] * 20, [3] * 20).repartition(5)).collect()] == [(3, a)]
+
+
 def test_query_over_the_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     source = spark.read.parquet(f"{sf}/documents.parquet").collect()
