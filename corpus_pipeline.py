@@ -21,6 +21,8 @@ from histdim.llm.tiling import without_leaks
 #: their expected tokens a little above what they are.
 TARGETS = {"clean": 0.99, "toxic": 0.01}
 HEADROOM = 0.02
+#: The toxic share is a ceiling: of their expected tokens no more than this share stays, however rare they are.
+MOST = {"toxic": 0.25}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents are taken at the rates that meet the target shares."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
-    return mixture(docs, labels, TARGETS, whole=("clean",), headroom=HEADROOM)
+    return mixture(docs, labels, TARGETS, whole=("clean",), headroom=HEADROOM, most=MOST)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -161,10 +161,12 @@ class Rates:
 
 
 def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, float], whole: Sequence[str] = (),
-              headroom: float = 0.0, params: MixParams = MixParams()) -> Rates:
+              headroom: float = 0.0, params: MixParams = MixParams(), most: Mapping[str, float] = {}) -> Rates:
     """``shares`` has ``tokens`` and p0, p1, ... by domain.  The goals are ``targets``
     (scaled to 1) of a total: that of all tokens, or where domains are to stay
-    ``whole``, the least at which none of these falls below its expected tokens times 1 + ``headroom``."""
+    ``whole``, the least at which none of these falls below its expected tokens times 1 + ``headroom``.
+    A domain in ``most`` has that share of its expected tokens as its goal at most, so that
+    a rare one isn't multiplied to meet its target."""
     n = len(domains)
     p = [F.col(f"p{i}") for i in range(n)]
     t = F.col("tokens").cast("double")
@@ -177,7 +179,7 @@ def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, f
         return Rates(tuple(domains), tuple(have), (), tuple(have))
     weight = [w / scale for w in weight]
     total = max((have[i] * (1 + headroom) / weight[i] for i, d in enumerate(domains) if d in whole and weight[i]), default=sum(have))
-    goals = [w * total for w in weight]
+    goals = [min(w * total, most[d] * have[i]) if d in most else w * total for i, (d, w) in enumerate(zip(domains, weight))]
     m = [[first[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)]
     done, now = Rates(tuple(domains), tuple(goals), (), tuple(have)), m
 
@@ -213,7 +215,7 @@ def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, f
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
           text_col: str = "text", domain_col: str = "domain", whole: Sequence[str] = (), headroom: float = 0.0,
-          params: MixParams = MixParams()) -> DataFrame:
+          params: MixParams = MixParams(), most: Mapping[str, float] = {}) -> DataFrame:
     """All columns of ``docs`` and a struct ``__mix``: tokens, posterior (array in the
     order of sorted(targets)), rate, copies."""
     domains = tuple(sorted(targets))
@@ -228,7 +230,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id
     shares = docs.select(judged(lambda n, p: F.struct(n.alias("tokens"), p.alias("p"))).alias("d")).select(
         "d.tokens", *[F.col("d.p")[i].alias(f"p{i}") for i in range(len(domains))])
     shares = stored(shares.groupBy(*shares.columns[1:]).agg(F.sum("tokens").alias("tokens")), "shares")
-    rates = fit_rates(shares, domains, targets, whole, headroom, params)
+    rates = fit_rates(shares, domains, targets, whole, headroom, params, most)
     chance = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def mix(tokens: Column, p: Column) -> Column:

@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from histdim.llm.mixing import _solve, document_rates, fit_domains, fit_rates, mixed, mixture
+import corpus_pipeline
+from histdim.llm.mixing import MixParams, _solve, document_rates, fit_domains, fit_rates, mixed, mixture
 from histdim.llm.registry import op3_mixing
 from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs
 
@@ -123,3 +124,18 @@ def test_odd_rows(spark):
                                   "doc_id long, text string, tokens int, domain string")
     assert len(as_dicts(document_rates(clash, odd, TARGETS))) == 3
     assert mixture(clash, odd, TARGETS).columns == clash.columns
+
+
+def test_a_rare_domain_is_no_target_to_reach(spark):
+    rnd = random.Random(8)
+    n = 3000
+    rare = set(range(0, n, 750))      # far below one hundredth of the tokens
+    texts = [" ".join(f"{'bad' if i in rare else 'w'}{rnd.randrange(9 if i in rare else 300)}" for _ in range(60)) for i in range(n)]
+    labels = spark.createDataFrame([(i, "toxic" if i in rare else "clean") for i in range(n)], "doc_id long, domain string")
+    options = {"whole": ("clean",), "headroom": corpus_pipeline.HEADROOM, "params": MixParams(least_docs=2)}
+    rates = as_dicts(document_rates(docs(spark, texts), labels, corpus_pipeline.TARGETS, most=corpus_pipeline.MOST, **options))
+    clean = min(r["rate"] for r in rates if r["p_clean"] > 0.99)
+    toxic = [r["rate"] for r in rates if r["p_toxic"] > 0.99]
+    assert len(toxic) == len(rare) and max(toxic) < 1 <= clean
+    as_target = as_dicts(document_rates(docs(spark, texts), labels, corpus_pipeline.TARGETS, **options))
+    assert max(r["rate"] for r in as_target if r["p_toxic"] > 0.99) > 2      # what the ceiling keeps from happening
