@@ -150,12 +150,27 @@ def plain(c: str) -> str:
 
 
 _ODD = re.compile(r"[^\x00-\x7f]")
-_DIGIT = {w: str(i) for i, ws in enumerate((("zero", "oh"), ("one",), ("two",), ("three",), ("four",), ("five",),
-                                            ("six",), ("seven",), ("eight",), ("nine",))) for w in ws}
-_WORD = "|".join(_DIGIT)
+# The digits in the documents' languages (English, German, Spanish, French).
+_DIGIT = {w: str(i) for i, ws in enumerate((
+    "zero oh null cero zéro", "one eins uno un", "two zwei zwo dos deux", "three drei tres trois", "four vier cuatro quatre",
+    "five fünf fuenf cinco cinq", "six sechs seis", "seven sieben siete sept", "eight acht ocho huit", "nine neun nueve neuf"))
+    for w in ws.split()}
+_WORD = "|".join(sorted(_DIGIT, key=len, reverse=True))
+_NOT_LETTER = r"[^\W\d_]"
+_DOT_WORD = "(?:dot|punkt|punto|point)"
 #: Two or more spelled digits in a row, between spaces, hyphens or commas, or next to written digits.
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:(plus)[ -]+)?((?:(?:double[ -]+|triple[ -]+)?(?:{_WORD})(?![A-Za-z])[ ,-]*){{2,}})", re.I)
-_ONE = re.compile(rf"(?:(double|triple)[ -]+)?({_WORD})(?![A-Za-z])|([ ,-]+)", re.I)
+_SPELLED = re.compile(rf"(?<!{_NOT_LETTER})(?:(plus|m[aá]s)[ -]+)?((?:(?:double[ -]+|triple[ -]+)?(?:{_WORD})(?!{_NOT_LETTER})[ ,-]*){{2,}})", re.I)
+_ONE = re.compile(rf"(?:(double|triple)[ -]+)?({_WORD})(?!{_NOT_LETTER})|([ ,-]+)", re.I)
+#: A spelled digit on its own before a written one or a spelled dot, after such a dot, or
+#: at the end of written ones.
+_ALONE = re.compile(
+    rf"(?<!{_NOT_LETTER})(?:{_WORD})(?=[ -]{{1,2}}[0-9]|[ \t_]+{_DOT_WORD}(?!{_NOT_LETTER}))"
+    rf"|(?:(?<=dot )|(?<=punkt )|(?<=punto )|(?<=point ))(?:{_WORD})(?!{_NOT_LETTER})"
+    rf"|(?<=[0-9][ -])(?:{_WORD})(?=[ \t]*(?:[.,;:!?)\n]|\Z)|[ -]{{1,2}}(?:{_WORD})(?!{_NOT_LETTER}))", re.I)
+#: Four parts of spelled or written digits with dots in words between them.
+_SPACED_IP = re.compile(
+    r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){0,2}"
+    rf"(?:[ \t_]+{_DOT_WORD}[ \t_]+[0-9](?:[ -]?[0-9]){{0,2}}){{3}}(?![ -]?[0-9])", re.I)
 _AT = r"[ \t]*[\[({<][ \t]*(?:at|arroba|@)[ \t]*[\])}>][ \t]*"
 _DOT = r"[ \t]*[\[({<][ \t]*(?:dot|punkt|punto|point|\.)[ \t]*[\])}>][ \t]*"
 _BARE_DOT = r"[ \t_]+dot[ \t_]+"
@@ -168,7 +183,33 @@ _BARE_DOTS = re.compile(rf"(?<=[A-Za-z0-9]){_BARE_DOT}(?=[A-Za-z0-9])", re.I)
 _DIGIT_LIKE = re.compile(r"(?<=[0-9])[OolI|]+(?=[0-9])")
 _DIGITS_FOR = str.maketrans("OolI|", "00111")
 _MAYBE_AT = re.compile(r"[\[({<][ \t]*(?:at|arroba|@|dot|punkt|punto|point|\.)[ \t]*[\])}>]|[ \t_]dot[ \t_]", re.I)
-_MAYBE_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{_WORD})[ ,-]+(?:(?:double|triple)[ -]+)?(?:{_WORD})(?![A-Za-z])", re.I)
+_MAYBE_IP = re.compile(rf"[0-9][ \t_]+{_DOT_WORD}[ \t_]+[0-9]", re.I)
+#: A bare "at" before a plain name with a well-known ending; what stands before it is judged by _mailbox.
+_PLAIN_AT = re.compile(
+    r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=(?:[A-Za-z0-9-]{1,63}\.){1,5}"
+    r"(?:com|org|net|edu|gov|info|biz|io|dev|app|eu|de|fr|es|uk|us|ch|it|nl|be|pt|pl|se|dk|ca|au|mx|ar|cl)(?![A-Za-z0-9-]|\.[A-Za-z0-9]))", re.I)
+_BEFORE_AT = re.compile(r"(?:^|[^A-Za-z0-9._%+-])(?:(e-?mails?|mailto|mail|write|contact|reach|send|address|schreib\w*|escrib\w*|écri\w*)"
+                        r"(?:[ \t]+(?:to|me|is|an|a|à))?[ \t:]+)?([A-Za-z0-9._%+-]+)$", re.I)
+#: Mailboxes by what they are for, and common given names.
+_MAILBOXES = frozenset(
+    "info contact support sales admin office mail hello help service team webmaster postmaster press jobs privacy billing noreply kontakt "
+    "contacto ventas presse john jane james mary robert michael david richard william thomas peter paul mark george kevin brian daniel "
+    "anna anne maria marie laura julia sarah susan linda lisa emma emily alice bob tom tim jim joe max hans klaus jürgen stefan andreas "
+    "martin petra sabine jean pierre jacques michel sophie claire juan jose carlos luis pedro miguel ana carmen lucia alex chris sam ben".split())
+#: Words that stand before a site as well, whatever stands before them.
+_NO_MAILBOX = frozenset("us me them him her it you we they available found online more out up here site website page look see visit "
+                        "is are was were be team people address email mail".split())
+_MAYBE_SPELLED = re.compile(rf"(?<!{_NOT_LETTER})(?:{_WORD})[ ,-]+(?:(?:double|triple)[ -]+)?(?:{_WORD})(?!{_NOT_LETTER})", re.I)
+
+
+def _mailbox(m: re.Match[str]) -> str | None:
+    """``@`` if what stands before the "at" looks like a local part."""
+    before = _BEFORE_AT.search(m.string[max(0, m.start() - 120):m.start()])
+    if not before:
+        return None
+    local = before[2].lower()
+    known = local in _MAILBOXES or re.fullmatch(r"[a-z]+(?:[._+][a-z0-9]+)+|[a-z]{3,}[0-9]+", local)
+    return "@" if known or (before[1] and local not in _NO_MAILBOX) else None
 
 
 def _spell(mapped: Mapped) -> Mapped:
@@ -183,11 +224,13 @@ def _spell(mapped: Mapped) -> Mapped:
         a, b = m.span(2)
         b -= len(m[2]) - len(m[2].rstrip(" ,-"))
         inside[a:b] = b"\x01" * (b - a)
+    for m in _ALONE.finditer(mapped.text):
+        inside[m.start():m.end()] = b"\x01" * (m.end() - m.start())
     signs = {m.start() for m in _SPELLED.finditer(mapped.text) if m[1]}
-    words = re.compile(rf"(?<![A-Za-z]){_ONE.pattern}", re.I)
+    words = re.compile(rf"(?<!{_NOT_LETTER}){_ONE.pattern}", re.I)
     done = mapped.rewrite(words, token)
     if signs:
-        done = done.rewrite(re.compile(r"(?<![A-Za-z])plus[ -]+(?=[0-9])", re.I), lambda m: "+")
+        done = done.rewrite(re.compile(rf"(?<!{_NOT_LETTER})(?:plus|m[aá]s)[ -]+(?=[0-9])", re.I), lambda m: "+")
     return done
 
 
@@ -198,11 +241,14 @@ def normalise(text: str) -> Mapped | None:
         swaps = {c: plain(c) for c in set(text) if ord(c) > 127}
         if any(v != c for c, v in swaps.items()):
             mapped = mapped.rewrite(_ODD, lambda m: None if swaps[m[0]] == m[0] else swaps[m[0]])
-    if _MAYBE_SPELLED.search(mapped.text):
+    if _MAYBE_SPELLED.search(mapped.text) or _ALONE.search(mapped.text):
         mapped = _spell(mapped)
+    if _MAYBE_IP.search(mapped.text):
+        mapped = mapped.rewrite(_SPACED_IP, lambda m: ".".join(re.sub("[^0-9]", "", p) for p in re.split(_DOT_WORD, m[0], flags=re.I)))
     if _MAYBE_AT.search(mapped.text):
         mapped = mapped.rewrite(_BARE_AT, lambda m: "@").rewrite(_BRACKETED_AT, lambda m: "@")
         mapped = mapped.rewrite(_BRACKETED_DOT, lambda m: ".").rewrite(_BARE_DOTS, lambda m: ".")
+    mapped = mapped.rewrite(_PLAIN_AT, _mailbox)
     mapped = mapped.rewrite(_DIGIT_LIKE, lambda m: m[0].translate(_DIGITS_FOR))
     return None if mapped.text is text else mapped
 

@@ -72,6 +72,30 @@ def test_clean_texts_stay_clean(text):
     assert find(text) == []
 
 
+@pytest.mark.parametrize(("text", "kind", "part"), [
+    ("ask john at example.com now", "email", "john at example.com"),
+    ("j.doe at mail.example.org.", "email", "j.doe at mail.example.org"),
+    ("please write to zaphod at example.de", "email", "zaphod at example.de"),
+    ("call +49 one 5 one 2 345 six 78, ok", "phone", "+49 one 5 one 2 345 six 78"),
+    ("call +1 988 555 248 five.", "phone", "+1 988 555 248 five"),
+    ("ping eight dot eight dot eight dot eight now", "ip", "eight dot eight dot eight dot eight"),
+    ("at one nine two dot one six eight dot zero dot one, up", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("IP 10 punkt null punkt null punkt eins", "ip", "10 punkt null punkt null punkt eins"),
+    ("ruf plus vier neun eins fünf eins zwei drei vier fünf sechs sieben an", "phone",
+     "plus vier neun eins fünf eins zwei drei vier fünf sechs sieben"),
+    ("+34 uno dos tres cuatro cinco seis siete ocho nueve", "phone", "+34 uno dos tres cuatro cinco seis siete ocho nueve"),
+    ("+33 un deux trois quatre cinq six sept huit neuf", "phone", "+33 un deux trois quatre cinq six sept huit neuf"),
+])
+def test_further_disguises(text, kind, part):
+    assert (kind, part) in [(KINDS[k], text[a:b]) for a, k, b, _ in find(text)]
+
+
+@pytest.mark.parametrize("text", ["contact us at example.com", "more at example.com", "look at example.com", "a shop at example.com",
+                                  "we met at 5.30", "one dot com", "seis y siete", "version 1 point 2", "john at example.txt"])
+def test_sites_and_counts_are_no_personal_data(text):
+    assert find(text) == []
+
+
 def test_rewriting_keeps_offsets():
     m = Mapped.of("abXXcdYYe").rewrite(re.compile("XX|YY"), lambda m: "1" if m[0] == "XX" else "")
     assert (m.text, list(m.start), list(m.end)) == ("ab1cde", [0, 1, 2, 4, 5, 8], [1, 2, 4, 5, 6, 9])
