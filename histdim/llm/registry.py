@@ -124,6 +124,94 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every 64-component vector of ``embeddings``."""
+    from histdim.llm.vafile import ClusterParams, cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), params=ClusterParams(dims=64, scale=64, k=16, rounds=3))
+
+
+def _op11_sql() -> str:
+    near = """a{r} AS (
+  SELECT i, v, arg_min(c, (list_sum(list_transform(range(1, 65), lambda j: (v[j] - w[j]) * (v[j] - w[j]))), c)) AS c
+  FROM x, c{r} GROUP BY i, v),
+"""
+    move = """m{r} AS (
+  SELECT c, j, sum(y) AS s, count(*) AS n
+  FROM (SELECT c, unnest(v) AS y, unnest(range(1, 65)) AS j FROM a{r}) GROUP BY c, j),
+u{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS w FROM m{r} GROUP BY c),
+c{n} AS (SELECT c{r}.c, coalesce(u{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN u{r} USING (c)),
+"""
+    steps = "".join(near.format(r=r) + move.format(r=r, n=r + 1) for r in range(3))
+    return f"""
+WITH x AS (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda y: CAST(floor(64 * CAST(y AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS w FROM x
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16),
+{steps}{near.format(r=3)}d AS (
+  SELECT i, a3.c, list_sum(list_transform(range(1, 65), lambda j: (v[j] - w[j]) * (v[j] - w[j]))) AS distance, w
+  FROM a3 JOIN c3 USING (c))
+SELECT vec_id, CAST(c AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM d JOIN x USING (i)
+"""
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of ``embeddings`` with the largest inner products, for each whose vec_id is divisible by 20."""
+    from histdim.llm.crosspolytope import HashParams, nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), asks=F.col("id") % 20 == 0, params=HashParams(k=20))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of ``conversations``, rebuilt to share their first turns."""
+    from histdim.llm.trie import conversations, prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(conversations(table(spark, sf_dir, "conversations"))))
+
+
+#: crc32 is written out, as this dialect has none.
+OP13_SQL = """
+WITH t AS (
+  SELECT conv_id AS c, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(coalesce(role, '') || ':' || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(x ORDER BY i) AS own FROM t GROUP BY c),
+z AS (
+  SELECT c, own, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295) % 9 AS h
+  FROM o),
+s AS (
+  SELECT z.c, list_concat(coalesce(b.own[1:z.h], []), z.own[z.h + 1:]) AS seq
+  FROM z LEFT JOIN o AS b ON b.c = z.c - z.c % 5),
+p AS (SELECT c, unnest(range(0, len(seq) + 1)) AS d, seq FROM s),
+q AS (SELECT c, d, len(seq) AS l, seq[1:d] AS pre, min(c) OVER (PARTITION BY d, seq[1:d]) AS m FROM p),
+k AS (
+  SELECT m, d, count(*) AS n, any_value(CASE WHEN d > 0 THEN strlen(pre[d].t) ELSE 0 END) AS b,
+         sha256(coalesce(string_agg(CASE WHEN l = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends
+  FROM q GROUP BY m, d),
+u AS (
+  SELECT DISTINCT q.m, q.d, w.m AS am, w.d AS ad FROM q JOIN q AS w ON w.c = q.c AND w.d <= q.d),
+kids AS (SELECT am, ad, count(*) AS n FROM u WHERE ad = d - 1 GROUP BY am, ad),
+subtree AS (
+  SELECT u.am, u.ad, sum((k.n - 1) * k.b) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM u JOIN k ON k.m = u.m AND k.d = u.d LEFT JOIN kids ON kids.am = u.m AND kids.ad = u.d GROUP BY u.am, u.ad)
+SELECT k.m AS conv_id, CAST(k.d AS BIGINT) AS depth, up.am AS parent_conv_id, CAST(k.n AS BIGINT) AS n_convs,
+       CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(subtree.leaves AS BIGINT) AS n_leaves,
+       CAST(subtree.saved AS BIGINT) AS saved_tokens, k.ends AS ends_sha256
+FROM k JOIN subtree ON subtree.am = k.m AND subtree.ad = k.d
+LEFT JOIN kids ON kids.am = k.m AND kids.ad = k.d
+LEFT JOIN u AS up ON up.m = k.m AND up.d = k.d AND up.ad = k.d - 1
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_substring_dedup, op3_mixing, op4_quality, op5_packing, op6_simhash, op7_warc, op8_pii,
-                                  op9_decontamination, op10_main_text)}
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL}
+                                  op9_decontamination, op10_main_text, op11_va_file, op12_nearest, op13_prefix_trie)}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op11_va_file": _op11_sql(), "op13_prefix_trie": OP13_SQL}
