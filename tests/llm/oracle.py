@@ -8,7 +8,7 @@ import duckdb
 def same_rows(spark, query, sql: str, sf_dir: str) -> None:
     got = query(spark, sf_dir)
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     want = con.execute(sql).to_arrow_table().to_pylist()
     rows = [r.asDict() for r in got.collect()]

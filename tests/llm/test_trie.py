@@ -1,0 +1,140 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from histdim.llm import trie
+from histdim.llm.registry import ORACLES, op13_prefix_trie
+from histdim.llm.trie import conversations, forest, prefix_trie, rebuilt
+from tests.llm.oracle import same_rows
+
+TURNS = "conv_id long, turn long, role string, text string, label string, forest int"
+
+
+def turns(spark, rows):
+    return spark.createDataFrame([(*r, "x", 0) for r in rows], TURNS)
+
+
+def sequences(rows, mixing=True):
+    """conv -> its rebuilt turns, by the definition; equal turn numbers by the turn's name."""
+    name = lambda r, t: hashlib.sha256(f"{len(r)}:{r}{t}".encode()).hexdigest()
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, name(role or "", text or ""), (role or "", text or "")))
+    own = {c: [x[3] for x in sorted(v)] for c, v in own.items()}
+    if not mixing:
+        return own
+    out = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + v[h:]
+    return out
+
+
+def brute(seqs):
+    members = {}
+    for c, s in seqs.items():
+        for d in range(len(s) + 1):
+            members.setdefault(tuple(s[:d]), []).append(c)
+    kids = {}
+    for p in members:
+        if p:
+            kids.setdefault(p[:-1], []).append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        below = kids.get(p, [])
+        leaves[p] = sum(leaves[k] for k in below) or 1
+        saved[p] = sum(saved[k] for k in below) + (len(members[p]) - 1) * (len(p[-1][1].encode()) if p else 0)
+    out = []
+    for p, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(cs) if len(seqs[c]) == len(p))
+        out.append((min(cs), len(p), min(members[p[:-1]]) if p else None, len(cs), len(kids.get(p, [])), leaves[p], saved[p],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def random_turns(seed, convs, alphabet=3, most=7):
+    rnd = random.Random(seed)
+    out = []
+    for c in rnd.sample(range(convs * 3), convs):
+        n = rnd.randrange(1, most)
+        out += [(c, t, rnd.choice(["user", "assistant"]) if rnd.random() < 0.1 else "user", rnd.choice("aéz"[:alphabet]) * rnd.randrange(1, 3))
+                for t in range(n)]
+    rnd.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_trie_matches_brute_force(spark, seed, parts):
+    rows = random_turns(seed, 60)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = rows_of(prefix_trie(rebuilt(conversations(turns(spark, rows))), fan_in=3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert got == brute(sequences(rows))
+
+
+def test_rebuilding(spark):
+    rows = random_turns(9, 40)
+    convs = {r.conv: r for r in rebuilt(conversations(turns(spark, rows))).collect()}
+    want = sequences(rows)
+    assert {c: r.sizes for c, r in convs.items()} == {c: [len(t.encode()) for _, t in s] for c, s in want.items()}
+    assert all(len(r.names) == len(r.sizes) for r in convs.values())
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "user", "first"), (1, 0, None, None), (1, 0, "", ""), (1, 5, "user", ""), (None, 1, "user", "nobody"),
+            (2, 1, "user", "x" * 100000), (3, 1, "user", "x" * 100000), (6, 1, "u", "ser"), (7, 1, "us", "er"), (8, 1, "2:us", "er"),
+            (5, 1, "a", "1"), (5, 1, "a", "1"), (-5, 1, "a", "1"), (-4, 0, "a", "1")]
+    convs = conversations(turns(spark, rows))
+    assert rows_of(prefix_trie(convs)) == brute(sequences(rows, mixing=False))
+    assert prefix_trie(conversations(turns(spark, []))).collect() == []
+
+
+def test_conversations_without_turns_end_at_the_root(spark):
+    short = [c for c in range(1, 400) if c % 5 and zlib.crc32(str(c).encode()) % 9 >= 2][:6]
+    rows = [(c, 0, "user", "only") for c in short]
+    got = prefix_trie(rebuilt(conversations(turns(spark, rows)))).collect()
+    ends = ",".join(map(str, sorted(short)))
+    assert [(r.conv_id, r.depth, r.parent_conv_id, r.n_convs, r.n_children, r.n_leaves, r.saved_tokens) for r in got] == [
+        (min(short), 0, None, 6, 0, 1, 0)]
+    assert got[0].ends_sha256 == hashlib.sha256(ends.encode()).hexdigest()
+
+
+def test_a_third_alike_crosses_tasks(spark, monkeypatch):
+    """Equal conversations spread over many ranges; their ids are hashed piece by piece."""
+    monkeypatch.setattr(trie, "PIECE", 100)
+    rows = [(c, t, "user", f"same {t}") for c in range(0, 500) for t in range(3)]
+    rows += [r for r in random_turns(3, 50) if r[0] >= 500]
+    convs = conversations(turns(spark, rows)).repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        assert rows_of(prefix_trie(convs, fan_in=4)) == brute(sequences(rows, mixing=False))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def test_merges_create_branching_nodes():
+    t = forest([2, 3, 3, 1], [4, 2, 9, 7], [2, 2, 0])
+    assert (t.depth, t.n, t.least) == (0, 4, 2)
+    deep = next(k for k in t.kids if k.n == 3)
+    assert (deep.depth, deep.least, deep.ends, sorted(k.least for k in deep.kids)) == (2, 2, (0, 0), [2, 9])
+
+
+def test_long_conversations(spark):
+    rows = [(c, t, "user", f"{t}" if t < 3000 - c else f"{t} of {c}") for c in (0, 1, 2) for t in range(3000)]
+    got = rows_of(prefix_trie(conversations(turns(spark, rows))))
+    assert got == brute(sequences(rows, mixing=False))
+
+
+def test_query_equals_its_sql(spark):
+    same_rows(spark, op13_prefix_trie, ORACLES["op13_prefix_trie"], "/root/testdata/sf0.01")
