@@ -4,20 +4,22 @@ Skew: any key may hold a large share of all rows.  ``latest_per_key`` relies
 on Catalyst's ``WindowGroupLimit``, which keeps only the top row per key in
 every map task *before* the shuffle, so a hot key sends at most one row per
 map task.  The operators that must keep every row (``flag_latest``,
-``derive_end_date``, ``flag_open``) cut the rows into ranges of
-``(key, order)``: a hot key is then spread over many ranges, each task works on
-a bounded slice, and one tiny table with one row per range (bounded by the
-partition count, so safe to broadcast) stitches the slices together.  Only rows
-that no ordering column tells apart stay in one range (see ``exact_dedupe``).
+``derive_end_date``, ``flag_open``) order a key's rows in one task only up to
+``hot_rows``.  Keys with more are laid out in order over all partitions, written once, and
+a table with one row per partition (so safe to broadcast) stitches
+the partitions together; rows alike in every column are spread as well.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histdim.session import frozen
 from histdim.sources.schemas import ACTIVE, INACTIVE
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
@@ -100,140 +102,100 @@ def latest_per_key(df: DataFrame, keys, order, tie_break: bool = True) -> DataFr
               .filter(F.col("__rn") == 1).drop("__rn"))
 
 
-# --- runs of ordered rows (skew-safe ordered windows) -----------------------
+# --- ordered windows that keep every row ------------------------------------
 
-#: Sampled rows per bound.
-_PER_BOUND = 32
+#: Rows of one key that a task may order; a key with more is laid out over many.
+HOT_ROWS = 1_000_000
+_POS_BITS = 33
 
 
-def _direction(c: Column) -> tuple[Column, bool, bool]:
-    """(expression, descending, NULLs last) of a sort column."""
-    from pyspark.sql.classic.column import Column as Classic
+def ordered_layout(df: DataFrame, ordering: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """``df`` with its rows in order, written once to the shared scratch folder: ``__p`` is a
+    row's partition and ``__pos`` its place there, and both ascend with ``ordering``.
 
-    node = c._jc.node()
-    if not node.getClass().getSimpleName() == "SortOrder":
-        return c, False, False
-    jvm = SparkSession.active()._jvm
-    text = (node.sortDirection().toString() + node.nullOrdering().toString()).lower()
-    return Classic(jvm.org.apache.spark.sql.Column(node.child())), "desc" in text, "last" in text
+    The rows are written with a number first, which ends the order: rows alike in every column
+    are spread too, and a retried task deals them as before."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = frozen(df.withColumn("__n", F.monotonically_increasing_id()), "numbered")
+    rid = F.col("__rid")
+    placed = frozen(numbered.repartitionByRange(n, *ordering, "__n").sortWithinPartitions(*ordering, "__n")
+                    .drop("__n").withColumn("__rid", F.monotonically_increasing_id()), "ordered")
+    return placed.withColumns({"__p": F.shiftright(rid, _POS_BITS),
+                               "__pos": rid.bitwiseAND(F.lit((1 << _POS_BITS) - 1))}).drop("__rid")
 
 
-def _ascending(c: Column, dtype: T.DataType, descending: bool) -> Column | None:
-    """A value that ascends as ``c`` is ordered, or None if there is no such one."""
-    if not descending:
-        return c if _orderable(dtype) else None
-    if isinstance(dtype, T.IntegralType):
-        return F.bitwise_not(c)
-    if isinstance(dtype, T.DateType):
-        return F.bitwise_not(F.unix_date(c))
-    if isinstance(dtype, T.TimestampType):
-        return F.bitwise_not(F.unix_micros(c))
-    if isinstance(dtype, T.BooleanType):
-        return ~c
-    return -c if isinstance(dtype, T.DecimalType) else None
-
-
-def _sort_key(df: DataFrame, keys: list[str], ordering: list[Column]) -> Column:
-    """One value that ascends with (keys, ordering), as far as the columns allow;
-    rows that it does not tell apart stay together."""
-    parts = [F.col(k) for k in keys]
-    for c in ordering:
-        e, desc, nulls_last = _direction(c)
-        dtype = df.select(e.alias("x")).schema["x"].dataType
-        up = _ascending(e, dtype, desc)
-        if up is None:
-            break
-        parts += [e.isNull(), up] if nulls_last else [up]
-    return F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
-
-
-def _literal(value, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
-    return F.lit(value).cast(dtype)
-
-
-def _range_runs(df: DataFrame, keys: list[str], ordering: list[Column],
-                value: str | None = None, num_partitions: int | None = None):
-    """Cut the rows, as ordered by (keys, ordering), into about
-    ``num_partitions`` ranges and compute, per row:
-
-    ``__p``     its range; ``__rn`` row number inside its (range, key)
-    run; ``__last`` whether it ends that run; ``__next`` the local next
-    ``value`` (if given).  The range follows from the row alone (bounds are sampled
-    once and become literals), so every evaluation and every retried task agrees on
-    it, and the one shuffle of rows is that on (range, key).  Joins a table of
-    neighbours with one row per range: the previous range's last key and the next
-    range's first key / first ``value``.
-    """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_key = _sort_key(df, keys, ordering)
-    sample = (df.select(sort_key.alias("k")).orderBy(F.rand(7)).limit(n * _PER_BOUND)
-              .orderBy("k"))
-    rows = [r["k"] for r in sample.collect()]       # bounded: some rows per range
-    bounds = list(dict.fromkeys(rows[_PER_BOUND // 2::max(1, len(rows) // n)]))
-    kind = sample.schema["k"].dataType
-    if bounds:
-        cuts = F.array(*[_literal(b, kind) for b in bounds])
-        steps = F.array(*[F.lit(1 << b) for b in range(len(bounds).bit_length() - 1, -1, -1)])
-        # binary search: the number of bounds that are not above the row
-        place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-            (at + step <= len(bounds)) & (F.try_element_at(cuts, at + step) <= F.col("__k")),
-            at + step).otherwise(at))
-        r = df.withColumn("__k", sort_key).withColumn("__p", place).drop("__k")
-    else:
-        r = df.withColumn("__p", F.lit(0))
-    w = Window.partitionBy("__p", *keys).orderBy(*ordering)
-    runs = (r.withColumn("__rn", F.row_number().over(w))
-             .withColumn("__last", F.lead(F.lit(1)).over(w).isNull()))
+def _first_and_next(df: DataFrame, keys: list[str], ordering: list[Column], value: str | None) -> DataFrame:
+    """The plain window: ``__first`` of its key and, if ``value`` is given, the ``__next`` row's."""
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    out = df.withColumn("__first", F.row_number().over(w) == 1)
+    return out if value is None else out.withColumn("__next", F.lead(F.col(value)).over(w))
+
+
+def _first_and_next_by_layout(df: DataFrame, keys: list[str], ordering: list[Column], value: str | None,
+                              num_partitions: int | None = None) -> DataFrame:
+    """The same for keys with any number of rows.  Each partition of the stored layout orders its own
+    rows; a table with one row per partition (its first and last key and its first ``value``), scanned in order
+    and broadcast, stitches them together."""
+    laid = ordered_layout(df, [*(F.col(k).asc() for k in keys), *ordering], num_partitions)
+    key = F.struct(*[F.col(k) for k in keys])
+    ends = [F.min_by(key, "__pos").alias("head"), F.max_by(key, "__pos").alias("tail")]
     if value is not None:
-        runs = runs.withColumn("__next", F.lead(F.col(value)).over(w))
-    kstruct = F.struct(*[F.col(k) for k in keys])
-    heads = F.when(F.col("__rn") == 1, kstruct)
-    aggs = [F.min(heads).alias("__head_key"), F.max(kstruct).alias("__tail_key")]
+        ends.append(F.min_by(F.struct(F.col(value).alias("v")), "__pos").alias("value"))
+    edge = laid.groupBy("__p").agg(*ends)
+    scan = Window.orderBy("__p")      # one row per partition
+    edge = edge.select("__p", F.lag("tail").over(scan).alias("__tail"), F.lead("head").over(scan).alias("__head"),
+                       *([F.lead("value").over(scan).alias("__value")] if value is not None else []))
+    w = Window.partitionBy("__p", *keys).orderBy("__pos")
+    runs = laid.withColumn("__rn", F.row_number().over(w))
     if value is not None:
-        aggs.append(F.min_by(F.col(value), heads).alias("__head_val"))
-    bounds_table = runs.groupBy("__p").agg(*aggs)
-    wp = Window.orderBy("__p")      # one row per range: bounded, tiny
-    nb = [F.col("__p"), F.lag("__tail_key").over(wp).alias("__prev_tail"),
-          F.lead("__head_key").over(wp).alias("__next_head")]
+        runs = runs.withColumn("__here", F.lead(F.struct(F.col(value).alias("v"))).over(w))
+    met = runs.join(F.broadcast(edge), "__p", "left")
+    out = met.withColumn("__first", (F.col("__rn") == 1) & ~key.eqNullSafe(F.col("__tail")))
     if value is not None:
-        nb.append(F.lead("__head_val").over(wp).alias("__next_head_val"))
-    joined = runs.join(F.broadcast(bounds_table.select(*nb)), "__p", "left")
-    return joined, kstruct
+        beyond = F.when(key.eqNullSafe(F.col("__head")), F.col("__value.v"))
+        out = out.withColumn("__next", F.when(F.col("__here").isNotNull(), F.col("__here.v")).otherwise(beyond))
+    return out.select(*df.columns, "__first", *(["__next"] if value is not None else []))
+
+
+def _ordered(df: DataFrame, keys: list[str], ordering: list[Column], value: str | None = None,
+             hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``df`` with ``__first`` and ``__next``.  Rows are counted per key first (partial counts, so
+    only keys are shuffled); a key of more than ``hot_rows`` takes the stored layout, the others one shuffle."""
+    counts = df.groupBy(*[F.col(k).alias(f"__h_{k}") for k in keys]).count().filter(F.col("count") > hot_rows).drop("count")
+    hot = frozen(counts, "hot-keys")
+    if hot.isEmpty():
+        return _first_and_next(df, keys, ordering, value)
+    same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys])
+    return _first_and_next(df.join(hot, same, "left_anti"), keys, ordering, value).unionByName(
+        _first_and_next_by_layout(df.join(hot, same, "left_semi"), keys, ordering, value))
 
 
 def flag_latest(df: DataFrame, keys, order, flag_col: str = "is_current",
-                tie_break: bool = True) -> DataFrame:
+                tie_break: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mark the first row per key under ``order`` 'A' and every other row 'I'.
     Keeps all rows; skew-safe (see module doc)."""
     keys = _keys(keys)
     ordering = total_order(df, keys, order) if tie_break else _sort_cols(order)
     cols = [c for c in df.columns if c != flag_col]
-    j, kstruct = _range_runs(df, keys, ordering)
-    first = (F.col("__rn") == 1) & ~kstruct.eqNullSafe(F.col("__prev_tail"))
-    return j.select(*cols, F.when(first, F.lit(ACTIVE)).otherwise(F.lit(INACTIVE)).alias(flag_col))
+    rows = _ordered(df, keys, ordering, hot_rows=hot_rows)
+    return rows.select(*cols, F.when(F.col("__first"), F.lit(ACTIVE)).otherwise(F.lit(INACTIVE)).alias(flag_col))
 
 
-def _next_start(df: DataFrame, keys, start: str, order_extra=None, tie_break: bool = True):
+def _next_start(df: DataFrame, keys, start: str, order_extra=None, tie_break: bool = True, hot_rows: int = HOT_ROWS):
     keys = _keys(keys)
     order = [start] + list(order_extra or [])
     ordering = total_order(df, keys, order) if tie_break else _sort_cols(order)
-    j, kstruct = _range_runs(df, keys, ordering, value=start)
-    nxt = (F.when(F.col("__last") & kstruct.eqNullSafe(F.col("__next_head")),
-                  F.col("__next_head_val")).otherwise(F.col("__next")))
-    return j, nxt
+    return _ordered(df, keys, ordering, value=start, hot_rows=hot_rows)
 
 
 def derive_end_date(df: DataFrame, keys, start: str, end_col: str = "end_date",
                     flag_col: str | None = None, order_extra=None,
-                    tie_break: bool = True) -> DataFrame:
+                    tie_break: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """End of validity = the next version's start minus one day, per key,
     ordered by ``start``; the last version has no end.  With ``flag_col``
     also flag open versions 'A' and closed ones 'I'."""
-    j, nxt = _next_start(df, keys, start, order_extra, tie_break)
-    end = F.date_sub(nxt.cast("date"), 1)
+    j = _next_start(df, keys, start, order_extra, tie_break, hot_rows)
+    end = F.date_sub(F.col("__next").cast("date"), 1)
     out = [c for c in df.columns if c not in (end_col, flag_col)]
     sel = [F.col(c) for c in out] + [end.alias(end_col)]
     if flag_col:
@@ -242,11 +204,11 @@ def derive_end_date(df: DataFrame, keys, start: str, end_col: str = "end_date",
 
 
 def flag_open(df: DataFrame, keys, start: str, flag_col: str = "is_current",
-              order_extra=None, tie_break: bool = True) -> DataFrame:
+              order_extra=None, tie_break: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """'A' for the version with no successor per key (ordered by ``start``),
     'I' otherwise."""
-    j, nxt = _next_start(df, keys, start, order_extra, tie_break)
-    end = F.date_sub(nxt.cast("date"), 1)
+    j = _next_start(df, keys, start, order_extra, tie_break, hot_rows)
+    end = F.date_sub(F.col("__next").cast("date"), 1)
     out = [c for c in df.columns if c != flag_col]
     return j.select(*out, F.when(end.isNull(), F.lit(ACTIVE)).otherwise(F.lit(INACTIVE))
                     .alias(flag_col))

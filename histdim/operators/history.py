@@ -61,6 +61,12 @@ def _business_cols(target: DataFrame, extra_excluded=()) -> list[str]:
     return [c for c in target.columns if c not in HISTORY_COLS and c not in extra_excluded]
 
 
+def _by_flag(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(active rows, all others): a row whose flag is NULL isn't active, and is kept as history."""
+    active = F.col("is_current").eqNullSafe(F.lit(ACTIVE))
+    return table.filter(active), table.filter(~active)
+
+
 def one_per_key(source: DataFrame, keys) -> DataFrame:
     """``source``, failing the query if two rows share a (non-NULL) key."""
     keys = _names(keys)
@@ -98,8 +104,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys, load_ts,
     types = {f.name: f.dataType for f in target.schema.fields}
     load_day = load_time(load_ts).cast(T.DateType())
 
-    hist = target.filter(F.col("is_current") != F.lit(ACTIVE))
-    act = target.filter(F.col("is_current") == F.lit(ACTIVE))
+    act, hist = _by_flag(target)
     src = one_per_key(source.select(*[F.col(c).cast(types[c]).alias(c) for c in biz]), keys)
 
     t_cols = biz + list(HISTORY_COLS)
@@ -219,8 +224,7 @@ def scd2_dim_load(dim: DataFrame, source: DataFrame, key: str, surrogate: str, l
     load_day = load_time(load_ts).cast(T.DateType())
     cols = [surrogate] + biz + list(HISTORY_COLS)
 
-    hist = dim.filter(F.col("is_current") != F.lit(ACTIVE))
-    act = dim.filter(F.col("is_current") == F.lit(ACTIVE))
+    act, hist = _by_flag(dim)
     met = act.join(src.select(*[F.col(c).alias(f"__s_{c}") for c in biz], F.lit(True).alias("__s")),
                    F.col(key) == F.col(f"__s_{key}"), "left")
     diff = _changed([(F.col(c), F.col(f"__s_{c}"), types[c]) for c in compare], mode, collation)

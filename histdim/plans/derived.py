@@ -52,6 +52,13 @@ SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey
        o_custkey, o_orderstatus
 FROM orders"""
 
+# a third of all rows under one key, the same date for all of them, each row three times
+SQL["orders_hot_key"] = """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN -1 ELSE o_custkey END AS custkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN DATE '2000-01-01'
+            WHEN o_orderkey % 11 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS start_date, o_orderstatus AS status
+FROM orders, (SELECT 1 AS x UNION ALL SELECT 2 UNION ALL SELECT 3) three"""
+
 SQL["lineitem_flags"] = """
 SELECT l_partkey,
        CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
@@ -239,6 +246,12 @@ SELECT CAST(c_custkey AS INT), 'AW' || CAST(c_custkey AS STRING), c_name,
        CAST(NULL AS DATE)
 FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 10 <> 0"""
 
+# some rows without a flag: neither active nor known history
+SQL["merge_target_null_flag"] = f"""
+SELECT cst_id, cst_key, cst_name, cst_segment, cst_nation, dwh_create_date,
+       CASE WHEN cst_id % 4 = 2 THEN NULL ELSE is_current END AS is_current, modified_dt
+FROM ({SQL['merge_target']}) t"""
+
 # --- report dimension load: products ---------------------------------------
 SQL["dim_parts"] = """
 SELECT CAST(2 * p_partkey + 1 AS INT) AS product_key, CAST(p_partkey AS INT) AS product_id,
@@ -259,6 +272,11 @@ SELECT CAST(10000000 + p_partkey AS INT), CAST(p_partkey AS INT), p_name,
        CAST('2023-03-01' AS TIMESTAMP), 'A', CAST(NULL AS DATE)
 FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 10 <> 0"""
 
+SQL["dim_parts_null_flag"] = f"""
+SELECT product_key, product_id, product_name, brand, size, dwh_create_date,
+       CASE WHEN product_id % 4 = 2 THEN NULL ELSE is_current END AS is_current, modified_dt
+FROM ({SQL['dim_parts']}) t"""
+
 SQL["src_parts"] = """
 SELECT CAST(p_partkey AS INT) AS product_id, p_name AS product_name,
        CASE WHEN p_partkey % 6 = 0 THEN 'Brand#X' ELSE p_brand END AS brand, p_size AS size

@@ -153,6 +153,19 @@ def q_flag_open(spark, sf):
                             order_extra=["o_orderkey"])
 
 
+#: Rows a key may have before it is laid out over all partitions, low enough for these tables to have such keys.
+HOT_ROWS = 50
+
+
+def q_flag_latest_hot_key(spark, sf):
+    return dedupe.flag_latest(d(spark, sf, "orders_hot_key"), "custkey", [F.col("start_date").desc()], hot_rows=HOT_ROWS)
+
+
+def q_derive_end_date_hot_key(spark, sf):
+    return dedupe.derive_end_date(d(spark, sf, "orders_hot_key"), "custkey", "start_date", flag_col="is_current",
+                                  hot_rows=HOT_ROWS)
+
+
 def q_exact_dedupe(spark, sf):
     return dedupe.exact_dedupe(d(spark, sf, "lineitem_flags"))
 
@@ -283,6 +296,12 @@ def q_scd2_merge_dirty_target(spark, sf):
     return _dates(out, "dwh_create_date")
 
 
+def q_scd2_merge_null_flag(spark, sf):
+    out = history.scd2_merge(d(spark, sf, "merge_target_null_flag"), d(spark, sf, "merge_source"),
+                             "cst_id", LOAD_TS)
+    return _dates(out, "dwh_create_date")
+
+
 def q_expire_changed(spark, sf):
     tgt, src = _merge_inputs(spark, sf)
     return _dates(history.expire_changed(tgt, src, "cst_id", LOAD_TS), "dwh_create_date")
@@ -324,6 +343,13 @@ def q_scd2_dim_load_dirty(spark, sf):
     return _dates(out, "dwh_create_date")
 
 
+def q_scd2_dim_load_null_flag(spark, sf):
+    out = history.scd2_dim_load(d(spark, sf, "dim_parts_null_flag"), d(spark, sf, "src_parts"),
+                                "product_id", "product_key", LOAD_TS,
+                                ["product_name", "brand", "size"])
+    return _dates(out, "dwh_create_date")
+
+
 def q_assign_surrogate_keys(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey",
                                       F.col("o_orderdate").cast("date").alias("order_date"))

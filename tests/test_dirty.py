@@ -81,16 +81,41 @@ def test_ordered_windows_do_not_depend_on_exchange_reuse(spark, reuse):
 def test_ordered_windows_shuffle_rows_once(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     plan = dedupe.flag_latest(df, "k", [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" not in plan
-    rows_moved, bounds = plan.split("BroadcastExchange")[0], plan.split("BroadcastExchange")[1]
-    assert rows_moved.count("Exchange hashpartitioning") == 1 and "Exchange SinglePartition" in bounds
-
-
-def test_hot_key_is_cut_into_ranges(spark):
-    df = spark.range(20000).select(F.lit(1).alias("k"), "id")
-    runs, _ = dedupe._range_runs(df, ["k"], [F.col("id").desc()], num_partitions=8)
-    sizes = [r["count"] for r in runs.groupBy("__p").count().collect()]
-    assert len(sizes) >= 6 and max(sizes) < 8000
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(k" in plan
+
+
+def test_layout_spreads_rows_alike_over_all_partitions(spark):
+    df = spark.range(20000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    laid = dedupe.ordered_layout(df, [F.col("k").asc(), F.col("v").desc()], num_partitions=8)
+    sizes = [r["count"] for r in laid.groupBy("__p").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4000
+    latest = dedupe.flag_latest(df, "k", [F.col("v").desc()], hot_rows=1000)
+    assert latest.filter("is_current = 'A'").count() == 1 and latest.count() == 20000
+
+
+@pytest.mark.parametrize("hot_rows", [0, 40, 10**6])
+def test_hot_keys_are_ordered_alike_by_layout_and_by_window(spark, hot_rows):
+    rnd = random.Random(4)
+    data = [(rnd.choice([None, 1, 1, 1, 2, 3]), rnd.choice(["x", "y", None]), rnd.choice([None, dt.date(2020, 1, rnd.randrange(1, 20))]), i)
+            for i in range(400)]
+    df = spark.createDataFrame(data, "k int, g string, d date, id int").repartition(3)
+    w = Window.partitionBy("k", "g")
+    want = df.select("id", F.when(F.row_number().over(w.orderBy(F.col("d").desc(), F.col("id"))) == 1, "A").otherwise("I").alias("f"),
+                     F.date_sub(F.lead("d").over(w.orderBy("d", "id")), 1).alias("e"))
+    got = dedupe.flag_latest(df, ["k", "g"], [F.col("d").desc(), "id"], flag_col="f", hot_rows=hot_rows).select("id", "f")
+    ends = dedupe.derive_end_date(df, ["k", "g"], "d", end_col="e", order_extra=["id"], hot_rows=hot_rows).select("id", "e")
+    assert rows(got.join(ends, "id")) == rows(want)
+
+
+def test_rows_without_a_flag_are_kept(spark):
+    target = [(1, "a", OLD, "A", None), (2, "b", OLD, None, None), (3, "c", OLD, "I", OLD.date()), (2, "z", OLD, "A", None)]
+    src = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
+    out = history.scd2_merge(spark.createDataFrame(target, HISTORY), src, "id", DAY)
+    assert rows(out, "id", "v", "is_current") == [(1, "a", "I"), (1, "x", "A"), (2, "b", None), (2, "y", "A"), (2, "z", "I"), (3, "c", "I")]
+    dim = spark.createDataFrame([(1, 10, "a", OLD, "A", None), (2, 20, "b", OLD, None, None)],
+                                "sk int, bid int, v string, dwh_create_date timestamp_ntz, is_current string, modified_dt date")
+    out = history.scd2_dim_load(dim, spark.createDataFrame([(10, "n"), (20, "m"), (30, "o")], "bid int, v string"), "bid", "sk", DAY, ["v"])
+    assert rows(out, "sk", "bid", "v", "is_current") == [(1, 10, "a", "I"), (2, 20, "b", None), (3, 10, "n", "A"), (4, 30, "o", "A")]
 
 
 def test_sales_stage_compares_rows_above_the_deduplication(spark):
