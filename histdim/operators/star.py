@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from histdim.functions.clean import load_time, parse_packed_date, reconcile, repair_amounts
 from histdim.operators.dedupe import current_rows, exact_dedupe, open_rows
+from histdim.operators.history import ACTION
 from histdim.operators.joins import anti_by, append_new_hashed, lookup
 from histdim.session import frozen
 
@@ -173,8 +174,10 @@ def sales_as_fact(sales: DataFrame) -> DataFrame:
 
 
 def load_fact_incremental(sales: DataFrame, pending: DataFrame, fact: DataFrame,
-                          dim_products: DataFrame, dim_customers: DataFrame, load_ts) -> DataFrame:
-    """The fact rows that a load settles (columns ``FACT_STORED``).
+                          dim_products: DataFrame, dim_customers: DataFrame, load_ts,
+                          with_action: bool = False) -> DataFrame:
+    """The fact rows that a load settles (columns ``FACT_STORED``; ``with_action``: and whether the
+    row is one of ``pending`` or ``inserted``).
 
     ``sales``: the sales staged by this load.  ``pending``: the fact rows that were
     still without a key after the last load.  ``fact``: the settled rows that
@@ -188,12 +191,12 @@ def load_fact_incremental(sales: DataFrame, pending: DataFrame, fact: DataFrame,
     on = ["order_number", "product_number", "customer_id", "order_date"]
     new = sales_as_fact(sales).distinct()
     new = anti_by(new, fact.select(*on).unionByName(pending.select(*on)), on, null_safe=True)
-    rows = (new.withColumn("dwh_create_date", load_time(load_ts))
-            .unionByName(pending, allowMissingColumns=True)
+    rows = (new.withColumns({"dwh_create_date": load_time(load_ts), ACTION: F.lit("inserted")})
+            .unionByName(pending.withColumn(ACTION, F.lit("pending")), allowMissingColumns=True)
             .withColumns({"__p": F.when(F.col("product_key").isNull(), F.col("product_number")),
                           "__c": F.when(F.col("customer_key").isNull(), F.col("customer_id"))}))
     p = current_rows(dim_products).select(F.col("product_number").alias("__pn"), F.col("product_key").alias("__pk"))
     c = current_rows(dim_customers).select(F.col("customer_id").alias("__cid"), F.col("customer_key").alias("__ck"))
     keyed = lookup(lookup(rows, p, "__p", "__pn"), c, "__c", "__cid").withColumns({
         "product_key": F.coalesce("product_key", "__pk"), "customer_key": F.coalesce("customer_key", "__ck")})
-    return keyed.select(*FACT_STORED)
+    return keyed.select(*FACT_STORED, *([ACTION] if with_action else []))

@@ -13,28 +13,33 @@ uses the sentinel rule (NULL equals the type's default) in both modes.
 A safe load's fact work follows the batch: only the sales staged by this load
 and the fact rows that still wait for a dimension row are resolved, and of the
 settled fact only the batch's order months are compared.
+
+What a load did is counted while it writes (observed metrics), never by reading it back.  The checks
+of the star schema are incremental too: counters of what is settled are stored with each load, and a load
+reads what it wrote itself, and of older dimension rows only keys that its own fact rows
+have and its active slice lacks.  A failed check keeps the load from being committed.  Scratch data of a load is removed at its end.
 """
 
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histdim.functions.clean import load_time, parse_packed_date
-from histdim.operators.audit import audit_rows, dq_checks, dq_star, history_counts
+from histdim.functions.clean import parse_packed_date
+from histdim.operators.audit import action_counts, audit_rows, counted, dq_checks, dq_star, observed, row_checks
 from histdim.operators.history import ACTION, HISTORY, scd2_dim_load, scd2_merge
 from histdim.operators.star import (clean_sales, conform_customers, enrich_products, is_pending,
                                     load_fact, load_fact_incremental, load_sales_stage, month_of)
 from histdim.plans import cleaning
-from histdim.sources.files import RejectedRows, batch_path, read_delimited, read_rejects
-from histdim.sources.schemas import FACT_STORED, PRODUCT_LENGTHS, RAW, REPORT, STAGE, STAGE_KEYS, conform
+from histdim.session import frozen, in_threads, scratch_owner
+from histdim.sources.files import RejectedRows, batch_path, split_delimited
+from histdim.sources.schemas import ACTIVE, FACT_STORED, RAW, REPORT, STAGE, STAGE_KEYS, conform, enforced, lengths
 from histdim.sources.store import Warehouse
 
-RAW_LAYER, STAGE_LAYER, REPORT_LAYER, REJECT_LAYER = "stg0", "stage", "report", "rejects"
+RAW_LAYER, STAGE_LAYER, REPORT_LAYER, CHECK_LAYER = "stg0", "stage", "report", "checks"
 SALES, FACT = "crm_sales_details", "fact_sales"
 
 # compared columns of the two report dimensions (customer number and create
@@ -54,14 +59,19 @@ def _record(records: list, table: str, step: str, seconds: float, counts: dict[s
                 for a, n in counts.items()]
 
 
-def _counts(actions: DataFrame, *always: str) -> dict[str, int]:
-    return dict.fromkeys(always, 0) | {r["action"]: r["rows"] for r in actions.collect()}
+_PACKED = ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
+
+
+def _invalid_dates() -> Column:
+    """Packed dates that are there but no dates, summed over the rows."""
+    bad = [(F.col(c).isNotNull() & (F.col(c) != 0) & parse_packed_date(c).isNull()).cast("long") for c in _PACKED]
+    return F.coalesce(F.sum(bad[0] + bad[1] + bad[2]), F.lit(0))
 
 
 def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
               records: list | None = None, parallel: int = 6, allow_rejects: bool = False) -> None:
-    """Full reload of the six raw tables from one batch folder.  Lines that do
-    not fit their schema go to a rejects table of the load; unless
+    """Full reload of the six raw tables from one batch folder: one parse and one write each, in which
+    lines that do not fit their schema go to a partition of their own; unless
     ``allow_rejects``, their presence fails the load.  The six loads are
     independent Spark jobs submitted from a small thread pool."""
     records = records if records is not None else []
@@ -69,23 +79,34 @@ def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
     def one(table):
         t0 = time.perf_counter()
         path = batch_path(batch_root, batch, table)
-        wh.write_append(REJECT_LAYER, table, read_rejects(wh.spark, path, RAW[table]), load)
-        bad = wh.spark.read.schema("reason string, line string").parquet(
-            f"{wh.path(REJECT_LAYER, table)}/load={load}").count()
-        if bad and not allow_rejects:
-            raise RejectedRows(f"{bad} lines of {path} do not fit {table}; "
-                               f"see {wh.path(REJECT_LAYER, table)}/load={load}")
-        good = read_delimited(wh.spark, path, RAW[table], rejects="drop")
-        wh.write_snapshot(RAW_LAYER, table, good, load)
-        n = wh.read_snapshot(RAW_LAYER, table, RAW[table], load).count()
-        _record(records, table, "raw", time.perf_counter() - t0, {"read": n, "rejected": bad})
+        metrics = {"read": F.count_if(~F.col("rejected")), "rejected": F.count_if(F.col("rejected"))}
+        if table == SALES:
+            metrics["invalid_dates"] = _invalid_dates()
+        lines, seen = observed(split_delimited(wh.spark, path, RAW[table]), metrics)
+        where = wh.write_parts(lines, RAW_LAYER, table, load, "rejected")
+        counts = counted(seen)
+        if counts["rejected"] and not allow_rejects:
+            raise RejectedRows(f"{counts['rejected']} lines of {path} do not fit {table}; see {where}/rejected=true")
+        seconds = time.perf_counter() - t0
+        _record(records, table, "raw", seconds, {a: counts[a] for a in ("read", "rejected")})
+        if table == SALES:      # staging turns them into NULLs
+            _record(records, table, "stage", seconds, {"invalid_dates": counts["invalid_dates"]})
+
+    in_threads(one, RAW, parallel)
 
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        list(ex.map(one, RAW))
+
+def read_raw(wh: Warehouse, table: str, load: int | None) -> DataFrame:
+    return wh.read_snapshot(RAW_LAYER, table, RAW[table], load, "rejected=false")
+
+
+def read_rejected(wh: Warehouse, table: str, load: int | None) -> DataFrame:
+    """``reason, line`` of the lines that a load rejected."""
+    schema = T.StructType([T.StructField("reason", T.StringType()), T.StructField("line", T.StringType())])
+    return wh.read_snapshot(RAW_LAYER, table, schema, load, "rejected=true")
 
 
 def _stage_sources(wh: Warehouse, load: int, load_ts, safe: bool) -> dict[str, DataFrame]:
-    raw = {t: wh.read_snapshot(RAW_LAYER, t, s, load) for t, s in RAW.items()}
+    raw = {t: read_raw(wh, t, load) for t in RAW}
     return {
         "crm_cust_info": cleaning.clean_customers(raw["crm_cust_info"], safe),
         "crm_prod_info": cleaning.clean_products(raw["crm_prod_info"], safe),
@@ -108,13 +129,6 @@ def read_sales(wh: Warehouse, load: int | None, only: bool = False, months=None)
     return conform(df, STAGE[SALES])
 
 
-def _invalid_dates(raw: DataFrame) -> int:
-    """Packed dates that are there but no dates."""
-    bad = [(F.col(c).isNotNull() & (F.col(c) != 0) & parse_packed_date(c).isNull()).cast("long")
-           for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")]
-    return raw.agg(F.coalesce(F.sum(bad[0] + bad[1] + bad[2]), F.lit(0)).alias("n")).first()["n"]
-
-
 def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
                records: list | None = None, parallel: int = 6) -> None:
     """Merge every cleaned source into its stage history table; append new
@@ -130,23 +144,20 @@ def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool =
             months = _months(clean_sales(sources[table]), "sls_order_dt")
             new = load_sales_stage(sources[table], read_sales(wh, prev, months=months), load_ts,
                                    null_safe=safe)
+            new, seen = observed(enforced(new, schema, table), {"inserted": F.count(F.lit(1))})
             wh.write_append(STAGE_LAYER, table, new.withColumn("order_month", month_of("sls_order_dt")),
                             load, "order_month")
-            counts = {"inserted": read_sales(wh, load, only=True).count(),
-                      "invalid_dates": _invalid_dates(sources[table])}
         else:
             active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
             merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True,
                                 null_keys=not safe)
-            out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
-            wh.write_history(STAGE_LAYER, table, out, load)
-            counts = _counts(history_counts(wh.read_parts(STAGE_LAYER, table, schema, [load]), load_ts),
-                             "inserted", "unchanged", "expired")
-        _record(records, table, "stage", time.perf_counter() - t0, counts)
+            merged = enforced(merged.filter(F.col(ACTION) != F.lit(HISTORY)), schema, table, keys if safe else ())
+            merged, seen = observed(merged, action_counts())
+            wh.write_history(STAGE_LAYER, table, merged.drop(ACTION), load)
+        _record(records, table, "stage", time.perf_counter() - t0, counted(seen))
 
     # the six tables are independent: submit their jobs concurrently
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        list(ex.map(one, STAGE_KEYS))
+    in_threads(one, STAGE_KEYS, parallel)
 
 
 def _customer_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
@@ -194,83 +205,201 @@ def read_fact(wh: Warehouse, load: int | None, state: str, months=None) -> DataF
     return conform(df, FACT_STORED)
 
 
+#: Report dimension: (business key, surrogate key, compared columns, source).
+DIMENSIONS = {"dim_customers": ("customer_id", "customer_key", CUSTOMER_COMPARE, _customer_source),
+              "dim_products": ("product_id", "product_key", PRODUCT_COMPARE, _product_source)}
+_FACT_ROW_CHECKS = {"sales_amount": lambda: F.col("sales_amount") != F.col("quantity") * F.abs("price"),
+                    "unresolved_product_key": lambda: F.col("product_key").isNull(),
+                    "unresolved_customer_key": lambda: F.col("customer_key").isNull()}
+
+
+def _limits(table: str) -> dict[str, int]:
+    return {c: n for c, n in lengths(REPORT[table]).items() if c != "is_current"}
+
+
+def _open_and_closed(checks: dict, is_open) -> dict:
+    """Metrics ``open_<check>`` and ``closed_<check>``: violations among rows that a later
+    load replaces, and among those that stay as they are for good."""
+    return {f"{side}_{n}": F.count_if(c & (is_open if side == "open" else ~is_open))
+            for n, c in checks.items() for side in ("open", "closed")}
+
+
 def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
-                records: list | None = None) -> None:
+                records: list | None = None) -> dict[str, dict]:
     """Type-2 load of both dimensions (surrogate keys continue after the
-    current maximum), then the fact against the dimensions just written."""
+    current maximum), then the fact against the dimensions just written.  Returns per table
+    the counters that ``check_load`` builds on."""
     records = records if records is not None else []
+    counters: dict[str, dict] = {}
 
-    def dimension(spec):
+    def dimension(table):
         t0 = time.perf_counter()
-        table, key, surrogate, compare, source = spec
+        key, surrogate, compare, source = DIMENSIONS[table]
         dim = wh.read_history(REPORT_LAYER, table, REPORT[table], prev)
         merged = scd2_dim_load(dim, source(wh, load, safe), key, surrogate, load_ts, compare,
                                with_action=True, unique_source=safe)
-        out = merged.filter(F.col(ACTION) != F.lit(HISTORY)).drop(ACTION)
-        wh.write_history(REPORT_LAYER, table, out, load)
-        written = wh.read_parts(REPORT_LAYER, table, REPORT[table], [load])
-        _record(records, table, "report", time.perf_counter() - t0,
-                _counts(history_counts(written, load_ts), "inserted", "unchanged", "expired"))
+        merged = enforced(merged.filter(F.col(ACTION) != F.lit(HISTORY)), REPORT[table], table)
+        is_open, new = F.col("is_current").eqNullSafe(F.lit(ACTIVE)), F.col(ACTION).isin("inserted", "new_version")
+        actions = action_counts()
+        merged, seen = observed(merged, actions | _open_and_closed({"rows": F.lit(True)} | row_checks(key, _limits(table)), is_open) | {
+            "key_min": F.min(surrogate), "key_max": F.max(surrogate), "new_min": F.min(F.when(new, F.col(surrogate)))})
+        wh.write_history(REPORT_LAYER, table, merged.drop(ACTION), load)
+        counters[table] = counted(seen)
+        _record(records, table, "report", time.perf_counter() - t0, {a: counters[table][a] for a in actions})
 
     # both dimensions must be written before the fact reads their keys
-    with ThreadPoolExecutor(max_workers=2) as ex:
-        list(ex.map(dimension, (
-            ("dim_customers", "customer_id", "customer_key", CUSTOMER_COMPARE, _customer_source),
-            ("dim_products", "product_id", "product_key", PRODUCT_COMPARE, _product_source))))
+    in_threads(dimension, DIMENSIONS, 2)
     t0 = time.perf_counter()
     dp = wh.read_history(REPORT_LAYER, "dim_products", REPORT["dim_products"], load)
     dc = wh.read_history(REPORT_LAYER, "dim_customers", REPORT["dim_customers"], load)
     if safe:
         sales = read_sales(wh, load, only=True)
         settled = read_fact(wh, prev, "final", _months(sales, "sls_order_dt"))
-        rows = load_fact_incremental(sales, read_fact(wh, prev, "pending"), settled, dp, dc, load_ts)
+        rows = load_fact_incremental(sales, read_fact(wh, prev, "pending"), settled, dp, dc, load_ts, with_action=True)
     else:
         rows = load_fact(read_sales(wh, load), dp, dc, read_fact(wh, prev, "final"), load_ts)
         rows = rows.withColumns({"product_number": F.lit(None).cast("string"),
-                                 "customer_id": F.lit(None).cast("int")})
-    write_fact(wh, rows, load)
-    new = F.col("dwh_create_date") == load_time(load_ts)
-    action = (F.when(F.col("state") == "pending", F.lit("pending")).when(new, F.lit("inserted"))
-              .otherwise(F.lit("resolved")))
-    written = wh.read_parts(REPORT_LAYER, FACT, _FACT_PARTS, [load])
-    counts = _counts(written.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("rows")),
-                     "inserted", "resolved", "pending")
-    _record(records, FACT, "report", time.perf_counter() - t0, counts)
-
-
-def check_load(wh: Warehouse, load: int, records: list) -> None:
-    """The star schema's invariants, as one record per check."""
-    dp, dc = (read_table(wh.spark, wh.root, REPORT_LAYER, t, load, wh) for t in ("dim_products", "dim_customers"))
+                                 "customer_id": F.lit(None).cast("int"), ACTION: F.lit("inserted")})
+    pending = is_pending()
+    actions = {"inserted": F.count_if(~pending & (F.col(ACTION) == "inserted")),
+               "resolved": F.count_if(~pending & (F.col(ACTION) == "pending")), "pending": F.count_if(pending)}
+    rows, seen = observed(enforced(rows, FACT_STORED, FACT),
+                          actions | _open_and_closed({n: c() for n, c in _FACT_ROW_CHECKS.items()}, pending))
+    write_fact(wh, rows.drop(ACTION), load)
+    counters[FACT] = counted(seen)
+    _record(records, FACT, "report", time.perf_counter() - t0, {a: counters[FACT][a] for a in actions})
+    return counters
+
+
+# --- checks -------------------------------------------------------------------------
+
+_COUNTER = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("counter", T.StringType()),
+                         T.StructField("value", T.LongType())])
+#: Checks that are reported only: what waits for a dimension row, and what the rules as written let happen.
+ADVISORY = {"sales_amount", "unresolved_product_key", "unresolved_customer_key", "product_fan_out"}
+
+
+class FailedChecks(RuntimeError):
+    """A load violates invariants of the star schema."""
+
+
+def _repeated(rows: DataFrame, column: str) -> int:
+    """Values (NULL among them) that more than one row has."""
+    return rows.groupBy(column).count().filter("count > 1").count()
+
+
+def _copies(rows: DataFrame, column: str) -> int:
+    return rows.agg((F.count(column) - F.count_distinct(column)).alias("n")).first()["n"]
+
+
+def _written(wh: Warehouse, table: str, load: int) -> DataFrame:
+    """The active slice that this load wrote."""
+    return wh.read_parts(REPORT_LAYER, table, REPORT[table], [load], f"is_current={ACTIVE}")
+
+
+def _missing_keys(wh: Warehouse, load: int, key: str, table: str) -> dict[str, int]:
+    """Fact rows of this load, by state, whose key its dimension lacks.  Nearly all keys are those of
+    the active slice just written; only what that lacks is looked for among older versions."""
+    fact = wh.read_parts(REPORT_LAYER, FACT, _FACT_PARTS, [load])
+    keys = fact.filter(F.col(key).isNotNull()).groupBy("state", F.col(key).alias("__k")).count()
+    current = _written(wh, table, load).select(F.col(key).alias("__k"))
+    left = frozen(keys.join(current, "__k", "left_anti"), "keys")
+    if not left.isEmpty():
+        old = wh.read_expired(REPORT_LAYER, table, REPORT[table], load).select(F.col(key).alias("__k"))
+        left = left.join(old, "__k", "left_anti")
+    return {r["state"]: r["n"] for r in left.groupBy("state").agg(F.sum("count").alias("n")).collect()}
+
+
+def check_all(wh: Warehouse, load: int) -> dict[str, dict[str, int]]:
+    """The invariants of the whole star schema as of a load, from all of its rows: table -> check -> failures."""
+    dims = {t: read_table(wh.spark, wh.root, REPORT_LAYER, t, load, wh) for t in DIMENSIONS}
     fact = read_table(wh.spark, wh.root, REPORT_LAYER, FACT, load, wh)
+    checks = [(t, dq_checks(dims[t], DIMENSIONS[t][0], DIMENSIONS[t][1], varchar=_limits(t))) for t in DIMENSIONS]
+    checks.append((FACT, dq_star(fact, dims["dim_products"], dims["dim_customers"])))
+    return dict(in_threads(lambda c: (c[0], {r["check_name"]: r["failed"] for r in c[1].collect()}), checks, 3))
+
+
+def _check_dimension(wh, table, load, before, seen) -> tuple[dict, dict]:
+    key, surrogate, *_ = DIMENSIONS[table]
+    names = [n.removeprefix("closed_") for n in seen if n.startswith("closed_")]
+    keep = {f"closed_{n}": before.get(f"closed_{n}", 0) + seen[f"closed_{n}"] for n in names}
+    found = {n: keep[f"closed_{n}"] + seen[f"open_{n}"] for n in names if n != "rows"}
+    own, top = _written(wh, table, load), before.get("key_max")
+    found["one_active_per_key"] = _repeated(own, key)
+    if top is None or (seen["new_min"] is not None and seen["new_min"] <= top):      # first load, or keys were given again
+        every = wh.read_history(REPORT_LAYER, table, REPORT[table], load)
+        found["surrogate_unique"] = _copies(every, surrogate)
+    else:      # older keys are as unique as they were
+        found["surrogate_unique"] = before["copies"] + _copies(own.filter(F.col(surrogate) > top), surrogate)
+    ends = [x for x in (before.get("key_min"), seen["key_min"], before.get("key_max"), seen["key_max"]) if x is not None]
+    rows = keep["closed_rows"] + seen["open_rows"]
+    found["surrogate_dense"] = max(ends) - min(ends) + 1 - rows if ends else 0
+    return found, keep | {"copies": found["surrogate_unique"]} | ({"key_min": min(ends), "key_max": max(ends)} if ends else {})
+
+
+def _check_fact(wh, load, before, seen) -> tuple[dict, dict]:
+    keep = {f"closed_{n}": before.get(f"closed_{n}", 0) + seen[f"closed_{n}"] for n in _FACT_ROW_CHECKS}
+    found = {n: keep[f"closed_{n}"] + seen[f"open_{n}"] for n in _FACT_ROW_CHECKS}
+    found["product_fan_out"] = _repeated(_written(wh, "dim_products", load), "product_number")
+    for table, (_, key, *_) in DIMENSIONS.items():
+        name = f"fact_{key}_in_dim"
+        if before.get(f"closed_{name}"):      # a key that was missing may have been given since
+            found[name] = keep[f"closed_{name}"] = check_all(wh, load)[FACT][name]
+            continue
+        missing = _missing_keys(wh, load, key, table)
+        keep[f"closed_{name}"] = missing.get("final", 0)
+        found[name] = keep[f"closed_{name}"] + missing.get("pending", 0)
+    return found, keep
+
+
+def check_load(wh: Warehouse, load: int, prev: int | None, counters: dict[str, dict], records: list) -> dict[str, dict[str, int]]:
+    """The star schema's invariants after a load, equal to ``check_all``, as one record per check: from the
+    counters of the previous load, those of this load's writes, and the rows that it wrote itself.
+    Stores the counters for the next load."""
+    before: dict[str, dict] = {t: {} for t in (*DIMENSIONS, FACT)}
+    for r in (wh.read_snapshot(CHECK_LAYER, "counters", _COUNTER, prev).collect() if prev is not None else []):
+        before[r.table_name][r.counter] = r.value
 
-    def one(spec):
+    def one(table):
         t0 = time.perf_counter()
-        table, checks = spec
-        found = {r["check_name"]: r["failed"] for r in checks.collect()}
+        found, keep = (_check_fact(wh, load, before[table], counters[table]) if table == FACT
+                       else _check_dimension(wh, table, load, before[table], counters[table]))
         _record(records, table, "check", time.perf_counter() - t0, found)
+        return table, found, keep
 
-    with ThreadPoolExecutor(max_workers=3) as ex:
-        list(ex.map(one, (
-            ("dim_products", dq_checks(dp, "product_id", "product_key", varchar=PRODUCT_LENGTHS)),
-            ("dim_customers", dq_checks(dc, "customer_id", "customer_key")),
-            (FACT, dq_star(fact, dp, dc)))))
+    done = in_threads(one, (*DIMENSIONS, FACT), 3)
+    rows = [(t, n, int(v)) for t, _, keep in done for n, v in keep.items()]
+    wh.write_snapshot(CHECK_LAYER, "counters", wh.spark.createDataFrame(rows, _COUNTER).coalesce(1), load)
+    return {t: found for t, found, _ in done}
 
 
 def run_batch(spark: SparkSession, root: str, batch_root: str, batch: str, load: int,
-              load_ts, safe: bool = True, allow_rejects: bool = False, commit: bool = True) -> DataFrame:
+              load_ts, safe: bool = True, allow_rejects: bool = False, commit: bool = True,
+              on_failure: str | None = None) -> DataFrame:
     """One complete load of one batch folder; returns the load audit
     (``table_name, step, action, rows, seconds``): rows read and rejected, inserted,
     unchanged and expired per table, invalid dates, fact rows that wait for a
-    dimension row, and the failures of each check.  ``commit=False`` leaves the load invisible."""
+    dimension row, and the failures of each check.  ``commit=False`` leaves the load invisible.
+
+    A check that fails (but for those in ``ADVISORY``) raises ``FailedChecks`` before the commit;
+    ``on_failure="report"`` only counts it, as does a load by the rules as written (``safe=False``).
+    Of several attempts at one load number one commits; the others raise ``AlreadyCommitted``."""
+    on_failure = on_failure or ("raise" if safe else "report")
+    if on_failure not in ("raise", "report"):
+        raise ValueError(f"unknown handling of failed checks: {on_failure!r}")
     wh = Warehouse(spark, root, own=load).init()
     prev = wh.latest()
     if prev is not None and prev >= load:
         raise ValueError(f"load {load} is not after the last committed load {prev}")
     records: list = []
-    load_stg0(wh, batch_root, batch, load, records, allow_rejects=allow_rejects)
-    load_stage(wh, load, prev, load_ts, safe, records)
-    load_report(wh, load, prev, load_ts, safe, records)
-    check_load(wh, load, records)
+    with scratch_owner(spark, "load"):
+        load_stg0(wh, batch_root, batch, load, records, allow_rejects=allow_rejects)
+        load_stage(wh, load, prev, load_ts, safe, records)
+        counters = load_report(wh, load, prev, load_ts, safe, records)
+        found = check_load(wh, load, prev, counters, records)
+    failed = {f"{t}.{c}": n for t, checks in found.items() for c, n in checks.items() if n and c not in ADVISORY}
+    if failed and on_failure == "raise":
+        raise FailedChecks(f"load {load} is not committed: {failed}")
     if commit:
         wh.commit(load, load_ts)
     return audit_rows(spark, records)
@@ -282,7 +411,7 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str,
     wh = wh or Warehouse(spark, root)
     load = wh.latest() if load is None else load
     if layer == RAW_LAYER:
-        return wh.read_snapshot(layer, table, RAW[table], load)
+        return read_raw(wh, table, load)
     if table == SALES:
         return read_sales(wh, load)
     if table == FACT:

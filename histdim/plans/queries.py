@@ -447,52 +447,66 @@ def _two_batches(spark, sf, safe=True, abort=False):
     return root, audit_of
 
 
-_RUNS: dict[tuple, tuple] = {}
-
-
-def _warehouse(spark, sf, layer, table, **options):
-    """A table of a warehouse that the pipeline queries of one session share."""
+def _after_two_batches(spark, sf, layer, table, **options):
     from histdim.plans.pipeline import read_table
-    key = (spark.sparkContext.applicationId, sf, *sorted(options.items()))
-    if key not in _RUNS:
-        _RUNS[key] = _two_batches(spark, sf, **options)
-    return read_table(spark, _RUNS[key][0], layer, table)
+    return _dates(read_table(spark, _two_batches(spark, sf, **options)[0], layer, table), "dwh_create_date")
 
 
 def q_pipeline_two_batches(spark, sf):
-    from histdim.plans.pipeline import read_table
-    dim = read_table(spark, _two_batches(spark, sf)[0], "report", "dim_customers")
-    return _dates(dim, "create_date", "dwh_create_date")
+    return _dates(_after_two_batches(spark, sf, "report", "dim_customers"), "create_date")
 
 
 def q_pipeline_stage_products(spark, sf):
-    return _dates(_warehouse(spark, sf, "stage", "crm_prod_info"), "dwh_create_date")
+    return _after_two_batches(spark, sf, "stage", "crm_prod_info")
 
 
 def q_pipeline_dim_products(spark, sf):
-    return _dates(_warehouse(spark, sf, "report", "dim_products"), "dwh_create_date")
+    return _after_two_batches(spark, sf, "report", "dim_products")
 
 
 def q_pipeline_fact_sales(spark, sf):
-    return _dates(_warehouse(spark, sf, "report", "fact_sales"), "dwh_create_date")
+    return _after_two_batches(spark, sf, "report", "fact_sales")
 
 
 def q_pipeline_after_abort(spark, sf):
-    return _dates(_warehouse(spark, sf, "report", "fact_sales", abort=True), "dwh_create_date")
+    return _after_two_batches(spark, sf, "report", "fact_sales", abort=True)
 
 
 def q_pipeline_as_written(spark, sf):
-    return _dates(_warehouse(spark, sf, "stage", "crm_sales_details", safe=False), "dwh_create_date")
+    return _after_two_batches(spark, sf, "stage", "crm_sales_details", safe=False)
 
 
 def q_pipeline_audit(spark, sf):
     """What the second load did to the sales and product tables."""
-    _warehouse(spark, sf, "report", "fact_sales")
-    key = (spark.sparkContext.applicationId, sf)
-    return (_RUNS[key][1].filter("step <> 'check'")
+    return (_two_batches(spark, sf)[1].filter("step <> 'check'")
             .filter(F.col("table_name").isin("crm_sales_details", "crm_prod_info", "dim_products", "fact_sales"))
             .select("table_name", "step", "action", "rows"))
 
 
+def q_pipeline_checks(spark, sf):
+    """The incremental checks of three loads, of which the third repeats the second's batch."""
+    from histdim.plans.pipeline import run_batch
+    batches, root = write_batches(spark, sf), scratch_path(spark, "warehouse")
+    audits = [run_batch(spark, root, batches, f"batch{b}", n, LOAD_TS + dt.timedelta(days=n - 1)).withColumn("load", F.lit(n))
+              for n, b in ((1, 1), (2, 2), (3, 2))]
+    every = audits[0].unionByName(audits[1]).unionByName(audits[2])
+    return every.filter("step = 'check'").select("load", "table_name", F.col("action").alias("check_name"), F.col("rows").alias("failed"))
+
+
+def q_pipeline_compacted_history(spark, sf):
+    """Expired products at each of three loads, read after their directories were merged into one."""
+    from histdim.plans.pipeline import run_batch
+    from histdim.sources.schemas import REPORT
+    from histdim.sources.store import Warehouse
+    batches, root = write_batches(spark, sf), scratch_path(spark, "warehouse")
+    for n, b in ((1, 1), (2, 2), (3, 1)):
+        run_batch(spark, root, batches, f"batch{b}", n, LOAD_TS + dt.timedelta(days=n - 1))
+    wh = Warehouse(spark, root)
+    wh.compact("report", "dim_products", REPORT["dim_products"])
+    at = [wh.read_history("report", "dim_products", REPORT["dim_products"], n).filter("is_current = 'I'").withColumn("load", F.lit(n))
+          for n in (1, 2, 3)]
+    return _dates(at[0].unionByName(at[1]).unionByName(at[2]), "dwh_create_date").drop("is_current")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items())
            if name.startswith("q_") and callable(fn)}

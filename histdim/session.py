@@ -7,8 +7,11 @@ and the benchmark.  On a cluster the operator supplies ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -63,11 +66,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: The folder that holds the scratch data of the work that runs, if it has an owner.
+_OWNED: contextvars.ContextVar[str | None] = contextvars.ContextVar("histdim-scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a
     machine-local temp dir on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/histdim-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    base = _OWNED.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/histdim-scratch"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def scratch_owner(spark: SparkSession, name: str = "owned"):
+    """Everything frozen inside is removed at the end, also after an error; for work whose results have
+    been written elsewhere by then.  An owner inside another one has a folder of its own."""
+    path = scratch_path(spark, name)
+    token = _OWNED.set(path)
+    try:
+        yield path
+    finally:
+        _OWNED.reset(token)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def in_threads(fn, items, most: int = 6) -> list:
+    """``fn`` of each item, run side by side as Spark jobs of their own and under the caller's scratch owner."""
+    with ThreadPoolExecutor(max_workers=most) as ex:
+        return [f.result() for f in [ex.submit(contextvars.copy_context().run, fn, x) for x in items]]
 
 
 def frozen(df, name: str):

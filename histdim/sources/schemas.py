@@ -97,10 +97,36 @@ REPORT = {
 FACT_STORED = _schema(("product_number", S), ("customer_id", I), *[
     (f.name, f.dataType) for f in REPORT["fact_sales"].fields])
 
-# declared VARCHAR lengths of the product dimension, checked by every load
-# (Spark strings are unbounded)
-PRODUCT_LENGTHS = {"category_id": 10, "product_number": 50, "product_name": 50, "category": 50,
-                   "subcategory": 50, "maintenance": 50, "product_line": 50}
+# declared lengths of strings, which Spark does not bound: VARCHAR(50) everywhere but here
+VARCHAR = 50
+LENGTHS = {"is_current": 1, "category_id": 10}
+
+
+def lengths(schema: T.StructType) -> dict[str, int]:
+    """Declared length of each string column of a table."""
+    return {f.name: LENGTHS.get(f.name, VARCHAR) for f in schema.fields if isinstance(f.dataType, T.StringType)}
+
+
+def violation(schema: T.StructType, not_null=()):
+    """Why a row may not be stored in a table of this schema, or NULL: its declared NOT NULLs
+    (and the columns in ``not_null``) and the lengths of its strings, as one expression."""
+    from pyspark.sql import functions as F
+    found = F.lit(None).cast("string")
+    for name, most in reversed(lengths(schema).items()):
+        found = F.when(F.length(name) > most, F.lit(f"length of {name}")).otherwise(found)
+    for f in reversed(schema.fields):
+        if not f.nullable or f.name in not_null:
+            found = F.when(F.col(f.name).isNull(), F.lit(f"{f.name} is null")).otherwise(found)
+    return found
+
+
+def enforced(df, schema: T.StructType, table: str, not_null=()):
+    """``df``, failing the query at a row that violates the table's declaration, as an
+    insert into the declared table would."""
+    from pyspark.sql import functions as F
+    why = violation(schema, not_null)
+    fails = F.raise_error(F.concat(F.lit(f"{table}: "), why)).cast("boolean")
+    return df.filter(F.when(why.isNull(), F.lit(True)).otherwise(fails))
 
 
 def conform(df, schema: T.StructType):

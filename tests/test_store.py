@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from histdim.plans.pipeline import read_table, run_batch
+from histdim.plans.pipeline import read_rejected, read_table, run_batch
 from histdim.sources.files import RejectedRows
 from histdim.sources.store import MissingData, Warehouse
 from test_pipeline import B1, _batch2, _write, counts
@@ -55,7 +55,7 @@ def test_rejected_lines_fail_the_load_or_are_counted(spark, batches, tmp_path):
     assert audit["crm_cust_info", "raw", "rejected"] == 2 and audit["crm_cust_info", "raw", "read"] == 5
     assert audit["crm_sales_details", "stage", "invalid_dates"] == 1
     assert audit["fact_sales", "report", "inserted"] == 2 and audit["fact_sales", "report", "pending"] == 1
-    lines = spark.read.parquet(f"{wh}/rejects/crm_cust_info/load=1").collect()
+    lines = read_rejected(Warehouse(spark, wh), "crm_cust_info", 1).collect()
     assert sorted(r.reason for r in lines) == ["number of fields", "value of cst_id"]
 
 
