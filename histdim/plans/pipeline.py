@@ -144,9 +144,9 @@ def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool =
             months = _months(clean_sales(sources[table]), "sls_order_dt")
             new = load_sales_stage(sources[table], read_sales(wh, prev, months=months), load_ts,
                                    null_safe=safe)
-            new, seen = observed(enforced(new, schema, table), {"inserted": F.count(F.lit(1))})
-            wh.write_append(STAGE_LAYER, table, new.withColumn("order_month", month_of("sls_order_dt")),
-                            load, "order_month")
+            new = by_month(enforced(new, schema, table).withColumn("order_month", month_of("sls_order_dt")))
+            new, seen = observed(new, {"inserted": F.count(F.lit(1))})
+            wh.write_append(STAGE_LAYER, table, new, load, "order_month")
         else:
             active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
             merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True,
@@ -187,12 +187,17 @@ def _product_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
                     F.col("prd_start_dt").alias("start_date"))
 
 
-def write_fact(wh: Warehouse, rows: DataFrame, load: int) -> None:
-    """Rows by state and order month: ``final`` rows are appended, ``pending``
+def by_month(rows: DataFrame) -> DataFrame:
+    """Rows of a month together, so that a load writes few files a month and not one per task; a month with
+    many rows is split by their size (adaptive rebalancing)."""
+    return rows.hint("rebalance", "order_month")
+
+
+def fact_parts(rows: DataFrame) -> DataFrame:
+    """Rows with their partition: state and order month.  ``final`` rows are appended, ``pending``
     ones (still without a dimension row) replace the last load's."""
     state = F.when(is_pending(), F.lit("pending")).otherwise(F.lit("final"))
-    wh.write_append(REPORT_LAYER, FACT, rows.withColumns({"state": state, "order_month": month_of("order_date")}),
-                    load, "state", "order_month")
+    return by_month(rows.withColumns({"state": state, "order_month": month_of("order_date")}))
 
 
 def read_fact(wh: Warehouse, load: int | None, state: str, months=None) -> DataFrame:
@@ -260,12 +265,12 @@ def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool
         rows = load_fact(read_sales(wh, load), dp, dc, read_fact(wh, prev, "final"), load_ts)
         rows = rows.withColumns({"product_number": F.lit(None).cast("string"),
                                  "customer_id": F.lit(None).cast("int"), ACTION: F.lit("inserted")})
-    pending = is_pending()
+    pending = F.col("state") == "pending"
     actions = {"inserted": F.count_if(~pending & (F.col(ACTION) == "inserted")),
                "resolved": F.count_if(~pending & (F.col(ACTION) == "pending")), "pending": F.count_if(pending)}
-    rows, seen = observed(enforced(rows, FACT_STORED, FACT),
+    rows, seen = observed(fact_parts(enforced(rows, FACT_STORED, FACT)),
                           actions | _open_and_closed({n: c() for n, c in _FACT_ROW_CHECKS.items()}, pending))
-    write_fact(wh, rows.drop(ACTION), load)
+    wh.write_append(REPORT_LAYER, FACT, rows.drop(ACTION), load, "state", "order_month")
     counters[FACT] = counted(seen)
     _record(records, FACT, "report", time.perf_counter() - t0, {a: counters[FACT][a] for a in actions})
     return counters
