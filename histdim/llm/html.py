@@ -148,6 +148,7 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
     here, containers, blocks = root, [], []
     region, regions, of = None, [], []      # innermost one, all, that of each block
     stack: list[tuple[str, Container, bool, Region | None]] = []      # element, container and region around it, whether it leaves out what's in it
+    places: dict[str, list[int]] = {}      # where in the stack the elements of each tag are open
     out, links, articles, text, linked, at = 0, 0, 0, [], 0, 0
 
     def flush():
@@ -163,6 +164,7 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
         nonlocal here, out, links, articles, region
         while len(stack) > to:
             tag, around, left, outer = stack.pop()
+            places[tag].pop()
             if tag not in _INLINE:
                 flush()
             here, region = around, outer
@@ -178,12 +180,10 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
                 linked += len(part)
 
     def last_open(tags, barriers=frozenset()) -> int | None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in tags:
-                return k
-            if stack[k][0] in barriers:
-                return None
-        return None
+        k = max((places[t][-1] for t in tags if places.get(t)), default=None)
+        if k is None or any(places[t][-1] > k for t in barriers if places.get(t)):
+            return None
+        return k
 
     scan, last = 0, html.rfind(">") + 1      # behind the last ">" no tag can end
     while m := _TOKEN.search(html, scan, last):
@@ -225,6 +225,7 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
         # (whatever is in an article may be a header of its own)
         head = (head or tag == "header") and tag != "article" and not articles
         left = tag not in _ALWAYS_IN and (left or (head and tag == "header") or (tag in _LEFT_OUT and tag != "form"))
+        places.setdefault(tag, []).append(len(stack))
         stack.append((tag, here, left, region))
         if tag in _MAIN:
             if region is not None and not out and not left:

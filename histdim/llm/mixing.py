@@ -216,8 +216,8 @@ def fit_rates(shares: DataFrame, domains: Sequence[str], targets: Mapping[str, f
 def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
           text_col: str = "text", domain_col: str = "domain", whole: Sequence[str] = (), headroom: float = 0.0,
           params: MixParams = MixParams(), most: Mapping[str, float] = {}) -> DataFrame:
-    """All columns of ``docs`` and a struct ``__mix``: tokens, posterior (array in the
-    order of sorted(targets)), rate, copies."""
+    """``row``, a struct of all columns of ``docs``, so that no name can clash, and ``mix``: tokens, posterior
+    (array in the order of sorted(targets)), rate, copies."""
     domains = tuple(sorted(targets))
     model = fit_domains(docs, labelled, domains, id_col, text_col, domain_col, params)
 
@@ -241,21 +241,22 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id
 
         return let(rates.column(p), with_rate)
 
-    return docs.withColumn("__mix", judged(mix))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), judged(mix).alias("mix"))
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
                    text_col: str = "text", domain_col: str = "domain", **options) -> DataFrame:
     """``id_col``, ``n_tokens``, ``p_<domain>``, ``rate``, ``n_copies``."""
     out = mixed(docs, labelled, targets, id_col, text_col, domain_col, **options)
-    return out.select(F.col(id_col), F.col("__mix.tokens").alias("n_tokens"),
-                      *[F.col("__mix.posterior")[i].alias(f"p_{d}") for i, d in enumerate(sorted(targets))],
-                      F.col("__mix.rate").alias("rate"), F.col("__mix.copies").alias("n_copies"))
+    return out.select(F.col("row")[id_col].alias(id_col), F.col("mix.tokens").alias("n_tokens"),
+                      *[F.col("mix.posterior")[i].alias(f"p_{d}") for i, d in enumerate(sorted(targets))],
+                      F.col("mix.rate").alias("rate"), F.col("mix.copies").alias("n_copies"))
 
 
 def mixture(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
-            text_col: str = "text", domain_col: str = "domain", **options) -> DataFrame:
-    """The documents, each as often as its rate says; all columns as they are."""
-    out = mixed(docs, labelled, targets, id_col, text_col, domain_col, **options).filter("__mix.copies > 0")
-    again = out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix.copies"))))
-    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
+            text_col: str = "text", domain_col: str = "domain", once: bool = False, **options) -> DataFrame:
+    """The documents, each as often as its rate says (``once``: at most once); all columns as they are."""
+    out = mixed(docs, labelled, targets, id_col, text_col, domain_col, **options).filter("mix.copies > 0")
+    if not once:
+        out = out.select("row", F.explode(F.sequence(F.lit(1), F.col("mix.copies"))))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -21,7 +21,8 @@ Cases: a null or empty text, or one without a word, has fingerprint zero and
 is linked like any other; a null id never names a component unless it stands
 alone (then the id is null); repeated rows are returned each; an empty table
 gives no rows; further columns are ignored or, in ``one_of_each``, kept as they are.
-``one_of_each`` judges rows, not ids, so an id with several texts loses no group.
+``one_of_each`` judges rows, not ids, so an id with several texts loses no group.  Texts of
+any length are hashed whole, a bounded number of shingles at a time.
 """
 
 from __future__ import annotations
@@ -103,7 +104,9 @@ def planes(prints: np.ndarray) -> np.ndarray:
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, j) with left[i] and right[j] at most ``radius`` (up to 7) bits apart."""
+    """All (i, j) with left[i] and right[j] at most ``radius`` bits apart; the counters hold seven."""
+    if not 0 <= radius <= 7:
+        raise ValueError(f"a radius of 0 to 7 bits, not {radius}")
     vertical = planes(right)
     found_i, found_j = [], []
     step = max(1, (1 << 16) // vertical.shape[1])
@@ -193,6 +196,8 @@ def _signed(mask: int) -> int:
 def print_links(prints: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints (column ``print``: long)
     within ``radius`` bits: stars of each group's components."""
+    if not 0 <= radius <= 7:
+        raise ValueError(f"a radius of 0 to 7 bits, not {radius}")
     n = prints.count()
     keyed = prints.select("print", F.explode(F.array(*[
         F.struct(F.lit(k).alias("choice"), F.col("print").bitwiseAND(F.lit(_signed(m))).alias("key"))
@@ -242,21 +247,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                 radius: int = 4) -> DataFrame:
-    """A row of each group of near copies, all columns as they are: of the rows with an id the
-    one with the least, then the one whose text hashes lowest; and one of the rows without an id."""
-    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
-                       F.struct(F.xxhash64(text_col).alias("text"), whole.alias("all")).alias("__order"))
-    marked = stored(fingerprints(rows, "__id", "__text", shingle, "__order"), "fingerprints")
-    # What decides is a row's own fingerprint, so an id with two texts can stay with one of them.
-    first, nameless = F.min(F.struct("id", "__order")), F.col("id").isNull().alias("nameless")
-    of_print = marked.groupBy("print", nameless).agg(first.alias("s")).select("print", "nameless", "s.*")
+    """A row of each group of near copies, all columns as they are: the one with the least id, rows
+    without an id last, and of rows with one id the one whose digest is least.  Texts are shuffled once, by
+    that digest, where rows alike in every column meet as one."""
+    columns = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    digest = F.concat(F.coalesce(F.sha2(F.col(text_col).cast("string"), 256), F.lit("")), F.hex(F.xxhash64(*columns)))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), digest.alias("digest"))
+    rows = packed.select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), "digest")
+    marked = stored(fingerprints(rows, "id", "text", shingle, "digest"), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "digest")).alias("s")
+    of_print = marked.groupBy("print").agg(first).select("print", "s.*")
     chosen = (of_print.join(by_component(marked, radius).select("print", "root"), "print")
-              .groupBy("root", "nameless").agg(first.alias("s"))
-              .select("root", F.col("s.id").alias("__of"), F.col("s.__order.all").alias("__all")))
-    kept = docs.withColumn("__whole", whole).join(
-        chosen, F.col(id_col).eqNullSafe(F.col("__of")) & (F.col("__whole") == F.col("__all")))
-    # Rows alike in every column are as many as there are: one of them stays.
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    one = kept.groupBy("root", F.col("__of").isNull().alias("__nameless")).agg(F.first(F.struct(*names)).alias("__row"))
-    return one.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+              .groupBy("root").agg(first).select(F.col("s.digest").alias("digest")))
+    return (packed.dropDuplicates(["digest"]).join(chosen, "digest", "left_semi")
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

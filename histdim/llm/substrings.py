@@ -16,7 +16,8 @@ in a document with a smaller id.  Two passes find those windows.
 
 A cell costs about two bytes of shuffle, an exact row about twenty.  A passage that
 very many documents share counts once per chunk, whatever its number of copies,
-and its windows fall into many shards.  Chunks, shards and messages are
+and its windows fall into many shards.  The hash is keyed, and the key is drawn for each run: two
+different windows share its 96 bits with a chance of 2^-96, whatever their words.  Chunks, shards and messages are
 bounded; their number grows with the input.
 
 Cases: a null or empty text has no words; a null id neither removes nor loses
@@ -27,7 +28,7 @@ is smaller, and each is returned; an empty table gives no rows; further columns
 from __future__ import annotations
 
 import struct
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histdim.llm.frames import id_text, shuffle_partitions
-from histdim.llm.words import Words, blocks, constants, mix, windows
+from histdim.llm.words import Words, blocks, constants, fresh_key, mix, windows
 from histdim.session import scratch_path
 
 _U = np.uint64
@@ -45,13 +46,14 @@ _U = np.uint64
 @dataclass(frozen=True)
 class DedupParams:
     """``shard_windows``: windows whose cells one shard counts; ``load``: cells per
-    window in each of the sketch's two rows."""
+    window in each of the sketch's two rows; ``key``: that of the hash, by default drawn for each run."""
 
     window: int = 13
     chunk_bytes: int = 8 << 20
     shard_windows: int = 4 << 20
     least_shards: int = 48
     load: int = 2
+    key: int | None = None
 
 
 # --- chunks ---------------------------------------------------------------------
@@ -66,7 +68,8 @@ def pack(ids: list, texts: list[bytes]) -> bytes:
 
 
 class Chunk:
-    def __init__(self, packed: bytes, k: int):
+    def __init__(self, packed: bytes, params: DedupParams):
+        k, key = params.window, params.key or 0
         raw = zstandard.ZstdDecompressor().decompress(packed)
         n = struct.unpack_from("<q", raw)[0]
         self.ids, known, sizes = np.frombuffer(raw, np.int64, 3 * n, 8).reshape(3, n)
@@ -77,12 +80,12 @@ class Chunk:
         total = 0
         for lo, hi in blocks(self.offs):
             words = Words(self.data[self.offs[lo]:self.offs[hi]], self.offs[lo:hi + 1] - self.offs[lo])
-            one = words.hashes()
+            one = words.hashes(key)
             first, hashed = windows(words, one, k)
             at.append(first + total)
             row.append(words.row[first] + lo)
             h.append(hashed)
-            g.append((windows(words, words.hashes(1), k, 1)[1] >> _U(32)).astype(np.uint32))
+            g.append((windows(words, words.hashes(key + 1), k, 1)[1] >> _U(32)).astype(np.uint32))
             self.bounds.append(words.bounds[1:] + total)
             total += len(words)
         empty = np.zeros(0, np.int64)
@@ -188,7 +191,7 @@ def sketched(held: DataFrame, sketch: Sketch, params: DedupParams) -> DataFrame:
     def make(batches):
         for batch in batches:
             for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h, rows = Chunk(packed, params.window).once_per_document(), []
+                h, rows = Chunk(packed, params).once_per_document(), []
                 for r in (0, 1):
                     cell, count = np.unique(sketch.cells(h, r), return_counts=True)
                     for s, own in by_shard(cell // sketch.width):
@@ -262,7 +265,7 @@ def asked(with_answers: DataFrame, sketch: Sketch, params: DedupParams) -> DataF
     def make(batches):
         for batch in batches:
             for chunk, packed, answers in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                c = Chunk(packed, params.window)
+                c = Chunk(packed, params)
                 often = estimated(c, sketch, answers or [])
                 h, g, ids, _ = exact_rows(c, often)
                 marks = zstandard.ZstdCompressor(level=1).compress(np.packbits(often).tobytes())
@@ -329,6 +332,7 @@ def kept_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                params: DedupParams = DedupParams()) -> DataFrame:
     """``id_col``, ``n_words``, ``n_removed`` and ``kept``: the words left, joined
     by one space."""
+    params = replace(params, key=fresh_key()) if params.key is None else params
     held = chunks(docs, id_col, text_col, params)
     total = held.agg(F.sum("windows")).first()[0] or 0
     sketch = Sketch(max(params.least_shards, -(-total // params.shard_windows)), params)
@@ -339,7 +343,7 @@ def kept_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def rest(batches):
         for batch in batches:
             for packed, answers in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                c = Chunk(packed, k)
+                c = Chunk(packed, params)
                 gone = removed_words(c, sketch.shards, answers, k)
                 raw, bounds, out = c.data.tobytes(), c.bounds, []
                 n_gone = np.concatenate([[0], np.cumsum(gone)])[bounds]

@@ -29,9 +29,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from histdim.llm.frames import id_text
-from histdim.llm.words import Words, blocks, utf8, windows
+from histdim.llm.words import Words, blocks, fresh_key, utf8, windows
 
 _U = np.uint64
 #: Whatever is neither an ASCII letter or digit nor part of a longer character.
@@ -42,11 +43,13 @@ _APART[128:] = False
 
 @dataclass(frozen=True)
 class TilingParams:
-    """``block_bytes``: text of the benchmark that one scan carries, at most about."""
+    """``block_bytes``: text of the benchmark that one scan carries, at most about; ``key``: that of the
+    hashes, by default drawn for each block."""
 
     least: int = 5
     coverage: float = 0.8
     block_bytes: int = 4 << 20
+    key: int | None = None
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,9 +102,9 @@ class Items:
     """A block of the benchmark: its seeds and which items hold them."""
 
     def __init__(self, ids: list, texts: list[str], params: TilingParams):
-        self.params = params
+        self.params, self.key = params, fresh_key() if params.key is None else params.key
         words = Words(*_tokens(pa.array(texts, pa.string())), _APART)
-        at, seeds = windows(words, words.hashes(), params.least)
+        at, seeds = windows(words, words.hashes(self.key), params.least)
         row = words.row[at]
         keep = np.flatnonzero(np.bincount(row, minlength=len(ids)))
         self.ids = [ids[i] for i in keep]
@@ -120,7 +123,7 @@ class Items:
         found = []
         for lo, hi in blocks(offs) if len(self.known) else ():
             words = Words(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], _APART)
-            at, seeds = windows(words, words.hashes(), self.params.least)
+            at, seeds = windows(words, words.hashes(self.key), self.params.least)
             some = np.flatnonzero(self.maybe[(seeds & _U((1 << 20) - 1)).astype(np.int64)])
             place = np.minimum(np.searchsorted(self.known, seeds[some]), len(self.known) - 1)
             hit = self.known[place] == seeds[some]
@@ -186,11 +189,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         T.StructField("coverage", T.DoubleType()), T.StructField("n_tiles", T.LongType())])
     found = df.sparkSession.createDataFrame([], schema)
     for items in item_blocks(benchmark, item_col, item_text, params):
-        found = found.unionAll(df.mapInArrow(_reporter(df.sparkSession.sparkContext.broadcast(items)), schema))
+        found = found.unionAll(df.mapInArrow(_reporter(df.sparkSession.sparkContext.broadcast(items), to_arrow_type(schema["item"].dataType)), schema))
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def _reporter(shared):
+def _reporter(shared, item_type):
     def report(batches):
         items = shared.value
         for batch in batches:
@@ -198,7 +201,7 @@ def _reporter(shared):
             rows = pa.array([r for r, *_ in leaks], pa.int64())
             n = [int(items.sizes[i]) for _, i, *_ in leaks]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), pa.array([items.ids[i] for _, i, *_ in leaks]) if leaks else pa.array([], pa.int64()),
+                [batch.column(0).take(rows), pa.array([items.ids[i] for _, i, *_ in leaks], item_type),
                  pa.array(n, pa.int64()), pa.array([c for *_, c, _ in leaks], pa.int64()),
                  pa.array([c / m for (*_, c, _), m in zip(leaks, n)], pa.float64()),
                  pa.array([k for *_, k in leaks], pa.int64())],

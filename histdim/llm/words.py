@@ -1,14 +1,20 @@
 """Vectorised word handling on Arrow text columns.
 
 A word is a maximal run of bytes outside a set of separators; with the default
-set this is ``[^\\x20\\x09-\\x0D]+``.  Texts are never copied or decoded: word
+set this is ``[^\\x20\\x09-\\x0D]+``.  Texts are never decoded: word
 boundaries and hashes are computed with numpy on the column's UTF-8 buffer.
+
+Hashes are keyed.  A word's hash is two multilinear sums over its 32-bit pieces, with coefficients that
+follow from the key, of which the upper halves count: any two words collide with a chance of
+2^-64, whatever they are, unless the key is known.  Callers whose results rest on hashes draw the key
+anew for each run (``fresh_key``), so that no text can be made to collide.  ``numbers`` is exact.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +26,15 @@ WHITE_SPACE[[9, 10, 11, 12, 13, 32]] = True
 BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
-_ODD_BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Words up to so many bytes are hashed together; longer ones one by one.
+LONG_WORD = 64
+_LOW = _U(0xFFFFFFFF)
+_REST = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], _U)
+
+
+def fresh_key() -> int:
+    """A key that no text knows of; drawn on the driver, once for a run."""
+    return int.from_bytes(os.urandom(7), "little")
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -84,32 +98,55 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, seed: int = 0, fold: np.ndarray | None = None) -> np.ndarray:
+    def hashes(self, key: int = 0, fold: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of each word; ``fold`` maps bytes first (e.g. to lower case)."""
-        table = constants(seed + 11, 256)
-        if fold is not None:
-            table = table[fold]
+        data = np.concatenate([self.data if fold is None else fold[self.data].astype(np.uint8), np.zeros(8, np.uint8)])
+        lanes = np.ndarray((len(self.data) + 1,), "<u8", data.data, strides=(1,))
+        by = np.random.default_rng([key, 64]).integers(0, 2**64, (2, 2 + LONG_WORD // 4), _U)
         out = np.empty(len(self), _U)
-        i = 0
-        while i < len(self):      # a part of the bytes at a time, cut between words
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + BLOCK_BYTES, "right")))
-            lo = self.starts[i]
-            s, e = self.starts[i:j] - lo, self.ends[i:j] - lo
-            up, down = _powers(seed % 2, 1 << int(e[-1] - 1).bit_length())
-            v = table[self.data[lo:lo + e[-1]]] * up[:e[-1]]
-            sums = np.cumsum(v)
-            out[i:j] = (sums[e - 1] - sums[s] + v[s]) * down[s] + (e - s).astype(_U) * _U(0xA24BAED4963EE407)
-            i = j
-        return mix(out)
-
-
-@lru_cache(maxsize=4)
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = _ODD_BASE[which]
-    up = np.full(n, base, _U)
-    down = np.full(n, pow(base, -1, 2**64), _U)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+        for i in range(0, len(self), 1 << 18):      # a part of the words at a time
+            starts, sizes = self.starts[i:i + (1 << 18)], (self.ends - self.starts)[i:i + (1 << 18)]
+            one, two = (by[r, 0] + by[r, 1] * sizes.astype(_U) for r in (0, 1))
+            own = np.arange(len(starts))
+            for b in range(LONG_WORD // 8):
+                x = lanes[starts[own] + 8 * b] & _REST[np.minimum(sizes[own] - 8 * b, 8)]
+                low, high = x & _LOW, x >> _U(32)
+                one[own] += low * by[0, 2 + 2 * b] + high * by[0, 3 + 2 * b]
+                two[own] += low * by[1, 2 + 2 * b] + high * by[1, 3 + 2 * b]
+                own = own[sizes[own] > 8 * b + 8]
+                if not len(own):
+                    break
+            out[i:i + (1 << 18)] = mix((one & ~_LOW) | (two >> _U(32)))
+        for w in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            digest = hashlib.blake2b(data[self.starts[w]:self.ends[w]], key=key.to_bytes(8, "little"), digest_size=8)
+            out[w] = int.from_bytes(digest.digest(), "little")
+        return out
+
+    def numbers(self) -> np.ndarray:
+        """The same number for the same word, from 0: no hash, the words themselves are compared."""
+        sizes = self.ends - self.starts
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        inside = np.repeat(self.starts - at[:-1], sizes) + np.arange(at[-1])
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(self.data[inside])])
+        return raw.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
+def same_windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, number) of every ``k`` consecutive words of one text: windows of the
+    same words, and only those, have the same number."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    one = words.numbers()
+    base = int(one.max()) + 1
+    out, top = one[:n], base
+    for j in range(1, k):
+        if top * base >= 2**63:      # number what there is anew
+            out = np.unique(out, return_inverse=True)[1]
+            top = int(out.max()) + 1
+        out, top = out * base + one[j:j + n], top * base
+    at = np.flatnonzero(words.row[:n] == words.row[k - 1:])
+    return at, out[at]
 
 
 def windows(words: Words, hashes: np.ndarray, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:

@@ -28,4 +28,10 @@ def prose(rnd: random.Random, n: int, vocabulary: int = 400) -> str:
     return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
 
 
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words of ``n`` letters (a power of two) that any polynomial hash modulo 2^64 takes for one, if they are long enough."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
 ODD_TEXTS = [None, "", " ", "\n\n\t", "é", "a", "\x0b\x0c x \r\n y", "word " * 3000, "x" * 200000, "     b"]

@@ -1,4 +1,5 @@
 import random
+import time
 import re
 from html import unescape
 
@@ -139,3 +140,18 @@ def test_pages_whose_host_path_is_empty(spark):
     rows += [(9, "https://h.example.com/y", "<div class=post></div><article><p>mine</p></article>")]
     got = by_id(extract_main_text(spark.createDataFrame(rows, PAGES)), "page_id")
     assert got[9]["text"] == "mine" and all(got[i]["text"] in rows[i][2] and got[i]["text"] for i in range(5))
+
+
+@pytest.mark.parametrize("piece, close", [("<div>", ""), ("<b>x</i>", ""), ("<p><span>", ""), ("<li><ul>", ""), ("<td></p>", ""), ("<div><b>", "</div>")])
+def test_a_megabyte_of_tags_takes_linear_time(piece, close):
+    n = 1_000_000 // len(piece + close)
+    began = time.time()
+    main_text(piece * n + "word" + close * n, None)
+    assert time.time() - began < 20      # two readings' worth in seconds, not hours, also on a slow machine
+
+
+def test_open_elements_are_found_as_by_a_walk():
+    """Stray, crossing and missing end tags."""
+    assert [t for _, t, _ in read_page("<div><p>a<div>b</p>c</div></span>d</div>e")[0]] == ["a", "b", "c", "d", "e"]
+    assert [t for _, t, _ in read_page("<table><tr><td><p>a<td>b<tr><td>c</table>d")[0]] == ["a", "b", "c", "d"]
+    assert [t for _, t, _ in read_page("<ul><li>a<ul><li>b</ul><li>c</ul>")[0]] == ["a", "b", "c"]

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from histdim.llm.mixing import MixParams, _solve, document_rates, fit_domains, fit_rates, mixed, mixture
@@ -95,6 +96,16 @@ def test_mixture_repeats_whole_rows(spark):
     assert abs(sum(copies.values()) - sum(r["rate"] for r in as_dicts(document_rates(d, labels, TARGETS)))) < 40
 
 
+def test_rows_written_once_and_names_that_clash(spark):
+    d, labels, _, _ = fixture(spark, 60)
+    clash = d.select("doc_id", "text", F.lit(7).alias("__copy"), F.lit(8).alias("__mix"), F.lit(9).alias("mix"), F.lit(10).alias("row"))
+    copies = {r["doc_id"]: r["n_copies"] for r in as_dicts(document_rates(clash, labels, TARGETS))}
+    out = as_dicts(mixture(clash, labels, TARGETS))
+    assert len(out) == sum(copies.values()) and {(r["__copy"], r["__mix"], r["mix"], r["row"]) for r in out} == {(7, 8, 9, 10)}
+    once = as_dicts(mixture(clash, labels, TARGETS, once=True))
+    assert sorted(r["doc_id"] for r in once) == sorted(i for i, n in copies.items() if n)
+
+
 def test_main_path_is_native(spark):
     d, labels, _, _ = fixture(spark, 40)
     plan = mixed(d, labels, TARGETS)._jdf.queryExecution().executedPlan().toString()

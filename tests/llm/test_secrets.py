@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import re
 
 from histdim.llm.registry import op1_secret_scan
@@ -95,3 +96,18 @@ def test_empty_table_clashing_columns_and_repeated_rows(spark):
                               "doc_id long, text string, spans string, id int")
     got = as_dicts(digest_spans(scan_secrets(d), "doc_id", BASE))
     assert [r["n_assign"] for r in got] == [1, 1, 0]
+
+
+def test_a_megabyte_that_nearly_matches_takes_linear_time():
+    for piece in ("eyJ", "eyJaaaaaaaa.", "eyJaaaaaaaa.eyJaaaaaaa ", "token ", "AKIA", "-----BEGIN ", "xoxb-a "):
+        text = (piece * (1_000_000 // len(piece))).encode()
+        began = time.time()
+        for rule in RULES:
+            sum(1 for _ in rule.compiled().finditer(text))
+        assert time.time() - began < 20, piece
+
+
+def test_web_tokens_begin_where_a_run_begins():
+    jwt = next(r for r in RULES if r.kind == "jwt").compiled()
+    token = b"eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM"
+    assert jwt.search(b"x " + token) and jwt.search(b'"' + token) and jwt.search(b"=" + token) and not jwt.search(b"Q" + token)

@@ -5,7 +5,7 @@ import pytest
 
 from histdim.llm.registry import OP2_SQL, op2_substring_dedup
 from histdim.llm.substrings import DedupParams, by_shard, kept_texts, spread, squeeze
-from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs, prose
+from tests.llm.helpers import ODD_TEXTS, WORD, as_dicts, by_id, docs, prose, thue_morse
 from tests.llm.oracle import same_rows
 
 SMALL = DedupParams(chunk_bytes=2000, shard_windows=100, least_shards=3)
@@ -89,3 +89,11 @@ def test_empty_table_and_clashing_columns(spark):
 
 def test_query_equals_its_sql(spark):
     same_rows(spark, op2_substring_dedup, OP2_SQL, "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_regular_words_are_told_apart(spark, n):
+    one, two = thue_morse(n)
+    texts = [" ".join([w] * 13 + ["end"]) for w in (one, two, one)]
+    got = sorted((r.doc_id, r.n_removed) for r in kept_texts(docs(spark, texts)).collect())
+    assert got == [(i, gone) for i, _, gone, _ in brute(list(enumerate(texts)))] == [(0, 0), (1, 0), (2, 14)]

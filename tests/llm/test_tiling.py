@@ -7,7 +7,7 @@ import pytest
 
 from histdim.llm.registry import op9_decontamination
 from histdim.llm.tiling import Items, TilingParams, find_leaks, tiles, without_leaks
-from tests.llm.helpers import ODD_TEXTS, as_dicts, docs, prose
+from tests.llm.helpers import ODD_TEXTS, as_dicts, docs, prose, thue_morse
 
 ITEMS = "item_id long, text string"
 
@@ -130,3 +130,18 @@ def test_empty_tables_and_clashing_columns(spark):
     assert [(r["doc_id"], r["item_id"]) for r in as_dicts(find_leaks(d, one))] == [(1, 5)] * 4
     assert [r.item_id for r in without_leaks(d, one).collect()] == [4]
     assert find_leaks(docs(spark, []), one).collect() == []
+
+
+def test_regular_words_are_told_apart():
+    one, two = thue_morse(1024)
+    items = Items([1], [" ".join([one] * 6 + ["x"])], TilingParams())
+    assert items.leaks(pa.array([" ".join([two] * 6 + ["x"]), " ".join([one] * 6 + ["x"])])) == [(1, 0, 7, 1)]
+
+
+@pytest.mark.parametrize("kind, ids", [("int", [5, 6]), ("long", [5, 6]), ("string", ["five", "six"])])
+def test_ids_of_any_type(spark, kind, ids):
+    items = spark.createDataFrame([(i, "a b c d e f") for i in ids], f"item_id {kind}, text string")
+    d = spark.createDataFrame([(i, "a b c d e f") for i in ids] + [(None, "z")], f"doc_id {kind}, text string")
+    got = find_leaks(d, items)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == sorted((a, b) for a in ids for b in ids)
+    assert got.schema["item_id"].dataType == items.schema["item_id"].dataType

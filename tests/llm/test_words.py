@@ -3,8 +3,8 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from histdim.llm.words import Words, blocks, utf8, windows
-from tests.llm.helpers import ODD_TEXTS, WORD, prose
+from histdim.llm.words import LONG_WORD, Words, ascii_lower, blocks, fresh_key, same_windows, utf8, windows
+from tests.llm.helpers import ODD_TEXTS, WORD, prose, thue_morse
 
 
 def some_texts():
@@ -58,3 +58,37 @@ def test_sliced_columns():
     data, offs = utf8(pa.array(["aa", "bb cc", None, "dd"]).slice(1, 3))
     w = Words(data, offs)
     assert w.bounds.tolist() == [0, 2, 2, 3]
+
+
+def test_no_words_are_taken_for_one():
+    """Regular words, words that differ in one byte anywhere, prefixes and zero bytes."""
+    words = [w for n in (64, 1024, 2048, 65536) for w in thue_morse(n)]
+    for n in (1, 3, 4, 5, 7, 8, 9, 16, 31, LONG_WORD - 1, LONG_WORD, LONG_WORD + 1, 200):
+        words += ["x" * n, *("x" * i + "y" + "x" * (n - i - 1) for i in range(n)), "x" * (n - 1) + "\0", "\0" * n]
+    words = list(dict.fromkeys(words))
+    w = Words(*utf8(pa.array(words)))
+    assert len(w) == len(words)
+    for key in (0, 1, fresh_key()):
+        assert len(np.unique(w.hashes(key))) == len(words)
+    assert len(np.unique(w.numbers())) == len(words) and w.numbers().max() == len(words) - 1
+    assert (w.hashes(1) != w.hashes(2)).all() and fresh_key() != fresh_key()
+
+
+def test_folded_words_hash_alike():
+    w = Words(*utf8(pa.array(["Ab aB AB ab Ü ü " + "Q" * 100 + " " + "q" * 100])))
+    h = w.hashes(3, ascii_lower())
+    assert len(set(h[:4].tolist())) == 1 and h[4] != h[5] and h[6] == h[7] and len(set(w.hashes(3).tolist())) == 8
+
+
+def test_windows_have_one_number_if_their_words_are_the_same():
+    texts = some_texts() + ["a b a b a b a", "b a b"]
+    w = Words(*utf8(pa.array(texts)))
+    words = [w.data[a:b].tobytes() for a, b in zip(w.starts, w.ends)]
+    for k in (1, 3, 5, 9):      # nine words: numbers no longer fit 64 bits as they are
+        at, number = same_windows(w, k)
+        assert at.tolist() == [a for a in range(len(words) - k + 1) if w.row[a] == w.row[a + k - 1]]
+        seen = {}
+        for a, x in zip(at.tolist(), number.tolist()):
+            seen.setdefault(x, set()).add(tuple(words[a:a + k]))
+        assert all(len(v) == 1 for v in seen.values())
+        assert len(seen) == len({tuple(words[a:a + k]) for a in at.tolist()})
