@@ -17,8 +17,8 @@ from histdim.llm.quality import keep_good
 from histdim.llm.simhash import one_of_each
 from histdim.llm.tiling import without_leaks
 
-#: Token shares of the mixture.  Clean documents stay whole: the total is what leaves
-#: their expected tokens a little above what they are.
+#: Token shares of the mixture.  Clean documents stay whole and are written once: the total is what leaves
+#: their expected tokens a little above what they are, so that their rates reach one.
 TARGETS = {"clean": 0.99, "toxic": 0.01}
 HEADROOM = 0.02
 #: The toxic share is a ceiling: of their expected tokens no more than this share stays, however rare they are.
@@ -41,10 +41,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are taken at the rates that meet the target shares."""
+    """Documents are taken, at most once, at the rates that meet the target shares."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
     labels = table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
-    return mixture(docs, labels, TARGETS, whole=("clean",), headroom=HEADROOM, most=MOST)
+    return mixture(docs, labels, TARGETS, whole=("clean",), headroom=HEADROOM, most=MOST, once=True)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
