@@ -134,7 +134,9 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, params: DedupParams) ->
     name = f"chunks_{path.rpartition('-')[2]}"
     (df.mapInArrow(gather, "chunk long, packed binary, windows long").write.option("path", path)
      .bucketBy(2 * shuffle_partitions(spark), "chunk").saveAsTable(name))
-    return spark.table(name)
+    held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")      # the files stay, and held knows where and how they are bucketed
+    return held
 
 
 # --- messages ---------------------------------------------------------------------

@@ -97,3 +97,15 @@ def test_regular_words_are_told_apart(spark, n):
     texts = [" ".join([w] * 13 + ["end"]) for w in (one, two, one)]
     got = sorted((r.doc_id, r.n_removed) for r in kept_texts(docs(spark, texts)).collect())
     assert got == [(i, gone) for i, _, gone, _ in brute(list(enumerate(texts)))] == [(0, 0), (1, 0), (2, 14)]
+
+
+def test_no_table_is_left_in_the_catalogue_and_texts_are_not_shuffled(spark):
+    from histdim.llm import substrings as m
+
+    before = {t.name for t in spark.catalog.listTables()}
+    held = m.chunks(docs(spark, repeated_texts()), "doc_id", "text", SMALL)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    answers = spark.createDataFrame([], "chunk long, shard int, part int, body binary")
+    plan = m.answered(held, answers)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and not any("packed" in line for line in plan.split("\n") if "Exchange" in line)
+    assert m.answered(held, answers).count() == held.count() > 1
