@@ -199,15 +199,16 @@ def detect_changes(source: DataFrame, dim: DataFrame, src_key: str, dim_key: str
 def scd2_dim_load(dim: DataFrame, source: DataFrame, key: str, surrogate: str, load_ts,
                   compare: Sequence[str], mode: str = "sentinel",
                   collation: str | None = None, with_action: bool = False,
-                  unique_source: bool = True) -> DataFrame:
-    """Type-2 load of a star-schema dimension that owns a surrogate key.
+                  unique_source: bool = True, last_key: int | None = None, expired: DataFrame | None = None) -> DataFrame:
+    """Type-2 load of a star-schema dimension that owns a surrogate key.  ``dim`` is the whole dimension, or
+    its active rows if the others are given as ``expired`` (which leaves stored buckets of the former as they are).
 
     ``source`` carries the dimension's business columns (already renamed), at most
     one row per key, or the query fails (``unique_source=False``: the least row per key counts).  A source row that differs from every current version
     of its key replaces them: they are expired and it is inserted, once.  Source rows
     whose key has *no* row at all in the dimension are inserted.  A key that only
     has expired rows is not re-inserted.  Inserted rows get surrogate keys
-    after the current maximum: changed rows first, then new keys, each in
+    after the current maximum (``last_key``, if the caller knows it; else it is looked up): changed rows first, then new keys, each in
     business-key order.  Existing surrogate keys never change.
 
     The source is computed once (frozen in the scratch folder).  It meets the active
@@ -224,7 +225,7 @@ def scd2_dim_load(dim: DataFrame, source: DataFrame, key: str, surrogate: str, l
     load_day = load_time(load_ts).cast(T.DateType())
     cols = [surrogate] + biz + list(HISTORY_COLS)
 
-    act, hist = _by_flag(dim)
+    act, hist = _by_flag(dim) if expired is None else (dim, expired)
     met = act.join(src.select(*[F.col(c).alias(f"__s_{c}") for c in biz], F.lit(True).alias("__s")),
                    F.col(key) == F.col(f"__s_{key}"), "left")
     diff = _changed([(F.col(c), F.col(f"__s_{c}"), types[c]) for c in compare], mode, collation)
@@ -242,7 +243,9 @@ def scd2_dim_load(dim: DataFrame, source: DataFrame, key: str, surrogate: str, l
     step = F.when(F.col("__changed"), F.lit(1)).when(F.col("__k").isNull() & F.col("__h").isNull(),
                                                      F.lit(2))
     inserts = judged.withColumn("__step", step).filter("__step is not null").select(*biz, "__step")
-    start = (dim.agg(F.max(surrogate)).first()[0] or 0) + 1
+    if last_key is None:
+        last_key = max(x.agg(F.max(surrogate)).first()[0] or 0 for x in ([dim] if expired is None else [act, hist]))
+    start = last_key + 1
     keyed = assign_surrogate_keys(inserts, surrogate, ["__step", key], start=start)
     keyed = with_load_defaults(keyed.withColumn(
         ACTION, F.when(F.col("__step") == 1, F.lit(NEW_VERSION)).otherwise(F.lit(INSERTED))), load_ts)

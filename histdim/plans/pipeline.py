@@ -153,7 +153,7 @@ def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool =
                                 null_keys=not safe)
             merged = enforced(merged.filter(F.col(ACTION) != F.lit(HISTORY)), schema, table, keys if safe else ())
             merged, seen = observed(merged, action_counts())
-            wh.write_history(STAGE_LAYER, table, merged.drop(ACTION), load)
+            wh.write_history(STAGE_LAYER, table, merged.drop(ACTION), load, keys)
         _record(records, table, "stage", time.perf_counter() - t0, counted(seen))
 
     # the six tables are independent: submit their jobs concurrently
@@ -161,7 +161,7 @@ def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool =
 
 
 def _customer_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
-    st = {t: wh.read_history(STAGE_LAYER, t, STAGE[t], load)
+    st = {t: wh.read_history(STAGE_LAYER, t, STAGE[t], load, active_only=safe)
           for t in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")}
     c = conform_customers(st["crm_cust_info"], st["erp_cust_az12"], st["erp_loc_a101"],
                           current_only=safe)
@@ -176,8 +176,7 @@ def _customer_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
 
 
 def _product_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
-    p = wh.read_history(STAGE_LAYER, "crm_prod_info", STAGE["crm_prod_info"], load)
-    c = wh.read_history(STAGE_LAYER, "erp_px_cat_g1v2", STAGE["erp_px_cat_g1v2"], load)
+    p, c = (wh.read_history(STAGE_LAYER, t, STAGE[t], load, active_only=safe) for t in ("crm_prod_info", "erp_px_cat_g1v2"))
     e = enrich_products(p, c, current_only=safe)
     return e.select(F.col("prd_id").alias("product_id"), F.col("prd_key").alias("product_number"),
                     F.col("prd_nm").alias("product_name"), F.col("cat_id").alias("category_id"),
@@ -236,27 +235,29 @@ def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool
     the counters that ``check_load`` builds on."""
     records = records if records is not None else []
     counters: dict[str, dict] = {}
+    before = stored_counters(wh, prev)
 
     def dimension(table):
         t0 = time.perf_counter()
         key, surrogate, compare, source = DIMENSIONS[table]
-        dim = wh.read_history(REPORT_LAYER, table, REPORT[table], prev)
+        dim = wh.read_history(REPORT_LAYER, table, REPORT[table], prev, active_only=True)
+        expired = wh.read_expired(REPORT_LAYER, table, REPORT[table], prev)
         merged = scd2_dim_load(dim, source(wh, load, safe), key, surrogate, load_ts, compare,
-                               with_action=True, unique_source=safe)
+                               with_action=True, unique_source=safe, last_key=before[table].get("key_max"),
+                               expired=expired)
         merged = enforced(merged.filter(F.col(ACTION) != F.lit(HISTORY)), REPORT[table], table)
         is_open, new = F.col("is_current").eqNullSafe(F.lit(ACTIVE)), F.col(ACTION).isin("inserted", "new_version")
         actions = action_counts()
         merged, seen = observed(merged, actions | _open_and_closed({"rows": F.lit(True)} | row_checks(key, _limits(table)), is_open) | {
             "key_min": F.min(surrogate), "key_max": F.max(surrogate), "new_min": F.min(F.when(new, F.col(surrogate)))})
-        wh.write_history(REPORT_LAYER, table, merged.drop(ACTION), load)
+        wh.write_history(REPORT_LAYER, table, merged.drop(ACTION), load, [key])
         counters[table] = counted(seen)
         _record(records, table, "report", time.perf_counter() - t0, {a: counters[table][a] for a in actions})
 
     # both dimensions must be written before the fact reads their keys
     in_threads(dimension, DIMENSIONS, 2)
     t0 = time.perf_counter()
-    dp = wh.read_history(REPORT_LAYER, "dim_products", REPORT["dim_products"], load)
-    dc = wh.read_history(REPORT_LAYER, "dim_customers", REPORT["dim_customers"], load)
+    dp, dc = (wh.read_history(REPORT_LAYER, t, REPORT[t], load, active_only=True) for t in ("dim_products", "dim_customers"))
     if safe:
         sales = read_sales(wh, load, only=True)
         settled = read_fact(wh, prev, "final", _months(sales, "sls_order_dt"))
@@ -288,6 +289,14 @@ class FailedChecks(RuntimeError):
     """A load violates invariants of the star schema."""
 
 
+def stored_counters(wh: Warehouse, load: int | None) -> dict[str, dict[str, int]]:
+    """The counters that a load left for the next one (some dozens of rows), per table."""
+    out: dict[str, dict[str, int]] = {t: {} for t in (*DIMENSIONS, FACT)}
+    for r in (wh.read_snapshot(CHECK_LAYER, "counters", _COUNTER, load).collect() if load is not None else []):
+        out[r.table_name][r.counter] = r.value
+    return out
+
+
 def _repeated(rows: DataFrame, column: str) -> int:
     """Values (NULL among them) that more than one row has."""
     return rows.groupBy(column).count().filter("count > 1").count()
@@ -346,14 +355,15 @@ def _check_fact(wh, load, before, seen) -> tuple[dict, dict]:
     keep = {f"closed_{n}": before.get(f"closed_{n}", 0) + seen[f"closed_{n}"] for n in _FACT_ROW_CHECKS}
     found = {n: keep[f"closed_{n}"] + seen[f"open_{n}"] for n in _FACT_ROW_CHECKS}
     found["product_fan_out"] = _repeated(_written(wh, "dim_products", load), "product_number")
-    for table, (_, key, *_) in DIMENSIONS.items():
-        name = f"fact_{key}_in_dim"
-        if before.get(f"closed_{name}"):      # a key that was missing may have been given since
-            found[name] = keep[f"closed_{name}"] = check_all(wh, load)[FACT][name]
-            continue
-        missing = _missing_keys(wh, load, key, table)
-        keep[f"closed_{name}"] = missing.get("final", 0)
-        found[name] = keep[f"closed_{name}"] + missing.get("pending", 0)
+    names = {t: f"fact_{DIMENSIONS[t][1]}_in_dim" for t in DIMENSIONS}
+    if any(before.get(f"closed_{n}") for n in names.values()):      # keys that were missing may have been given since
+        every = check_all(wh, load)[FACT]
+        missing = {t: {"final": every[n]} for t, n in names.items()}
+    else:
+        missing = dict(zip(names, in_threads(lambda t: _missing_keys(wh, load, DIMENSIONS[t][1], t), names, 2)))
+    for table, name in names.items():
+        keep[f"closed_{name}"] = missing[table].get("final", 0)
+        found[name] = keep[f"closed_{name}"] + missing[table].get("pending", 0)
     return found, keep
 
 
@@ -361,9 +371,7 @@ def check_load(wh: Warehouse, load: int, prev: int | None, counters: dict[str, d
     """The star schema's invariants after a load, equal to ``check_all``, as one record per check: from the
     counters of the previous load, those of this load's writes, and the rows that it wrote itself.
     Stores the counters for the next load."""
-    before: dict[str, dict] = {t: {} for t in (*DIMENSIONS, FACT)}
-    for r in (wh.read_snapshot(CHECK_LAYER, "counters", _COUNTER, prev).collect() if prev is not None else []):
-        before[r.table_name][r.counter] = r.value
+    before = stored_counters(wh, prev)
 
     def one(table):
         t0 = time.perf_counter()

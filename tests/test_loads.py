@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from histdim.operators.history import scd2_merge
 from histdim.plans import pipeline
 from histdim.plans.pipeline import (ADVISORY, DIMENSIONS, FACT, FailedChecks, check_all, check_load, read_table,
                                     run_batch)
@@ -231,3 +232,50 @@ def test_empty_sources_load(spark, tmp_path):
     run_batch(spark, root, str(tmp_path / "raw"), "b1", 2, DAY[1])
     assert read_table(spark, root, "report", "dim_customers").filter(F.col("is_current") == "A").count() == 3
     assert read_table(spark, root, "report", FACT, 1).count() == 0
+
+
+def _exchanges_over(plan: str, scan: str) -> int:
+    """Exchanges between a scan and the first join above it, by the plan's tree."""
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if scan in line)
+    depth, found = len(lines[at]) - len(lines[at].lstrip(" :+-*(0123456789)")), 0
+    for line in reversed(lines[:at]):
+        d = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if d < depth:
+            depth = d
+            if "Join" in line:
+                break
+            found += "Exchange" in line
+    return found
+
+
+def test_a_merge_shuffles_its_source_alone(spark, tmp_path):
+    schema = STAGE["erp_loc_a101"]
+    first = spark.range(2000).select(F.concat(F.lit("K"), "id").alias("cid"), F.lit("DE").alias("cntry"),
+                                     F.lit(DAY[0]).cast("timestamp_ntz").alias("dwh_create_date"), F.lit("A").alias("is_current"),
+                                     F.lit(None).cast("date").alias("modified_dt"))
+    source = spark.range(1000, 3000).select(F.concat(F.lit("K"), "id").alias("cid"), F.when(F.col("id") % 3 == 0, "US").otherwise("DE").alias("cntry"))
+    tables = {t.name for t in spark.catalog.listTables()}
+    results = []
+    for keys in (None, ["cid"]):
+        wh = Warehouse(spark, str(tmp_path / f"wh{len(results)}")).init()
+        wh.write_history("s", "t", first, 1, keys)
+        wh.commit(1, DAY[0])
+        active = Warehouse(spark, wh.root).read_history("s", "t", schema, 1, active_only=True)
+        merged = scd2_merge(active, source, "cid", DAY[1], null_keys=False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert (_exchanges_over(plan, "FileScan parquet") == 0) == bool(keys) and ("Bucketed: true" in plan) == bool(keys)
+        results.append(rows(merged))
+    assert results[0] == results[1] and len(results[0]) == 3000 + 333
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    whole = Warehouse(spark, wh.root).read_history("s", "t", schema, 1)
+    assert rows(whole) == rows(first.select(*whole.columns)) and active.schema.names == schema.names
+
+
+def test_buckets_that_are_gone_are_an_error(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh")).init()
+    wh.write_history("s", "t", spark.createDataFrame([(1, "A")], SCHEMA), 1, ["k"])
+    wh.commit(1, DAY[0])
+    os.rename(f"{wh.root}/s/t/load=1", f"{wh.root}/s/t/moved")
+    with pytest.raises(MissingData):
+        Warehouse(spark, wh.root).read_history("s", "t", SCHEMA, 1).count()
