@@ -20,14 +20,13 @@ that carries its least ``k + 1`` ids, and one query; a flood of copies is neithe
 compared more than once.  A query that found fewer than ``k`` although there are more candidates is
 held against all vectors of its length, in blocks.
 
-Cases: vectors that are null, empty, zero, or hold a null or a number that isn't finite take no part, nor
+Cases: ids are integers; vectors that are null, empty, zero, or hold a null or a number that isn't finite take no part, nor
 do rows without an id.  Only vectors of equal length are candidates of each other.
 Rows alike in id and vector count once; rows that share an id but not the vector are rows like any other.  Ties go to the smaller id.  An empty table, or one without queries, gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -125,27 +124,36 @@ def probes_of(unit: np.ndarray, d: int, table: int, axes: int, most: int, seed:
         order.append(rank)
     if axes == 1:
         return order[0][:, :most]
-    out = np.empty((len(unit), min(most, (2 * size) ** axes)), np.int64)
-    for r in range(len(unit)):
-        out[r] = _least_sums([g[r] for g in gaps], [o[r] for o in order], 2 * size, out.shape[1])
-    return out
-
-
-def _least_sums(gaps: list[np.ndarray], order: list[np.ndarray], base: int, most: int) -> list[int]:
-    """Codes of the ``most`` choices of one axis per rotation with the least sums of gaps."""
-    start = (0,) * len(gaps)
-    heap, seen, out = [(0.0, start)], {start}, []
-    while heap and len(out) < most:
-        total, at = heapq.heappop(heap)
-        code = 0
-        for o, i in zip(order, at):
-            code = code * base + int(o[i])
-        out.append(code)
-        for x in range(len(at)):
-            nxt = at[:x] + (at[x] + 1,) + at[x + 1:]
-            if nxt[x] < base and nxt not in seen:
-                seen.add(nxt)
-                heapq.heappush(heap, (total - gaps[x][at[x]] + gaps[x][nxt[x]], nxt))
+    return least_sums(gaps, order, most)
+
+
+@lru_cache(maxsize=8)
+def _corner(base: int, axes: int, most: int) -> np.ndarray:
+    """(axes, n): the choices of a place per sorted list that can be among the ``most`` with the least
+    sums: no more than that many choices are as near in every list."""
+    found = np.arange(min(base, most))[None, :]
+    for _ in range(1, axes):
+        room = most // (found + 1).prod(0)
+        each = np.minimum(room, base)
+        start = np.repeat(np.cumsum(each) - each, each)
+        found = np.concatenate([np.repeat(found, each, axis=1), (np.arange(each.sum()) - start)[None, :]])
+    return found
+
+
+def least_sums(gaps: list[np.ndarray], order: list[np.ndarray], most: int) -> np.ndarray:
+    """For each row the codes of the ``most`` choices of one axis per rotation with the least sums of gaps
+    (each rotation's gaps ascend; ``order`` names their axes), nearest first."""
+    base, at = gaps[0].shape[1], _corner(gaps[0].shape[1], len(gaps), most)
+    out = np.empty((len(gaps[0]), min(most, at.shape[1])), np.int64)
+    step = max(1, (1 << 22) // at.shape[1])
+    for lo in range(0, len(out), step):
+        total = sum(g[lo:lo + step][:, a] for g, a in zip(gaps, at))
+        near = np.argpartition(total, out.shape[1] - 1, axis=1)[:, :out.shape[1]]
+        near = np.take_along_axis(near, np.argsort(np.take_along_axis(total, near, 1), axis=1, kind="stable"), 1)
+        code = np.zeros(near.shape, np.int64)
+        for o, a in zip(order, at):
+            code = code * base + np.take_along_axis(o[lo:lo + step], a[near], 1)
+        out[lo:lo + step] = code
     return out
 
 

@@ -1,11 +1,11 @@
-import random
+from itertools import product
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from histdim.llm import crosspolytope
-from histdim.llm.crosspolytope import HashParams, _least_sums, as_candidates, as_queries, best, bucket_of, nearest, norms, probes_of, turned
+from histdim.llm.crosspolytope import HashParams, as_candidates, as_queries, best, bucket_of, least_sums, nearest, norms, probes_of, turned
 from histdim.llm.registry import op12_nearest
 
 SCHEMA = "vec_id long, embedding array<double>, bucket string, vid int, least int"
@@ -66,13 +66,20 @@ def test_probes_are_sorted_and_complete(axes):
     assert (codes[:, 0] == own).all()
 
 
-def test_least_sums_match_brute_force():
-    rnd = random.Random(4)
-    gaps = [sorted(rnd.random() for _ in range(6)) for _ in range(3)]
-    order = [rnd.sample(range(6), 6) for _ in range(3)]
-    every = sorted((gaps[0][a] + gaps[1][b] + gaps[2][c], (order[0][a] * 6 + order[1][b]) * 6 + order[2][c])
-                   for a in range(6) for b in range(6) for c in range(6))
-    assert _least_sums([np.array(g) for g in gaps], [np.array(o) for o in order], 6, 40) == [c for _, c in every[:40]]
+@pytest.mark.parametrize("axes, most", [(2, 1), (2, 7), (2, 36), (3, 40), (3, 216), (3, 500)])
+def test_least_sums_match_brute_force(axes, most):
+    rng = np.random.default_rng(axes * 100 + most)
+    gaps = [np.sort(rng.random((5, 6)), axis=1) for _ in range(axes)]
+    order = [np.stack([rng.permutation(6) for _ in range(5)]) for _ in range(axes)]
+    got = least_sums(gaps, order, most)
+    for r in range(5):
+        every = []
+        for at in product(range(6), repeat=axes):
+            code = 0
+            for o, i in zip(order, at):
+                code = code * 6 + int(o[r][i])
+            every.append((sum(g[r][i] for g, i in zip(gaps, at)), code))
+        assert got[r].tolist() == [c for _, c in sorted(every)[:most]]
 
 
 def test_best_breaks_ties_by_id():
