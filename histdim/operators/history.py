@@ -81,7 +81,7 @@ def one_per_key(source: DataFrame, keys) -> DataFrame:
 def scd2_merge(target: DataFrame, source: DataFrame, keys, load_ts,
                compare: Sequence[str] | None = None, mode: str = "sentinel",
                collation: str | None = None, with_action: bool = False,
-               null_keys: bool = True) -> DataFrame:
+               null_keys: bool = True, check_source: bool = True) -> DataFrame:
     """Type-2 upsert of ``source`` into ``target``; returns the whole new table.
 
     * target active row, key absent from source -> kept
@@ -96,7 +96,8 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys, load_ts,
     fails, and every business column of ``target``.  ``compare`` defaults to all
     non-key business columns; ``mode`` / ``collation`` as in
     :func:`histdim.functions.compare.differs`.  ``null_keys=False`` says that neither
-    side has NULL keys, which spares their branch of the plan.
+    side has NULL keys, which spares their branch of the plan; ``check_source=False`` that
+    ``source`` is known to hold one row per key.
     """
     keys = _names(keys)
     biz = _business_cols(target)
@@ -105,7 +106,8 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys, load_ts,
     load_day = load_time(load_ts).cast(T.DateType())
 
     act, hist = _by_flag(target)
-    src = one_per_key(source.select(*[F.col(c).cast(types[c]).alias(c) for c in biz]), keys)
+    src = source.select(*[F.col(c).cast(types[c]).alias(c) for c in biz])
+    src = one_per_key(src, keys) if check_source else src
 
     t_cols = biz + list(HISTORY_COLS)
     t = act.filter(~_any_null(keys)) if null_keys else act

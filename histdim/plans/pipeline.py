@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from histdim.functions.clean import parse_packed_date
 from histdim.operators.audit import action_counts, audit_rows, counted, dq_checks, dq_star, observed, row_checks
 from histdim.operators.history import ACTION, HISTORY, scd2_dim_load, scd2_merge
-from histdim.operators.star import (clean_sales, conform_customers, enrich_products, is_pending,
+from histdim.operators.star import (conform_customers, enrich_products, is_pending,
                                     load_fact, load_fact_incremental, load_sales_stage, month_of)
 from histdim.plans import cleaning
 from histdim.session import frozen, in_threads, scratch_owner
@@ -69,12 +69,14 @@ def _invalid_dates() -> Column:
 
 
 def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
-              records: list | None = None, parallel: int = 6, allow_rejects: bool = False) -> None:
+              records: list | None = None, parallel: int = 6, allow_rejects: bool = False) -> dict[str, list[int]]:
     """Full reload of the six raw tables from one batch folder: one parse and one write each, in which
     lines that do not fit their schema go to a partition of their own; unless
     ``allow_rejects``, their presence fails the load.  The six loads are
-    independent Spark jobs submitted from a small thread pool."""
+    independent Spark jobs submitted from a small thread pool.  Returns the order months of the
+    batch's sales, as seen while they were written (as many as the calendar has, at most)."""
     records = records if records is not None else []
+    months: list[int] = []
 
     def one(table):
         t0 = time.perf_counter()
@@ -82,6 +84,7 @@ def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
         metrics = {"read": F.count_if(~F.col("rejected")), "rejected": F.count_if(F.col("rejected"))}
         if table == SALES:
             metrics["invalid_dates"] = _invalid_dates()
+            metrics["months"] = F.collect_set(F.when(~F.col("rejected"), month_of(parse_packed_date("sls_order_dt"))))
         lines, seen = observed(split_delimited(wh.spark, path, RAW[table]), metrics)
         where = wh.write_parts(lines, RAW_LAYER, table, load, "rejected")
         counts = counted(seen)
@@ -91,8 +94,10 @@ def load_stg0(wh: Warehouse, batch_root: str, batch: str, load: int,
         _record(records, table, "raw", seconds, {a: counts[a] for a in ("read", "rejected")})
         if table == SALES:      # staging turns them into NULLs
             _record(records, table, "stage", seconds, {"invalid_dates": counts["invalid_dates"]})
+            months.extend(counts["months"])
 
     in_threads(one, RAW, parallel)
+    return months
 
 
 def read_raw(wh: Warehouse, table: str, load: int | None) -> DataFrame:
@@ -117,11 +122,6 @@ def _stage_sources(wh: Warehouse, load: int, load_ts, safe: bool) -> dict[str, D
     }
 
 
-def _months(rows: DataFrame, day: str) -> list[int]:
-    """The order months that occur (as many as the calendar has, at most)."""
-    return [r["m"] for r in rows.select(month_of(day).alias("m")).distinct().collect()]
-
-
 def read_sales(wh: Warehouse, load: int | None, only: bool = False, months=None) -> DataFrame:
     df = wh.read_append(STAGE_LAYER, SALES, _SALES_PARTS, load, only)
     if months is not None:
@@ -129,35 +129,39 @@ def read_sales(wh: Warehouse, load: int | None, only: bool = False, months=None)
     return conform(df, STAGE[SALES])
 
 
-def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
-               records: list | None = None, parallel: int = 6) -> None:
+def load_stage(wh: Warehouse, load: int, prev: int | None, load_ts, months: list[int], safe: bool = True,
+               records: list | None = None, parallel: int = 6) -> list[int]:
     """Merge every cleaned source into its stage history table; append new
     sales rows.  Each merge reads only the active slice of the previous
-    state, and sales only the order months of the batch."""
+    state, and sales only ``months``, those of the batch.  Returns the order months of the sales that are new."""
     records = records if records is not None else []
+    new_months: list[int] = []
     sources = _stage_sources(wh, load, load_ts, safe)
 
     def one(table):
         t0 = time.perf_counter()
         keys, schema = STAGE_KEYS[table], STAGE[table]
         if keys is None:
-            months = _months(clean_sales(sources[table]), "sls_order_dt")
             new = load_sales_stage(sources[table], read_sales(wh, prev, months=months), load_ts,
                                    null_safe=safe)
             new = by_month(enforced(new, schema, table).withColumn("order_month", month_of("sls_order_dt")))
-            new, seen = observed(new, {"inserted": F.count(F.lit(1))})
+            new, seen = observed(new, {"inserted": F.count(F.lit(1)), "months": F.collect_set("order_month")})
             wh.write_append(STAGE_LAYER, table, new, load, "order_month")
+            counts = counted(seen)
+            new_months.extend(counts.pop("months"))
         else:
             active = wh.read_history(STAGE_LAYER, table, schema, prev, active_only=True)
             merged = scd2_merge(active, sources[table], keys, load_ts, with_action=True,
-                                null_keys=not safe)
+                                null_keys=not safe, check_source=False)      # cleaning leaves one row per key
             merged = enforced(merged.filter(F.col(ACTION) != F.lit(HISTORY)), schema, table, keys if safe else ())
             merged, seen = observed(merged, action_counts())
             wh.write_history(STAGE_LAYER, table, merged.drop(ACTION), load, keys)
-        _record(records, table, "stage", time.perf_counter() - t0, counted(seen))
+            counts = counted(seen)
+        _record(records, table, "stage", time.perf_counter() - t0, counts)
 
     # the six tables are independent: submit their jobs concurrently
     in_threads(one, STAGE_KEYS, parallel)
+    return new_months
 
 
 def _customer_source(wh: Warehouse, load: int, safe: bool) -> DataFrame:
@@ -228,11 +232,11 @@ def _open_and_closed(checks: dict, is_open) -> dict:
             for n, c in checks.items() for side in ("open", "closed")}
 
 
-def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool = True,
+def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, months: list[int], safe: bool = True,
                 records: list | None = None) -> dict[str, dict]:
     """Type-2 load of both dimensions (surrogate keys continue after the
-    current maximum), then the fact against the dimensions just written.  Returns per table
-    the counters that ``check_load`` builds on."""
+    current maximum), then the fact against the dimensions just written, of which only ``months``, those
+    of the new sales, are compared.  Returns per table the counters that ``check_load`` builds on."""
     records = records if records is not None else []
     counters: dict[str, dict] = {}
     before = stored_counters(wh, prev)
@@ -260,7 +264,7 @@ def load_report(wh: Warehouse, load: int, prev: int | None, load_ts, safe: bool
     dp, dc = (wh.read_history(REPORT_LAYER, t, REPORT[t], load, active_only=True) for t in ("dim_products", "dim_customers"))
     if safe:
         sales = read_sales(wh, load, only=True)
-        settled = read_fact(wh, prev, "final", _months(sales, "sls_order_dt"))
+        settled = read_fact(wh, prev, "final", months)
         rows = load_fact_incremental(sales, read_fact(wh, prev, "pending"), settled, dp, dc, load_ts, with_action=True)
     else:
         rows = load_fact(read_sales(wh, load), dp, dc, read_fact(wh, prev, "final"), load_ts)
@@ -406,9 +410,9 @@ def run_batch(spark: SparkSession, root: str, batch_root: str, batch: str, load:
         raise ValueError(f"load {load} is not after the last committed load {prev}")
     records: list = []
     with scratch_owner(spark, "load"):
-        load_stg0(wh, batch_root, batch, load, records, allow_rejects=allow_rejects)
-        load_stage(wh, load, prev, load_ts, safe, records)
-        counters = load_report(wh, load, prev, load_ts, safe, records)
+        months = load_stg0(wh, batch_root, batch, load, records, allow_rejects=allow_rejects)
+        months = load_stage(wh, load, prev, load_ts, months, safe, records)
+        counters = load_report(wh, load, prev, load_ts, months, safe, records)
         found = check_load(wh, load, prev, counters, records)
     failed = {f"{t}.{c}": n for t, checks in found.items() for c, n in checks.items() if n and c not in ADVISORY}
     if failed and on_failure == "raise":
