@@ -16,8 +16,9 @@ in a document with a smaller id.  Two passes find those windows.
 
 A cell costs about two bytes of shuffle, an exact row about twenty.  A passage that
 very many documents share counts once per chunk, whatever its number of copies,
-and its windows fall into many shards.  The hash is keyed, and the key is drawn for each run: two
-different windows share its 96 bits with a chance of 2^-96, whatever their words.  Chunks, shards and messages are
+and its windows fall into many shards.  The hash is keyed, and the key is drawn for each run: whatever
+they are, two different words share their 64 bits with a chance of 2^-64, and two windows of other words
+their 96 bits with one of 2^-96.  Chunks, shards and messages are
 bounded; their number grows with the input.
 
 Cases: a null or empty text has no words; a null id neither removes nor loses
@@ -85,7 +86,7 @@ class Chunk:
             at.append(first + total)
             row.append(words.row[first] + lo)
             h.append(hashed)
-            g.append((windows(words, words.hashes(key + 1), k, 1)[1] >> _U(32)).astype(np.uint32))
+            g.append((windows(words, one, k, 1)[1] >> _U(32)).astype(np.uint32))
             self.bounds.append(words.bounds[1:] + total)
             total += len(words)
         empty = np.zeros(0, np.int64)
