@@ -86,18 +86,29 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from histdim.session import scratch_path
 
     index = archived_index(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-OP7_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-d AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS m FROM p)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "position")
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, coalesce(url, '') AS u,
+         string_split(regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]+)', 1)), '^www\.|:(80|443)$', '', 'g'), ':') AS host,
+         regexp_extract(url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '^[^#?]*\?([^#]*)', 1) AS query
+  FROM pages),
+d AS (
+  SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS m,
+         CASE WHEN u = '' THEN '' ELSE
+           array_to_string(list_reverse(string_split(host[1], '.')), ',') || coalesce(':' || host[2], '') || ')' ||
+           CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS url_key,
+         strftime(TIMESTAMP '2024-01-01' + to_seconds(coalesce(page_id, 0) % 1000000000), '%Y%m%d%H%M%S') AS timestamp
+  FROM p)
 SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          CAST(1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '')
          AS payload_digest,
        CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> m THEN m END AS refers_to
+       CASE WHEN page_id <> m THEN m END AS refers_to, url_key, timestamp,
+       row_number() OVER (ORDER BY url_key, timestamp, page_id NULLS FIRST) - 1 AS position
 FROM d
 """
 

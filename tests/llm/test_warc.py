@@ -7,7 +7,8 @@ import random
 import pytest
 
 from histdim.llm.registry import OP7_SQL, op7_warc
-from histdim.llm.warc import LoserTree, WarcParams, archived_index, merged_index, read_runs, record, records, url_key, write_archives
+from histdim.llm.warc import (
+    LoserTree, WarcParams, archived_index, fetch, member, members, merged_index, parsed, read_runs, record, url_key, write_archives)
 from tests.llm.helpers import as_dicts
 from tests.llm.oracle import same_rows
 
@@ -37,46 +38,71 @@ def brute(rows, least_bytes=0):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("params", [WarcParams(), WarcParams(least_bytes=2, file_records=7, range_captures=20)])
+@pytest.mark.parametrize("params", [WarcParams(), WarcParams(least_bytes=2, file_bytes=2000, range_captures=20)])
 def test_index_matches_brute_force_and_is_ordered(spark, tmp_path, params):
     rows = fixture()
     got = as_dicts(archived_index(spark.createDataFrame(rows, PAGES).repartition(3), str(tmp_path / "w"), params=params))
     assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got),
                   key=str) == brute(rows, params.least_bytes)
-    got.sort(key=lambda r: (r["range"], r["position"]))
+    got.sort(key=lambda r: r["position"])
     keys = [(r["url_key"], r["timestamp"], r["page_id"] is not None, r["page_id"] or 0) for r in got]
-    assert keys == sorted(keys) and len({(r["range"], r["position"]) for r in got}) == len(got)
+    assert keys == sorted(keys) and [r["position"] for r in got] == list(range(len(got)))
+    assert [r["range"] for r in got] == sorted(r["range"] for r in got)
 
 
 def test_files_are_warc(spark, tmp_path):
     rows = fixture()
-    write_archives(spark.createDataFrame(rows, PAGES), str(tmp_path / "w"), params=WarcParams(file_records=20))
-    files = glob.glob(str(tmp_path / "w" / "part-*.gz"))
-    assert len(files) >= len(rows) / 20
+    most = max(len(member(record(1, "u" * 30, (h or "").encode(), "x" * 32, None))) for _, _, h in rows) + 200
+    write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), str(tmp_path / "w"), params=WarcParams(file_bytes=5000))
+    files = glob.glob(str(tmp_path / "w" / "part-*"))
+    assert len(files) > 5
     found, text = {}, {i: h for i, _, h in rows}
     for f in files:
-        raw = gzip.open(f).read()
-        n = 0
-        for head, block, at in records(raw):
-            assert raw[at:at + 10] == b"WARC/1.1\r\n"
-            n += 1
+        with open(f, "rb") as opened:
+            raw = opened.read()
+        assert len(raw) < 5000 + most
+        whole = [data for data, *_ in members(raw)]
+        assert gzip.decompress(raw) == b"".join(whole)      # as any reader of gzip sees it
+        for data, at, length in members(raw):
+            assert gzip.decompress(raw[at:at + length]) == data and data.startswith(b"WARC/1.1\r\n")
+            head, block = parsed(data)
             if head["warc-type"] == "response" and "warc-page-id" in head:
                 i = int(head["warc-page-id"])
                 found[i] = block.partition(b"\r\n\r\n")[2].decode()
                 assert found[i] == (text[i] or "")
-        assert n <= 20
     assert set(found.values()) == {h or "" for i, _, h in rows if i is not None}
 
 
+def test_payloads_are_fetched_by_place(spark, tmp_path):
+    rows, path = fixture(), str(tmp_path / "w")
+    index = archived_index(spark.createDataFrame(rows, PAGES), path, params=WarcParams(file_bytes=3000))
+    text = {i: h or "" for i, _, h in rows}
+    wanted = index.filter("page_id % 2 = 0")
+    got = fetch(wanted, path).collect()
+    assert len(got) == wanted.filter("record_type = 'response'").count() > 0
+    assert all(bytes(r.payload).decode() == text[r.page_id] for r in got)
+    assert fetch(index.filter("page_id < 0"), path).collect() == []
+
+
+def test_a_member_of_16_mb_ends_its_file_with_padding(spark, tmp_path):
+    rows = [(1, "http://a.b/", "ab" * (9 << 20)), (2, "http://a.b/", "c")]
+    for name, some in (("last", rows[:1]), ("both", rows)):
+        path = str(tmp_path / name)
+        got = archived_index(spark.createDataFrame(some, PAGES).coalesce(1), path).collect()
+        assert sorted((r.page_id, r.payload_bytes) for r in got) == [(i, len(h)) for i, _, h in some]
+
+
 def test_damage_is_noticed(spark, tmp_path):
     path = tmp_path / "w"
     path.mkdir()
-    good = record(1, "http://a.b", b"abc", base64.b32encode(hashlib.sha1(b"abc").digest()).decode(), None) + b"\r\n\r\n"
-    (path / "x.gz").write_bytes(gzip.compress(good.replace(b"abc", b"abd")))
+    good = record(1, "http://a.b", b"abc", base64.b32encode(hashlib.sha1(b"abc").digest()).decode(), None)
+    (path / "x").write_bytes(member(good.replace(b"abc", b"abd")))
     with pytest.raises(Exception, match="differs from its digest"):
         read_runs(spark, str(path)).collect()
     with pytest.raises(ValueError, match="doesn't end"):
-        list(records(good[:-1]))
+        parsed(good[:-1])
+    with pytest.raises(ValueError, match="cut off"):
+        list(members(member(good)[:-1]))
 
 
 def test_url_keys():
@@ -97,7 +123,7 @@ def test_merging_splits_one_url(spark, tmp_path):
     write_archives(spark.createDataFrame(rows, PAGES).repartition(4), str(tmp_path / "w"))
     got = as_dicts(merged_index(read_runs(spark, str(tmp_path / "w"))))
     assert len({r["range"] for r in got}) > 4
-    got.sort(key=lambda r: (r["range"], r["position"]))
+    got.sort(key=lambda r: r["position"])
     assert [r["page_id"] for r in got] == list(range(500))
 
 
