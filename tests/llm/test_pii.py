@@ -97,10 +97,20 @@ def test_sites_and_counts_are_no_personal_data(text):
 
 
 def test_rewriting_keeps_offsets():
-    m = Mapped.of("abXXcdYYe").rewrite(re.compile("XX|YY"), lambda m: "1" if m[0] == "XX" else "")
-    assert (m.text, list(m.start), list(m.end)) == ("ab1cde", [0, 1, 2, 4, 5, 8], [1, 2, 4, 5, 6, 9])
+    def places(m):
+        return [m.source(i, i + 1) for i in range(len(m.text))]
+
+    m = Mapped("abXXcdYYe").rewrite(re.compile("xx|yy"), lambda m: "1" if m[0] == "xx" else "")
+    assert (m.text, places(m)) == ("ab1cde", [(0, 1), (1, 2), (2, 4), (4, 5), (5, 6), (8, 9)])
     m = m.rewrite(re.compile("1c"), lambda m: "Z")
-    assert (m.text, m.start[2], m.end[2]) == ("abZde", 2, 5)
+    assert m.text == "abZde" and m.source(2, 3) == (2, 5) and m.source(0, 5) == (0, 9)
+    m = m.rewrite(re.compile("[bz]"), lambda m: "" if m[0] == "b" else "long")
+    assert (m.text, places(m)) == ("alongde", [(0, 1), *[(2, 5)] * 4, (5, 6), (8, 9)])
+
+
+def test_letters_that_match_without_case():
+    text = "call +49 one sİx ſıx ſeven TWO three four five six eight"
+    assert [(KINDS[k], text[a:b]) for a, k, b, _ in find(text)] == [("phone", text[5:])]
 
 
 def test_luhn():
