@@ -21,6 +21,7 @@ from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -200,11 +201,12 @@ _DOT_WORD = "(?:dot|punkt|punto|point)"
 #: Two or more spelled digits in a row, between spaces, hyphens or commas, or next to written digits.
 _SPELLED = re.compile(rf"(?<!{_NOT_LETTER})(?:(plus|m[aá]s)[ -]+)?((?:(?:double[ -]+|triple[ -]+)?(?:{_WORD})(?!{_NOT_LETTER})[ ,-]*){{2,}})")
 _ONE = re.compile(rf"(?:(double|triple)[ -]+)?({_WORD})(?!{_NOT_LETTER})|([ ,-]+)")
-#: A spelled digit on its own before a written one or a spelled dot, after such a dot, or
+#: A doubled or tripled digit, or a spelled digit on its own before a written one or a spelled dot, after such a dot, or
 #: at the end of written ones.
 _ALONE = re.compile(
     rf"(?<!{_NOT_LETTER})(?:{_WORD})(?=[ -]{{1,2}}[0-9]|[ \t_]+{_DOT_WORD}(?!{_NOT_LETTER}))"
     rf"|(?:(?<=dot )|(?<=punkt )|(?<=punto )|(?<=point ))(?:{_WORD})(?!{_NOT_LETTER})"
+    rf"|(?<!{_NOT_LETTER})(?:double|triple)[ -]+(?:{_WORD})(?!{_NOT_LETTER})"
     rf"|(?<=[0-9][ -])(?:{_WORD})(?=[ \t]*(?:[.,;:!?)\n]|\Z)|[ -]{{1,2}}(?:{_WORD})(?!{_NOT_LETTER}))")
 #: Four parts of spelled or written digits with dots in words between them.
 _SPACED_IP = re.compile(
@@ -215,9 +217,22 @@ _DOT = r"[ \t]*[\[({<][ \t]*(?:dot|punkt|punto|point|\.)[ \t]*[\])}>][ \t]*"
 _BARE_DOT = r"[ \t_]+dot[ \t_]+"
 _BRACKETED_AT = re.compile(rf"(?<=[a-z0-9]){_AT}(?=[a-z0-9])")
 _BRACKETED_DOT = re.compile(rf"(?<=[a-z0-9]){_DOT}(?=[a-z0-9])")
+_PUNTO = r"[ \t_]+(?:punto|punkt)[ \t_]+"
+_ENDINGS = "com|org|net|edu|gov|info|biz|io|dev|app|eu|de|fr|es|uk|us|ch|it|nl|be|pt|pl|se|dk|ca|au|mx|ar|cl"
 #: A bare "at" counts only before a name with a disguised dot, and not before an article or the like.
-_BARE_AT = re.compile(rf"(?<=[a-z0-9])[ \t_]+at[ \t_]+(?!(?:the|an?|th[ai]s|that|my|your|our|his|her|its)\b)(?=[a-z0-9-]+(?:{_DOT}|{_BARE_DOT})[a-z0-9])")
+_BARE_AT = re.compile(rf"(?<=[a-z0-9])[ \t_]+(?:at|arroba)[ \t_]+(?!(?:the|an?|th[ai]s|that|my|your|our|his|her|its)\b)(?=[a-z0-9-]+(?:{_DOT}|{_BARE_DOT}|{_PUNTO})[a-z0-9])")
 _BARE_DOTS = re.compile(rf"(?<=[a-z0-9]){_BARE_DOT}(?=[a-z0-9])")
+_PUNTOS = re.compile(rf"(?<=[a-z0-9]){_PUNTO}(?=(?:[a-z0-9-]{{1,63}}{_PUNTO}){{0,5}}(?:{_ENDINGS})(?![a-z0-9-]))")
+_DASHED_AT = re.compile(r"(?<=[a-z0-9])-at-(?=(?:[a-z0-9]{1,63}-){1,6}dot-[a-z])")
+_DASHED_DOT = re.compile(r"(?<=[a-z0-9])-dot-(?=[a-z])")
+#: A spaced @ before a host whose last dot is spaced as well; endings that are common words don't count.
+_SPACED_AT = re.compile(
+    r"(?<=[a-z0-9])[ \t]*@[ \t]*[a-z0-9-]+(?:[ \t]*\.[ \t]*[a-z0-9-]+)*?[ \t]+\.[ \t]+"
+    r"(?=(?:com|org|net|edu|gov|info|biz|dev|eu|uk|fr|nl|pl|dk|mx)(?![a-z0-9-]))")
+_REFERENCE = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,10});")
+#: A number after a plus, with letters that pass for digits in it; of its words those with a digit count.
+_LIKE_PHONE = re.compile(r"\+[ ().0-9OolI|-]{8,}+")
+_LIKE_WORD = re.compile(r"(?<![A-Za-z0-9|])(?=[0-9OolI|]*[OolI|])[OolI|]*[0-9][0-9OolI|]*(?![A-Za-z0-9|])")
 #: Letters that pass for digits, between digits.
 _DIGIT_LIKE = re.compile(r"(?<=[0-9])[OolI|]+(?=[0-9])")
 _DIGITS_FOR = str.maketrans("OolI|", "00111")
@@ -226,7 +241,7 @@ _MAYBE_IP = re.compile(rf"[0-9][ \t_]+{_DOT_WORD}[ \t_]+[0-9]")
 #: A bare "at" before a plain name with a well-known ending; what stands before it is judged by _mailbox.
 _PLAIN_AT = re.compile(
     r"(?<=[a-z0-9])[ \t]+at[ \t]+(?=(?:[a-z0-9-]{1,63}\.){1,5}"
-    r"(?:com|org|net|edu|gov|info|biz|io|dev|app|eu|de|fr|es|uk|us|ch|it|nl|be|pt|pl|se|dk|ca|au|mx|ar|cl)(?![a-z0-9-]|\.[a-z0-9]))")
+    rf"(?:{_ENDINGS})(?![a-z0-9-]|\.[a-z0-9]))")
 _BEFORE_AT = re.compile(r"(?:^|[^a-z0-9._%+-])(?:(e-?mails?|mailto|mail|write|contact|reach|send|address|schreib\w*|escrib\w*|écri\w*)"
                         r"(?:[ \t]+(?:to|me|is|an|a|à))?[ \t:]+)?([a-z0-9._%+-]+)$")
 #: Mailboxes by what they are for, and common given names.
@@ -239,7 +254,7 @@ _MAILBOXES = frozenset(
 _NO_MAILBOX = frozenset("us me them him her it you we they available found online more out up here site website page look see visit "
                         "is are was were be team people address email mail".split())
 #: A separator, then a spelled digit or a word for "at" or a dot.  The search skips from separator to separator.
-_HINT = re.compile(rf"[ ,\t_-](?:((?:(?:double|triple)[ -]+)?(?:{_WORD}))|({_DOT_WORD})|at)(?!{_NOT_LETTER})")
+_HINT = re.compile(rf"[ ,\t_-](?:((?:(?:double|triple)[ -]+)?(?:{_WORD}))|({_DOT_WORD})|at|arroba)(?!{_NOT_LETTER})")
 _ENDS_SPELLED = re.compile(rf"(?<!{_NOT_LETTER})(?:{_WORD})\Z")
 _ENDS_DOT = re.compile(rf"{_DOT_WORD}\Z")
 _LONGEST = max(map(len, _DIGIT))
@@ -264,7 +279,7 @@ def _hints(text: str) -> tuple[bool, bool, bool, bool]:
     for m in _HINT.finditer(text):
         a, b = m.span()
         if m[1]:
-            spelled = spelled or text[a - 1:a].isdigit() or _spelled_before(text, _before(text, a + 1, " ,-")) \
+            spelled = spelled or m[1][0] in "dt" and m[1].startswith(("double", "triple")) or text[a - 1:a].isdigit() or _spelled_before(text, _before(text, a + 1, " ,-")) \
                 or _ENDS_DOT.search(text, max(0, a - 5), a) is not None
         elif m[2]:
             dot = dot or text[b:b + 1] in _AFTER
@@ -285,6 +300,12 @@ _AFTER = frozenset(" \t_")
 _HOST = re.compile(r"[ \t]+[a-z0-9-]+\.[a-z0-9]")
 
 
+def _referred(m: re.Match[str]) -> str | None:
+    """The character that a reference stands for, if addresses are made of such."""
+    c = unescape(m[0])
+    return c if c == "@" or c in _LOCAL else None
+
+
 def _mailbox(m: re.Match[str]) -> str | None:
     """``@`` if what stands before the "at" looks like a local part."""
     before = _BEFORE_AT.search(m.string[max(0, m.start() - 120):m.start()])
@@ -326,20 +347,38 @@ def normalise(text: str) -> Mapped | None:
         swaps = {c: plain(c) for c in set(text) if ord(c) > 127}
         if any(v != c for c, v in swaps.items()):
             mapped = mapped.rewrite(_ODD, lambda m: None if swaps[m[0]] == m[0] else swaps[m[0]], cased=True)
+    if "&" in text:
+        mapped = mapped.rewrite(_REFERENCE, _referred, cased=True)
     spelled, at, dot, host = _hints(mapped.low)
     if spelled:
         mapped = _spell(mapped)
     if _MAYBE_IP.search(mapped.low):
         mapped = mapped.rewrite(_SPACED_IP, lambda m: ".".join(re.sub("[^0-9]", "", p) for p in re.split(_DOT_WORD, m[0])))
     bracketed = _BRACKETED.search(mapped.low) is not None
+    before = mapped
     if at and (dot or bracketed):
         mapped = mapped.rewrite(_BARE_AT, lambda m: "@")
     if bracketed:
-        mapped = mapped.rewrite(_BRACKETED_AT, lambda m: "@").rewrite(_BRACKETED_DOT, lambda m: ".")
+        mapped = mapped.rewrite(_BRACKETED_AT, lambda m: "@")
+    if mapped is not before and dot:
+        mapped = mapped.rewrite(_PUNTOS, lambda m: ".")
+    if bracketed:
+        mapped = mapped.rewrite(_BRACKETED_DOT, lambda m: ".")
     if dot or bracketed:
         mapped = mapped.rewrite(_BARE_DOTS, lambda m: ".")
     if host or (at and (dot or bracketed)):
         mapped = mapped.rewrite(_PLAIN_AT, _mailbox)
+    if "-at-" in mapped.low and "-dot-" in mapped.low:
+        ats = mapped.rewrite(_DASHED_AT, lambda m: "@")
+        mapped = mapped if ats is mapped else ats.rewrite(_DASHED_DOT, lambda m: ".")
+    if "@" in mapped.text:
+        mapped = mapped.rewrite(_SPACED_AT, lambda m: re.sub("[ \t]", "", m[0]))
+    if "+" in mapped.text and (numbers := [m.span() for m in _LIKE_PHONE.finditer(mapped.text) if sum(map(str.isdigit, m[0])) >= 7]):
+        def inside(m: re.Match[str]) -> bool:
+            k = bisect_right(numbers, (m.end(),)) - 1
+            return k >= 0 and m.end() <= numbers[k][1]
+
+        mapped = mapped.rewrite(_LIKE_WORD, lambda m: m[0].translate(_DIGITS_FOR) if inside(m) else None, cased=True)
     if _MAYBE_LIKE.search(mapped.text):
         mapped = mapped.rewrite(_DIGIT_LIKE, lambda m: m[0].translate(_DIGITS_FOR), cased=True)
     return None if mapped.text is text else mapped
