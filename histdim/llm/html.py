@@ -69,6 +69,15 @@ _NOT_OF_ITSELF = frozenset("has with no without is in".split())
 #: Words of a thread of reader comments, unless what follows only tells its state.
 _TALK_WORDS = frozenset("comment comments reply replies respond disqus".split())
 _STATES = frozenset("open opened closed enabled disabled on off allowed".split())
+#: Words that say which piece of a page a name is about, not what it is about. Inside an article a class leaves its
+#: element out only if it has no others beside the words above: "cookie-banner" does, "cookie-recipe" doesn't.
+_PIECE_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons card carousel cell class col column component container content count "
+    "desktop div element end entry feed field fields fixed float global grid group hero holder hook html icon icons id inline inner "
+    "input inset item items js label layout left lg link links list main md meta message middle mobile module more native net new "
+    "outer page panel part post posts primary region right root row secondary section sm site slot small sticky story strip tab "
+    "table tag tags text thread title top ui unit view wrap wrapper zone article articles your our us the of by for to and on off "
+    "open opened closed enabled disabled show hide hidden visible active".split())
 _ALWAYS_IN = frozenset("html body main".split())
 _MAIN = frozenset("article main".split())
 #: Elements whose names aren't judged: their ids and classes name what the text is about.
@@ -97,10 +106,14 @@ class Region:
         self.chars, self.holds, self.holds_talk, self.out = 0, False, False, True
 
 
-def _named(name: str, value: str) -> tuple[bool, bool, bool]:
-    """(whether a class or id leaves its element out, makes it a header, a comment thread).
-    An id counts as a whole: all its words do."""
-    out = head = talk = False
+def _piece(word: str) -> bool:
+    return len(word) == 1 or word.isdigit() or word in _PIECE_WORDS or word in _LEFT_OUT_WORDS or word in _HEADER_WORDS
+
+
+def _named(name: str, value: str) -> tuple[bool, bool, bool, bool]:
+    """(whether a class or id leaves its element out, makes it a header, a comment thread; whether it leaves
+    it out inside an article too).  An id counts as a whole: all its words do."""
+    out = head = talk = whole = False
     for token in value.split():
         words = [w.lower() for w in _CLASS_WORD.findall(token)]
         if name == "id":
@@ -113,13 +126,14 @@ def _named(name: str, value: str) -> tuple[bool, bool, bool]:
             out |= not _LEFT_OUT_WORDS.isdisjoint(words)
             head |= not _HEADER_WORDS.isdisjoint(words)
             talk |= bool(words) and words[0] in _TALK_WORDS and _STATES.isdisjoint(words)
-    return out, head, talk
+            whole |= not _LEFT_OUT_WORDS.isdisjoint(words) and all(map(_piece, words))
+    return out, head, talk, whole or talk
 
 
-def _marks(rest: str) -> tuple[list[str], bool, bool, bool, bool]:
+def _marks(rest: str) -> tuple[list[str], bool, bool, bool, bool, bool]:
     """(class words of an element, whether role or style or the like leave it out; whether its
-    name does, makes it a header, a comment thread)."""
-    classes, hidden, named, seen = [], False, (False, False, False), set()
+    name does, makes it a header, a comment thread, leaves it out inside an article too)."""
+    classes, hidden, named, seen = [], False, (False, False, False, False), set()
     for m in _ATTRIBUTE.finditer(rest):
         name = m[1].lower()
         if name in seen or name not in _JUDGED:      # the first of a name counts
@@ -221,7 +235,9 @@ def read_page(html: str) -> tuple[list[tuple[Container, str, int]], list[Contain
             if tag in _CLOSES and (k := last_open(_CLOSES[tag], _HOLDS[tag])) is not None:
                 pop(k)
             flush()
-        classes, left, named, head, talk = _marks(rest) if rest else ([], False, False, False, False)
+        classes, left, named, head, talk, whole = _marks(rest) if rest else ([], False, False, False, False, False)
+        if articles:
+            named = whole
         # (whatever is in an article may be a header of its own)
         head = (head or tag == "header") and tag != "article" and not articles
         left = tag not in _ALWAYS_IN and (left or (head and tag == "header") or (tag in _LEFT_OUT and tag != "form"))

@@ -102,6 +102,37 @@ def test_hosts_agree_on_a_path(spark):
         assert sums[h, p] == max(v for (x, _), v in sums.items() if x == h)
 
 
+def three_templates(rnd, i):
+    """A page of a host with three templates and its article; a box beside it is longer than every fifth article."""
+    paras = [filler(rnd, rnd.randrange(12, 40)) for _ in range(rnd.randrange(2, 6))]
+    body, text = "".join(f"<p>{p}</p>" for p in paras), "\n".join(paras)
+    aside = f"<section class=facts><p>{filler(rnd, 300 if i % 5 == 0 else 5)}</p></section>"
+    return [(f"<div class=page><div class='story s-{i}'>{body}</div>{aside}</div>", text),
+            (f"<main><h1>t{i}</h1>{body}</main><div class=facts><p>{filler(rnd, 5)}</p></div>", f"t{i}\n{text}"),
+            (f"<table><tr><td><div class=cell>{body}</div></td></tr></table>", text)][0 if i % 10 < 6 else 1 if i % 10 < 9 else 2]
+
+
+def test_a_host_with_three_templates(spark):
+    """The most common one wins, also on pages whose own best container is another; pages without it
+    use their own."""
+    rnd = random.Random(8)
+    pages = [three_templates(rnd, i) for i in range(100)]
+    d = spark.createDataFrame([(i, "https://three.example.com/a", h) for i, (h, _) in enumerate(pages)], PAGES)
+    assert [r["path"] for r in as_dicts(host_paths(d))] == ["/div.page/div.s-#.story"]
+    got = by_id(extract_main_text(d), "page_id")
+    assert {i: got[i]["text"] for i in range(100)} == {i: t for i, (_, t) in enumerate(pages)}
+    assert main_text(pages[0][0], None) != pages[0][1]      # without the host's vote
+
+
+@pytest.mark.parametrize(("name", "stays"), [
+    ("cookie-recipe", True), ("menu-planning-tips", True), ("form-of-government", True), ("searchAlgorithms", True), ("social-history", True),
+    ("cookie-banner", False), ("share-buttons", False), ("ad-slot-3", False), ("relatedPosts", False), ("newsletter", False),
+    ("comment-policy", False), ("entry sidebar-right", False), ("c-promo__box", False)])
+def test_class_words_inside_an_article_count_as_a_whole(name, stays):
+    html = f"<article><p>a</p><div class='{name}'><p>b</p></div><p>c</p><p>more than half of the text, d</p></article>"
+    assert ("b" in main_text(html, "/article").split("\n")) == stays
+
+
 def brute(html):
     """The text of a page of the test tables, by their template."""
     inner = re.search(r"(?s)<article>(.*?)(</article>|$)", html)[1]
