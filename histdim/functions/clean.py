@@ -103,7 +103,8 @@ def strip_prefix(c, prefix: str = LEGACY_ID_PREFIX) -> Column:
 
 
 def remove_chars(c, chars: str = ID_SEPARATOR) -> Column:
-    return F.replace(_c(c), F.lit(chars), F.lit(""))
+    """Each of ``chars`` goes, wherever it stands."""
+    return F.translate(_c(c), chars, "")
 
 
 def parse_packed_date(c) -> Column:

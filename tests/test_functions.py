@@ -63,6 +63,13 @@ def test_key_helpers(spark):
     assert got == [("AC", "", "AW00012", None), ("CO_RF", "FR-R92B-58", "AW00011", "AW00011")]
 
 
+def test_remove_chars_takes_each_character(spark):
+    df = spark.createDataFrame([("a-b_c-_d",), ("-_",), ("",), (None,)], "v string")
+    assert rows(df.select(clean.remove_chars("v", "-_").alias("v"))) == [(None,), ("",), ("",), ("abcd",)]
+    assert rows(df.select(clean.remove_chars("v").alias("v"))) == [(None,), ("",), ("_",), ("ab_c_d",)]
+    assert rows(df.select(clean.remove_chars("v", "").alias("v")))[-1] == ("a-b_c-_d",)
+
+
 def test_null_future_and_reconcile(spark):
     df = spark.createDataFrame([(dt.date(2030, 1, 1), "n/a", "Male"), (dt.date(1980, 5, 5), None, None),
                                 (None, "Female", "Male")], "d date, p string, f string")
