@@ -28,7 +28,7 @@ def _raw(spark, data):
 
 def test_sales_are_shuffled_once_and_compared_there(spark, tmp_path):
     raw = _raw(spark, [("A", 5), ("A", 5), ("B", 5), (None, 5), (None, 5), ("C", None)])
-    target = star.load_sales_stage(_raw(spark, [("B", 5), (None, 5), ("D", 5)]), spark.createDataFrame([], STAGE["crm_sales_details"]), DAY)
+    target = star.load_sales_stage(_raw(spark, [("B", 5), (None, 5), ("D", 5)]), _raw_stage(spark), DAY, slices=1)
     for slices in (None, 1, 3):
         for null_safe, want in ((True, ["A", "C"]), (False, [None, "A", "C"])):
             got = star.load_sales_stage(raw, target, DAY, null_safe, slices)
