@@ -3,10 +3,13 @@
 import datetime as dt
 import os
 
-from histdim.operators import star
+from pyspark.sql import functions as F
+
+from histdim.functions.clean import parse_packed_date
+from histdim.operators import audit, star
 
 from histdim.plans import derived, queries
-from histdim.plans.pipeline import read_table, run_batch
+from histdim.plans.pipeline import load_stg0, read_table, run_batch
 from histdim.sources import files
 from histdim.sources.schemas import FACT_STORED, RAW, STAGE
 from histdim.sources.store import Warehouse
@@ -84,3 +87,50 @@ def test_a_first_load_writes_a_file_a_bucket(spark):
         found = [f for d, _, fs in os.walk(f"{root.removeprefix('file:')}/report/{t}") for f in fs if f.endswith(".parquet")]
         assert 0 < len(found) <= n
     assert read_table(spark, root, "report", "fact_sales").count() > 0
+
+
+def test_observed_metrics_compute_nothing_row_by_row(spark):
+    df = spark.range(10).withColumn("day", (F.col("id") + 20240100).cast("int"))
+    rows_, seen = audit.observed(df, {"bad": audit.rows_where(parse_packed_date("day").isNull()), "most": (F.max, F.col("id") * 2)})
+    rows_.write.format("noop").mode("overwrite").save()
+    assert audit.counted(seen) == {"bad": 1, "most": 18}
+    assert rows_.columns == ["id", "day"]
+    node = [line for line in rows_._jdf.queryExecution().optimizedPlan().toString().splitlines() if "CollectMetrics" in line][0]
+    assert "make_date" not in node and "* 2" not in node
+
+
+def test_raw_lines_are_written_without_date_arithmetic(spark, tmp_path, monkeypatch):
+    """Beside the parse it made a method too long to be compiled, or was interpreted."""
+    plans, write = [], Warehouse.write_parts
+
+    def spy(self, df, layer, table, load, *by):
+        if (layer, table) == ("stg0", "crm_sales_details"):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, layer, table, load, *by)
+
+    monkeypatch.setattr(Warehouse, "write_parts", spy)
+    for t in RAW:
+        raw = _raw(spark, [("A", 5), ("B", 5)]).withColumn("sls_order_dt", F.when(F.col("sls_ord_num") == "B", 20241332).otherwise(20240102)) \
+            if t == "crm_sales_details" else spark.createDataFrame([], RAW[t])
+        files.write_delimited(raw, files.batch_path(str(tmp_path / "raw"), "batch1", t))
+    records = []
+    months = load_stg0(Warehouse(spark, str(tmp_path / "wh"), own=1).init(), str(tmp_path / "raw"), "batch1", 1, records)
+    assert sorted(months) == [0, 202401]
+    assert [r["rows"] for r in records if r["action"] == "invalid_dates"] == [1]
+    assert len(plans) == 1 and "make_date" not in plans[0]
+
+
+def test_slices_are_dealt_evenly(spark):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = [(f"O{m}-{i}", "K1", 7, 20200101 + 10000 * (m // 12) + 100 * (m % 12), 20240103, 20240104, 10, 2, 5) for m in range(2 * n) for i in range(5)]
+    got = star.load_sales_stage(spark.createDataFrame(days, SALES), _raw_stage(spark), DAY, slices=1)
+    per_task = got.groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["count"] for r in per_task) == [10] * n
+
+
+def test_a_narrow_tables_raw_lines_are_several_files(spark):
+    at = queries.write_batches(spark, SF)
+    for t in ("crm_prod_info", "crm_cust_info"):
+        for b in ("batch1", "batch2"):
+            found = [f for f in os.listdir(files.batch_path(at, b, t).removeprefix("file:")) if f.startswith("part-")]
+            assert len(found) == spark.sparkContext.defaultParallelism
