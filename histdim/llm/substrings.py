@@ -228,9 +228,12 @@ def answered(held: DataFrame, answers: DataFrame) -> DataFrame:
 
 def estimated(chunk: Chunk, sketch: Sketch, answers: list[dict]) -> np.ndarray:
     """Which windows the merged sketch counts twice or more."""
-    own, often = chunk.once_per_document(), np.ones(len(chunk.h), bool)
+    often = np.ones(len(chunk.h), bool)
     for r in (0, 1):
-        cell = np.unique(sketch.cells(own, r))
+        cell = sketch.cells(chunk.h, r)      # each window's, and so each distinct one that was sketched
+        order = np.argsort(cell)
+        new = np.diff(cell[order], prepend=-1) > 0
+        cell = cell[order][new]
         bits, at = np.zeros(len(cell), bool), 0
         shards = dict(by_shard(cell // sketch.width))
         for a in answers:
@@ -241,7 +244,8 @@ def estimated(chunk: Chunk, sketch: Sketch, answers: list[dict]) -> np.ndarray:
                 at += n
         if at != len(cell):
             raise RuntimeError("a chunk differs from what was sketched of it")
-        often &= bits[np.searchsorted(cell, sketch.cells(chunk.h, r))] if len(cell) else often
+        if len(cell):
+            often[order] &= bits[np.cumsum(new) - 1]
     return often
 
 
