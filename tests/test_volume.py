@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from histdim.functions.clean import parse_packed_date
 from histdim.operators import audit, star
 
-from histdim.plans import derived, queries
+from histdim.plans import derived, pipeline, queries
 from histdim.plans.pipeline import load_stg0, read_table, run_batch
 from histdim.sources import files
-from histdim.sources.schemas import FACT_STORED, RAW, STAGE
+from histdim.sources.schemas import FACT_STORED, RAW, REPORT, STAGE
 from histdim.sources.store import Warehouse
 from tests.conftest import rows
 
@@ -134,3 +134,51 @@ def test_a_narrow_tables_raw_lines_are_several_files(spark):
         for b in ("batch1", "batch2"):
             found = [f for f in os.listdir(files.batch_path(at, b, t).removeprefix("file:")) if f.startswith("part-")]
             assert len(found) == spark.sparkContext.defaultParallelism
+
+
+def test_dimensions_of_millions_are_not_sent_through_the_driver(spark, monkeypatch):
+    """Counted while they were written; the driver would hold some hundred bytes for each row.  Rows and checks stay the same."""
+    at, root = queries.write_batches(spark, SF), queries.scratch_path(spark, "broadcast")
+    plans, counted, write, frozen = [], pipeline.counted, Warehouse.write_parts, pipeline.frozen
+
+    def many(seen):
+        got = counted(seen)
+        return got | {"open_rows": 3_600_000} if "open_rows" in got else got
+
+    def spy(self, df, layer, table, load, *by):
+        if table == "fact_sales":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(self, df, layer, table, load, *by)
+
+    def spy_keys(df, name):
+        if name == "keys":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return frozen(df, name)
+
+    run_batch(spark, f"{root}/few", at, "batch1", 1, DAY)
+    want = [r for r in run_batch(spark, f"{root}/few", at, "batch2", 2, DAY).collect() if r["table_name"] == "fact_sales"]
+    monkeypatch.setattr(pipeline, "counted", many)
+    monkeypatch.setattr(pipeline, "frozen", spy_keys)
+    monkeypatch.setattr(Warehouse, "write_parts", spy)
+    run_batch(spark, f"{root}/many", at, "batch1", 1, DAY, on_failure="report")
+    got = [r for r in run_batch(spark, f"{root}/many", at, "batch2", 2, DAY, on_failure="report").collect() if r["table_name"] == "fact_sales"]
+    assert sorted(r[1:4] for r in got) == sorted(r[1:4] for r in want)
+    facts = [rows(read_table(spark, f"{root}/{x}", "report", "fact_sales").select(F.to_json(F.struct("*")).alias("row"))) for x in ("few", "many")]
+    assert facts[0] == facts[1] and len(facts[0]) > 0
+    assert len(plans) == 6 and not any("BroadcastHashJoin [product_number" in p or "BroadcastHashJoin [customer_id" in p
+                                       or "BroadcastHashJoin [__k" in p for p in plans)
+
+
+def test_missing_keys_are_counted_by_state_however_they_meet(spark, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path), own=1).init()
+    dim = spark.sql("SELECT id AS customer_id, id + 1 AS customer_key, CASE WHEN id = 2 THEN 'I' ELSE 'A' END AS is_current FROM range(3)")
+    wh.write_parts(pipeline.conform(dim.select(*[F.col(f.name) if f.name in dim.columns else F.lit(None).alias(f.name)
+                                                 for f in REPORT["dim_customers"].fields]), REPORT["dim_customers"]), "report", "dim_customers", 1, "is_current")
+    # keys 1 and 2 are current, 3 is an older version's, 9 is nobody's
+    fact = spark.createDataFrame([(1, "final"), (9, "final"), (9, "final"), (9, "pending"), (3, "final"), (None, "final")], "customer_key int, state string")
+    fact = fact.select(*[F.col("customer_key") if f.name == "customer_key" else F.lit(None).cast(f.dataType).alias(f.name) for f in FACT_STORED.fields],
+                       "state", F.lit(0).alias("order_month"))
+    wh.write_parts(fact, "report", "fact_sales", 1, "state", "order_month")
+    for most in (10, 0):
+        monkeypatch.setitem(pipeline.MOST_BROADCAST, "dimension", most)
+        assert pipeline._missing_keys(wh, 1, "customer_key", "dim_customers", 2) == {"final": 2, "pending": 1}
